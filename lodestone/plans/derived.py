@@ -64,7 +64,7 @@ def cents_text(x: Column, trailing_sign: bool = False) -> Column:
     return F.concat(body, sign) if trailing_sign else F.concat(sign, body)
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_orders(spark: SparkSession, sf_dir: str, with_month: bool = False) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     k8, k11 = F.col("o_orderkey") % 8, F.col("o_orderkey") % 11
     st = F.col("o_orderstatus")
@@ -88,6 +88,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         cents_text(F.col("o_totalprice")).alias("o_totalprice"),
         date.alias("o_orderdate"),
         F.col("o_orderpriority"),
+        *([F.date_format(d, "yyyyMM").alias("month")] if with_month else []),
     )
 
 
@@ -167,3 +168,20 @@ def lineitem_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("t.l_quantity") + 1).alias("l_quantity"),
                       F.lit("U").alias("l_returnflag"),
                       F.col("t.l_shipdate").alias("l_shipdate"))
+
+
+def tricky_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as text holding the raw dialect's special characters: the
+    delimiter, the escape (also trailing and doubled), line breaks, blanks."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
+    return o.select(
+        k.cast("string").alias("k"),
+        F.concat(pr, F.lit("|"), st).alias("pipe"),
+        F.concat(F.lit("x\\"), st, F.lit("\\")).alias("slash"),
+        F.when(k % 5 == 0, F.lit("")).otherwise(
+            F.concat(F.lit("l1\n"), pr, F.lit("\r\nl3"))).alias("lines"),
+        F.concat(F.lit("\\|"), st, F.lit("\\\\")).alias("mixed"),
+        F.when(k % 3 == 0, F.lit(None).cast("string")).otherwise(F.lit(" \t ")).alias("blank"),
+    )

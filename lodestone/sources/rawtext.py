@@ -80,12 +80,16 @@ def read_raw_text(spark: SparkSession, path: str, names: list[str],
     """Scan raw text files under ``path`` into all-string columns.
 
     Partition directories (``batch_id=…``, ``month=…``) below ``path`` are
-    discovered by Spark and kept as columns; filters on them prune files."""
-    lines = spark.read.text(path)
-    extra = [c for c in lines.columns if c != "value"]
+    discovered by Spark and kept as columns; filters on them prune files.
+    Named partition columns are read as text (no type inference, so a batch
+    id keeps its leading zeros)."""
+    reader = spark.read
     if partition_cols:
-        extra = [c for c in extra if c in partition_cols] + \
-                [c for c in extra if c not in partition_cols]
+        reader = reader.schema(T.StructType(
+            [T.StructField("value", T.StringType())] +
+            [T.StructField(p, T.StringType()) for p in partition_cols]))
+    lines = reader.text(path)
+    extra = [c for c in lines.columns if c != "value"]
     out = parse_lines(lines, names, keep=extra)
     return out.select(*[F.col(c).cast("string") if c in extra else F.col(c)
                         for c in out.columns])
