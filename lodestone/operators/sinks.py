@@ -61,7 +61,7 @@ def compression_for(fmt: str, compress: bool = True) -> str:
 
 def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                   partition_by: list[str] | None = None, compress: bool = True,
-                  dynamic: bool = False) -> None:
+                  dynamic: bool = False, rebalance_exempt: tuple[str, ...] = ()) -> None:
     fmt = resolve_format(fmt)
     if fmt == "avro" and not avro_available(df.sparkSession):
         raise FormatError("the Avro data source is not on the classpath")
@@ -69,8 +69,9 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "o
     data_cols = [c for c in df.columns if c not in parts]
     if fmt == "text":
         df = df.select(to_lines(df, data_cols).alias("value"), *parts)
-    if parts:
-        df = df.hint("rebalance", *parts)
+    spread = [p for p in parts if p not in (rebalance_exempt or ())]
+    if spread:
+        df = df.hint("rebalance", *spread)
     w = df.write.mode(mode).format(fmt).option("compression", compression_for(fmt, compress))
     if parts:
         w = w.partitionBy(*parts)
@@ -100,6 +101,19 @@ def as_strings(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
+def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a source that arrives in fewer partitions than the cluster has
+    cores (one unsplit file, a single-stream JDBC pull) over all of them, so
+    landing, parsing, cleansing and the staging write run in parallel. A
+    source that is already wide — the normal case at scale — is left alone,
+    so no shuffle is added there."""
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def land_raw(df: DataFrame, raw_path: str, batch_id: str, fmt: str = "text",
              partition_col: str | None = None, compress: bool = True,
              archive: bool = False) -> None:
@@ -109,10 +123,11 @@ def land_raw(df: DataFrame, raw_path: str, batch_id: str, fmt: str = "text",
     overwrite of its partition). Without archiving, older batches are removed
     once the new one is complete; with archiving they stay readable."""
     spark = df.sparkSession
-    raw = as_strings(df).withColumn(BATCH_COL, F.lit(str(batch_id)))
+    raw = widen(as_strings(df)).withColumn(BATCH_COL, F.lit(str(batch_id)))
     parts = [BATCH_COL] + ([partition_col] if partition_col else [])
+    # the batch id is one constant value: no shuffle is needed to group it
     write_dataset(raw, raw_path, fmt, mode="overwrite", partition_by=parts,
-                  compress=compress, dynamic=True)
+                  compress=compress, dynamic=True, rebalance_exempt=(BATCH_COL,))
     if not archive:
         for d in list_dirs(spark, raw_path):
             if d.startswith(f"{BATCH_COL}=") and d != f"{BATCH_COL}={batch_id}":

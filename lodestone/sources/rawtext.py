@@ -24,7 +24,9 @@ NULL_TEXT = ""
 # delimiter and the escape, terminated by a delimiter. Appending a delimiter
 # to the line makes the number of matches equal to the number of fields.
 FIELD_PATTERN = r"((?:\\.|[^|\\])*)\|"
-TOKEN_PATTERN = r"(\\.|[^\\]+)"
+NEWLINE_ESCAPE = r"(?<!\\)((?:\\\\)*)\\n"
+RETURN_ESCAPE = r"(?<!\\)((?:\\\\)*)\\r"
+ANY_ESCAPE = r"\\(.)"
 
 
 def escape_value(c: Column) -> Column:
@@ -35,13 +37,15 @@ def escape_value(c: Column) -> Column:
 
 
 def unescape_value(c: Column) -> Column:
-    tokens = F.regexp_extract_all(c, F.lit(TOKEN_PATTERN), 1)
-    decoded = F.transform(tokens, lambda t: (
-        F.when(t == F.lit("\\n"), F.lit("\n"))
-        .when(t == F.lit("\\r"), F.lit("\r"))
-        .when(t.startswith("\\"), t.substr(F.lit(2), F.lit(1)))
-        .otherwise(t)))
-    return F.when(c.contains("\\"), F.array_join(decoded, "")).otherwise(c)
+    """Undo the escapes. An escape ``\\n`` / ``\\r`` is one preceded by an
+    even run of backslashes (each pair being an escaped backslash); those
+    become line breaks first, then every remaining escape pair ``\\X``
+    becomes ``X``. Only plain ``regexp_replace`` (codegen'd), and only on
+    values that contain a backslash at all."""
+    v = F.regexp_replace(c, F.lit(NEWLINE_ESCAPE), F.lit("$1\n"))
+    v = F.regexp_replace(v, F.lit(RETURN_ESCAPE), F.lit("$1\r"))
+    v = F.regexp_replace(v, F.lit(ANY_ESCAPE), F.lit("$1"))
+    return F.when(c.contains("\\"), v).otherwise(c)
 
 
 def to_lines(df: DataFrame, columns: list[str] | None = None) -> Column:
