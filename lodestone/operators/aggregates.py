@@ -33,6 +33,16 @@ def observed(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def observed_value(obs: Observation, key: str = "rows"):
+    """The observed metric, or None when the plan never reported it (Catalyst
+    can fold an always-empty source into an empty relation, dropping the
+    observation); callers then count what was written instead."""
+    try:
+        return obs.get.get(key)
+    except Exception:
+        return None
+
+
 def reconcile_frame(spark, source_rows: int, target_rows: int,
                     expected_rows: int | None = None) -> DataFrame:
     """One row ``(source_rows, target_rows, status)``: S when the target holds

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.periods import classify_period, expand_period, period_of
 from lodestone.functions.types import HeaderColumn, staging_schema
-from lodestone.operators.aggregates import observed, watermark_value
+from lodestone.operators.aggregates import observed, observed_value, watermark_value
 from lodestone.operators.cleanse import cleanse_projection
 from lodestone.operators.merge import latest_version, merge_patch
 from lodestone.operators.sinks import (BATCH_COL, create_external, land_raw,
@@ -159,16 +159,16 @@ def run_load(spark: SparkSession, source: DataFrame, header: list[HeaderColumn],
             step = 2
             land_raw(src, raw_path, batch_id, spec.raw_format, part_col, spec.compress,
                      spec.archive)
-            result.source_rows = int(obs.get["rows"])
-        if stop_after == "raw":
-            result.status, result.target_rows = "S", result.source_rows
-            return result
-
+            n = observed_value(obs)
+            result.source_rows = None if n is None else int(n)
         # -- 3: raw batch as all-string rows
         step = 3
         raw = read_raw(spark, raw_path, names, spec.raw_format, batch_id, part_col)
         if result.source_rows is None:
             result.source_rows = raw.count()
+        if stop_after == "raw":
+            result.status, result.target_rows = "S", result.source_rows
+            return result
 
         # -- 4/5: cleanse into staging
         step = 5
@@ -179,10 +179,16 @@ def run_load(spark: SparkSession, source: DataFrame, header: list[HeaderColumn],
             target = layout.incr(spec)
             write_staging(typed, target, spec.stg_format, "overwrite", part_col,
                           literal_periods, dynamic=False, compress=spec.compress)
-        elif refresh == "APPEND" or literal_periods is not None:
+        elif refresh == "APPEND":
             target = stg_path
             write_staging(typed, target, spec.stg_format, "append", part_col,
                           literal_periods, compress=spec.compress)
+        elif literal_periods is not None:
+            # FULL over listed periods: replace exactly those partitions, so a
+            # rerun is idempotent and other periods stay untouched
+            target = stg_path
+            write_staging(typed, target, spec.stg_format, "overwrite", part_col,
+                          literal_periods, dynamic=True, compress=spec.compress)
         else:
             target = stg_path
             write_staging(typed, target, spec.stg_format, "overwrite", part_col,
@@ -210,8 +216,12 @@ def run_load(spark: SparkSession, source: DataFrame, header: list[HeaderColumn],
                 merged, mobs = _observe_inserts(merged)
                 write_staging(merged.drop("_in_base"), new_path, spec.stg_format,
                               "overwrite", part_col, compress=spec.compress)
-                result.inserted_rows = int(mobs.get["inserted"])
-                base_rows = int(mobs.get["rows"]) - result.inserted_rows
+                inserted, rows = observed_value(mobs, "inserted"), observed_value(mobs, "rows")
+                if inserted is None:
+                    joined = read_staging(spark, new_path, spec.stg_format)
+                    inserted, rows = 0, joined.count()
+                result.inserted_rows = int(inserted)
+                base_rows = int(rows) - result.inserted_rows
                 swap_in(spark, stg_path, new_path)
                 expected = base_rows + result.inserted_rows
             else:
@@ -265,7 +275,8 @@ def dedup_swap(spark: SparkSession, spec: LoadSpec, layout: Layout,
     write_staging(out, new_path, spec.stg_format, "overwrite", period.column,
                   compress=spec.compress)
     swap_in(spark, stg, new_path)
-    return int(obs.get["rows"])
+    n = observed_value(obs)
+    return int(n) if n is not None else read_staging(spark, stg, spec.stg_format).count()
 
 
 __all__ = ["LoadSpec", "Layout", "LoadResult", "LoadError", "run_load", "dedup_swap",
