@@ -396,6 +396,24 @@ def q_dedup_swap(spark, sf):
     return read_staging(spark, layout.stg(spec))
 
 
+@register("stream_merge", O.with_ctes(
+    O.BASE, O.DELTA, "tb AS (" + _BASE_TYPED.format("base") + ")",
+    "td AS (" + _BASE_TYPED.format("delta") + ")")
+    + O.merge_sql("tb", "td", ["o_orderkey"], ["o_orderkey", "o_orderstatus", "o_totalprice",
+                                               "extract_ts"]))
+def q_stream_merge(spark, sf):
+    from lodestone.streaming.increments import merge_batches
+    layout = Layout(work_dir(spark, "stream"))
+    full = LoadSpec("orders", "tpch", "FULL")
+    run_load(spark, D.base(spark, sf), _BASE_HEADER, full, layout, "1")
+    raw = f"{layout.root}/raw/increments"
+    land_raw(D.delta(spark, sf), raw, "2", archive=True)
+    q = merge_batches(spark, raw, _BASE_HEADER, layout.stg(full), ["o_orderkey"],
+                      dedupe_by="extract_ts", checkpoint=f"{layout.root}/ckpt")
+    q.awaitTermination()
+    return read_staging(spark, layout.stg(full))
+
+
 # --------------------------------------------------------------- incremental
 
 @register("scan_incremental",
