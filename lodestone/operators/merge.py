@@ -17,7 +17,10 @@
       larger than the increment). The base is never shuffled.
 
     ``"auto"`` picks broadcast only when the increment's estimated size is
-    below the limit, and the shuffle form otherwise.
+    below the limit (by default the session's
+    ``spark.sql.autoBroadcastJoinThreshold``; ``-1`` never broadcasts), and
+    the shuffle form otherwise. The estimate is the optimizer's: file sizes
+    of the scans, never lowered by filters or aggregates without CBO.
 
     The increment is first reduced to one row per key (latest by
     ``dedupe_by``; without it, the greatest row), so the join never pairs
@@ -40,7 +43,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+def broadcast_limit_of(spark) -> int:
+    """The session's broadcast threshold (``-1`` disables broadcasting)."""
+    v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    v = v.strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+             "g": 1 << 30, "gb": 1 << 30}
+    for u in sorted(units, key=len, reverse=True):
+        if v.endswith(u) and v[:-len(u)].strip().lstrip("-").isdigit():
+            return int(v[:-len(u)]) * units[u]
+    return int(v)
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -88,7 +100,7 @@ def one_row_per_key(df: DataFrame, keys, order_by: str | None = None) -> DataFra
 
 def merge_patch(base: DataFrame, incr: DataFrame, keys, strategy: str = "auto",
                 dedupe_by: str | None = None, keep_duplicates: bool = False,
-                broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+                broadcast_limit: int | None = None) -> DataFrame:
     keys = _keys(keys)
     cols = base.columns
     missing = [c for c in cols if c not in incr.columns]
@@ -98,8 +110,9 @@ def merge_patch(base: DataFrame, incr: DataFrame, keys, strategy: str = "auto",
     if not keep_duplicates:
         incr = one_row_per_key(incr, keys, dedupe_by)
     if strategy == "auto":
-        strategy = ("broadcast" if estimated_bytes(incr) <= broadcast_limit
-                    else "shuffle")
+        limit = broadcast_limit_of(base.sparkSession) if broadcast_limit is None \
+            else broadcast_limit
+        strategy = ("broadcast" if 0 <= estimated_bytes(incr) <= limit else "shuffle")
     patched = [F.coalesce(F.col(f"i.{c}"), F.col(f"o.{c}")).alias(c) for c in cols]
     if strategy == "shuffle":
         i = incr.hint("shuffle_hash").alias("i")

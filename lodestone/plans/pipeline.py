@@ -173,6 +173,7 @@ def run_load(spark: SparkSession, source: DataFrame, header: list[HeaderColumn],
         # -- 4/5: cleanse into staging
         step = 5
         typed = cleanse_projection(raw, header, part_col, spec.decimal_mode)
+        typed, sobs = observed(typed, f"staged-{spec.table}-{batch_id}")
         literal_periods = None if (period.kind == "none" or period.symbolic) else \
             expand_period(spec.partition, spec.strict_years)
         if refresh == "INCR":
@@ -198,7 +199,10 @@ def run_load(spark: SparkSession, source: DataFrame, header: list[HeaderColumn],
             create_external(spark, spec.interface, spec.table,
                             staging_schema(header, part_col), stg_path,
                             spec.stg_format, part_col)
-        staged_rows = read_staging(spark, target, spec.stg_format).count()
+        staged_rows = observed_value(sobs)
+        if staged_rows is None or (refresh == "FULL" and not literal_periods):
+            # FULL: count what is on storage, independently of the write
+            staged_rows = read_staging(spark, target, spec.stg_format).count()
 
         # -- 6: merge the increment
         if refresh == "INCR":
