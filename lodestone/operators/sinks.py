@@ -67,11 +67,13 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "o
         raise FormatError("the Avro data source is not on the classpath")
     parts = list(partition_by or [])
     data_cols = [c for c in df.columns if c not in parts]
-    if fmt == "text":
-        df = df.select(to_lines(df, data_cols).alias("value"), *parts)
     spread = [p for p in parts if p not in (rebalance_exempt or ())]
     if spread:
+        # before the text encoding, so lines are built after the exchange,
+        # in as many tasks as the rebalance produces
         df = df.hint("rebalance", *spread)
+    if fmt == "text":
+        df = df.select(to_lines(df, data_cols).alias("value"), *parts)
     w = df.write.mode(mode).format(fmt).option("compression", compression_for(fmt, compress))
     if parts:
         w = w.partitionBy(*parts)
@@ -123,7 +125,10 @@ def land_raw(df: DataFrame, raw_path: str, batch_id: str, fmt: str = "text",
     overwrite of its partition). Without archiving, older batches are removed
     once the new one is complete; with archiving they stay readable."""
     spark = df.sparkSession
-    raw = widen(as_strings(df)).withColumn(BATCH_COL, F.lit(str(batch_id)))
+    # a period column is rebalanced by the write itself; otherwise spread a
+    # narrow source once
+    strings = as_strings(df) if partition_col else widen(as_strings(df))
+    raw = strings.withColumn(BATCH_COL, F.lit(str(batch_id)))
     parts = [BATCH_COL] + ([partition_col] if partition_col else [])
     # the batch id is one constant value: no shuffle is needed to group it
     write_dataset(raw, raw_path, fmt, mode="overwrite", partition_by=parts,

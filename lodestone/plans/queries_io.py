@@ -17,7 +17,7 @@ from lodestone.operators.aggregates import reconcile_frame, table_stats
 from lodestone.operators.cleanse import cleanse_projection
 from lodestone.operators.sinks import (add_partitions, avro_available,
                                        create_external, land_raw,
-                                       partition_label_from_path, read_raw,
+                                       partition_label_from_path, read_raw, widen,
                                        write_dataset, write_staging)
 from lodestone.plans import derived as D
 from lodestone.plans import oracle as O
@@ -53,7 +53,7 @@ _TRICKY_SQL = """tricky AS (
 @register("scan_raw_text", O.with_ctes(_TRICKY_SQL) + f"SELECT {_nullif(TRICKY_COLS)} FROM tricky")
 def q_scan_raw_text(spark, sf):
     path = work_dir(spark, "rawtext")
-    write_dataset(D.tricky_text(spark, sf), path, "TEXTFILE", compress=True)
+    write_dataset(widen(D.tricky_text(spark, sf)), path, "TEXTFILE", compress=True)
     return read_raw_text(spark, path, TRICKY_COLS)
 
 
