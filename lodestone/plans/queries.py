@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from lodestone.functions.cleansing import (convert_date, convert_null,
                                            convert_sign, decimal_chain)
 from lodestone.functions.periods import period_frame, period_of
-from lodestone.functions.types import HeaderColumn
 from lodestone.operators.cleanse import cleanse_projection
 from lodestone.operators.merge import (latest_version, max_ts_per_key,
                                        merge_patch, union_base_incr)
@@ -233,4 +232,4 @@ def all_oracles() -> dict[str, str]:
     return dict(ORACLE)
 
 
-__all__ = ["all_queries", "all_oracles", "register", "HeaderColumn"]
+__all__ = ["all_queries", "all_oracles", "register"]

@@ -8,14 +8,12 @@ oracle compares what actually landed on storage.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from lodestone.functions.cleansing import convert_null
 from lodestone.functions.periods import expand_period
 from lodestone.functions.types import HeaderColumn, header_from_schema
 from lodestone.operators.aggregates import reconcile_frame, table_stats
 from lodestone.operators.cleanse import cleanse_projection
-from lodestone.operators.sinks import (add_partitions, avro_available,
+from lodestone.operators.sinks import (add_partitions,
                                        create_external, land_raw,
                                        partition_label_from_path, read_raw, widen,
                                        write_dataset, write_staging)
@@ -459,5 +457,3 @@ def q_scan_jdbc_split(spark, sf):
     conn = _derby_orders(spark, sf)
     return J.read_split(spark, conn, None, "orders", '"o_orderkey"', 4, **_NTZ)
 
-
-__all__ = ["T", "convert_null", "avro_available"]

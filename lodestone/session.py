@@ -8,7 +8,6 @@ one of our own.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -95,4 +94,4 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["get_session", "ensure_checkpoint_dir", "work_dir", "path_exists",
-           "rename_path", "delete_path", "list_dirs", "local_path", "os"]
+           "rename_path", "delete_path", "list_dirs", "local_path"]
