@@ -66,3 +66,17 @@ def test_sql_functions_match_column_functions(spark):
     got = df.selectExpr("ConvertDate(s)", "ConvertSign(s)", "ConvertNULL(s)").collect()
     want = df.select(convert_date("s"), convert_sign("s"), convert_null("s")).collect()
     assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+def test_cleanse_projection_counts_rejects(spark):
+    from lodestone.functions.types import HeaderColumn
+    from lodestone.operators.cleanse import cleanse_projection
+    header = [HeaderColumn("n", "INTEGER"), HeaderColumn("d", "DATE"),
+              HeaderColumn("a", "DECIMAL", "", "8", "2"), HeaderColumn("s", "VARCHAR")]
+    raw = spark.createDataFrame([("12", "20240131", "5.5-", "x"),
+                                 ("x1", "2024013", "abc", None),
+                                 ("", None, "", " null ")], "n string, d string, a string, s string")
+    rows = cleanse_projection(raw, header, with_rejects=True).collect()
+    assert [r["_rejects"] for r in rows] == [[], ["n", "a"], []]
+    assert rows[0]["a"] == Decimal("-5.50") and rows[1]["d"] == dt.datetime(2024, 1, 3)
+    assert rows[2]["s"] == "" and rows[2]["n"] is None
