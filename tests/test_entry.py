@@ -16,8 +16,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    from __spark_entry__ import oracle_sql, queries
-    assert set(queries()) == set(oracle_sql())
+    from lodestone.plans.queries import all_oracles, all_queries
+    assert set(all_queries()) == set(all_oracles())
 
 
 @pytest.fixture(scope="module")
@@ -28,8 +28,8 @@ def con():
 def _names():
     import sys
     sys.path.insert(0, __file__.rsplit("/tests/", 1)[0])
-    from __spark_entry__ import queries
-    return sorted(queries())
+    from lodestone.plans.queries import all_queries
+    return sorted(all_queries())
 
 
 @pytest.mark.parametrize("name", _names())
