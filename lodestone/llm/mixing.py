@@ -8,7 +8,8 @@ document's expectation, until one of them is whole; the other goes on to meet
 the next. Each block of documents of a source leaves at most one fractional
 document, and the blocks' residuals meet in the next level of a reduction tree,
 down to one block per source. There the last document is rounded to the nearer
-whole copy, so a source misses its target by at most half of one document.
+whole copy, so a source misses its target by at most half of one document; the
+last block is folded with several seeds, and the run that misses least is kept.
 
 DataFrame functions only: a block is folded by ``aggregate`` over a sorted array.
 Blocks are chosen by a hash, so a source that holds most rows is many blocks.
@@ -31,6 +32,8 @@ from lodestone.llm.common import materialize
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK = 128
+#: Seeds tried on the last block of a source.
+LAST_TRIES = 16
 #: Below this a share counts as whole: the sums of mass are doubles.
 EPS = 1e-9
 
@@ -82,13 +85,14 @@ transform(array(named_struct(
     'up', least((1D - s.cur.p) * s.cur.size, x.p * x.size),
     'down', least(s.cur.p * s.cur.size, (1D - x.p) * x.size))),
   m -> transform(array(CASE
-      WHEN pmod(xxhash64(s.cur.doc_id, s.cur.size, x.doc_id, x.size, {seed}L), 4503599627370496L)
+      WHEN pmod(xxhash64(s.cur.doc_id, s.cur.size, x.doc_id, x.size, z), 4503599627370496L)
            / 4503599627370496D * (m.up + m.down) < m.down THEN m.up ELSE -m.down END),
     d -> named_struct('cur', s.cur.p + d / s.cur.size, 'x', x.p - d / x.size))[0])[0]
 """
 
 _FOLD = """
-aggregate(units, named_struct('cur', CAST(NULL AS {unit}), 'done', CAST(array() AS array<{done}>)),
+array_min(transform(CASE WHEN blocks = 1 THEN sequence({seed}L, {seed}L + {tries}L - 1L) ELSE array({seed}L) END,
+ z -> transform(array(aggregate(units, named_struct('cur', CAST(NULL AS {unit}), 'done', CAST(array() AS array<{done}>)),
   (s, x) -> CASE
     WHEN s.cur IS NULL THEN named_struct('cur', x, 'done', s.done)
     ELSE transform(array({step}), q -> CASE
@@ -104,7 +108,9 @@ aggregate(units, named_struct('cur', CAST(NULL AS {unit}), 'done', CAST(array()
         'cur', named_struct('doc_id', s.cur.doc_id, 'size', s.cur.size, 'rows', s.cur.rows, 'whole', s.cur.whole, 'p', q.cur),
         'done', concat(s.done, array(
             named_struct('doc_id', x.doc_id, 'size', x.size, 'rows', x.rows, 'copies', x.whole + CAST(round(q.x) AS bigint)))))
-      END)[0] END)
+      END)[0] END)),
+ f -> named_struct('miss', coalesce(least(f.cur.p, 1D - f.cur.p) * f.cur.size, 0D),
+                   'z', z, 'cur', f.cur, 'done', f.done))[0]))
 """
 
 
@@ -113,7 +119,7 @@ def _fold(units: DataFrame, id_type: str, seed: int) -> DataFrame:
     whole, and the one left fractional, if any. Larger documents meet first, so
     what is left over tends to be small."""
     unit, done = _UNIT.format(id=id_type), _DONE.format(id=id_type)
-    fold = _FOLD.format(unit=unit, done=done, eps=EPS, step=_STEP.format(seed=seed))
+    fold = _FOLD.format(unit=unit, done=done, eps=EPS, step=_STEP, seed=seed, tries=LAST_TRIES)
     key = F.struct((-F.col("size")).alias("o"), F.xxhash64("doc_id", "size").alias("h"),
                    F.struct("doc_id", "size", "rows", "whole", "p").alias("u"))
     return (units.withColumn("block", F.pmod(F.xxhash64("doc_id", "size", F.lit(seed)),

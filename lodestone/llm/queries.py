@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import mixing, simhash
-from lodestone.llm.common import read_table
+from lodestone.llm import (decontaminate, license_rules, mixing, quality_rank, secret_scan, simhash,
+                           topk_va, toxicity_crf)
+from lodestone.llm.common import id_bucket, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -35,3 +36,97 @@ def op9(spark, sf):
     found = simhash.near_duplicates(read_table(spark, sf, "documents"), shingle_words=4, radius=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                         "component_id")
+
+
+OP3_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS vec
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.vec, c.vec) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.vec) = len(c.vec) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rk FROM s)
+SELECT query_id, CAST(rk AS INTEGER) AS rank, vec_id, score FROM r WHERE rk <= 5
+"""
+
+
+@register("op3_exact_top_k", OP3_SQL)
+def op3(spark, sf):
+    return topk_va.search(read_table(spark, sf, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+@register("op4_toxicity_crf")
+def op4(spark, sf):
+    docs = read_table(spark, sf, "documents")
+    model = toxicity_crf.train(docs, read_table(spark, sf, "labels"))
+    found = toxicity_crf.annotate(docs, model)
+    return found.select(F.col("row.doc_id").alias("doc_id"), held_out("row.doc_id", 5, 0),
+                        F.col("found.score").alias("score"),
+                        (F.col("found.score") >= 0.5).cast("int").alias("predicted"),
+                        F.col("found.n_toxic").alias("n_toxic"), F.col("found.spans").alias("spans"))
+
+
+def held_out(id_col: str, mod: int, fold: int):
+    return (id_bucket(F.col(id_col), mod) == fold).alias("held_out")
+
+
+OP5_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT item_id, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i, w
+       FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS k FROM bw),
+lens AS (SELECT DISTINCT n FROM win),
+dw AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM d, lens WHERE len(w) >= n),
+grams AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS k FROM dw),
+hits AS (SELECT g.doc_id, g.i, g.n, win.item_id FROM grams g JOIN win ON g.k = win.k AND g.n = win.n),
+places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM
+           (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids FROM
+        (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+
+@register("op5_benchmark_decontamination", OP5_SQL)
+def op5(spark, sf):
+    found = decontaminate.annotate(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"),
+                                   window_words=13)
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit",
+                        F.size("hit_items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "hit_items"), 256).alias("items_sha256"), "contaminated")
+
+
+@register("op6_license_rules")
+def op6(spark, sf):
+    found = license_rules.annotate(read_table(spark, sf, "documents"))
+
+    def told(col):
+        return F.concat_ws(",", F.transform(col, lambda m: F.concat_ws(":", m["license"], m["first"], m["last"])))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_sentences",
+                        F.size("licenses").cast("long").alias("n_licenses"),
+                        F.concat_ws(",", "licenses").alias("licenses"),
+                        told("line_matches").alias("line_matches"), told("flow_matches").alias("flow_matches"))
+
+
+@register("op7_quality_rank")
+def op7(spark, sf):
+    docs = read_table(spark, sf, "documents")
+    model = quality_rank.train(docs, read_table(spark, sf, "labels"), cut=0.3)
+    found = quality_rank.annotate(docs, model)
+    return found.select(F.col("row.doc_id").alias("doc_id"), held_out("row.doc_id", 5, 0), "score",
+                        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register("op8_secret_scan")
+def op8(spark, sf):
+    found = secret_scan.annotate(read_table(spark, sf, "documents"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), F.col("found.n_assign").alias("n_assign"),
+                        F.col("found.n_access").alias("n_access"), F.col("found.n_hex").alias("n_hex"),
+                        F.sha2(F.col("found.base"), 256).alias("base_sha256"),
+                        F.col("found.spans").alias("spans"))
