@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import (decontaminate, license_rules, mixing, quality_rank, secret_scan, simhash,
-                           topk_va, toxicity_crf)
+                           suffix_dedup, topk_va, toxicity_crf)
 from lodestone.llm.common import id_bucket, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_suffix_dedup")
+def op1(spark, sf):
+    return suffix_dedup.remove_repeats(read_table(spark, sf, "documents"), least=200).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @register("op2_mix_sources")
 def op2(spark, sf):
     return mixing.mix(read_table(spark, sf, "documents")).select(
