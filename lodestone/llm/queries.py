@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import (decontaminate, license_rules, mixing, quality_rank, secret_scan, simhash,
+from lodestone.llm import (decontaminate, interp_lm, license_rules, mixing, quality_rank, secret_scan, simhash,
                            suffix_dedup, topk_va, toxicity_crf)
 from lodestone.llm.common import id_bucket, read_table
 
@@ -136,3 +136,14 @@ def op8(spark, sf):
                         F.col("found.n_access").alias("n_access"), F.col("found.n_hex").alias("n_hex"),
                         F.sha2(F.col("found.base"), 256).alias("base_sha256"),
                         F.col("found.spans").alias("spans"))
+
+
+@register("op10_deleted_interpolation")
+def op10(spark, sf):
+    return interp_lm.score(read_table(spark, sf, "documents"))
+
+
+@register("pipeline")
+def pipeline(spark, sf):
+    from corpus_pipeline import run
+    return run(spark, sf)

@@ -54,15 +54,19 @@ def fingerprint(text: str | None, shingle_words: int = 4) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle_words: int = 4) -> DataFrame:
-    """(doc_id, fp): one row per input row; fp holds the 64 bits as a long."""
+def marker(shingle_words: int = 4):
+    """A function of the text column: the fingerprint's 64 bits as a long."""
     @F.pandas_udf("long")
     def fp(texts: pd.Series) -> pd.Series:
         out = np.fromiter((fingerprint(t, shingle_words) for t in texts), np.uint64, len(texts))
         return pd.Series(out.view(np.int64))
+    return fp
 
-    return docs.select(F.col(id_col).alias("doc_id"), fp(F.col(text_col)).alias("fp"))
+
+def annotate(docs: DataFrame, text_col: str = "text", shingle_words: int = 4) -> DataFrame:
+    """(row, fp): ``row`` is the whole input row as one struct."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return whole.select("row", marker(shingle_words)(F.col("row")[text_col]).alias("fp"))
 
 
 def merge_links(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -195,13 +199,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     tile_rows: int = 4096) -> DataFrame:
     """(doc_id, fp, component_id): a row per input row; ``component_id`` is the
     smallest id reachable over links of ``radius`` or fewer differing bits."""
-    marked = materialize(fingerprints(docs, id_col, text_col, shingle_words), "simhash")
+    marked = materialize(
+        docs.select(F.col(id_col).alias("doc_id"), marker(shingle_words)(F.col(text_col)).alias("fp")), "simhash")
     return marked.join(classes(marked, radius, tile_rows), "fp", "left") \
                  .select("doc_id", "fp", "component_id")
 
 
 def classes(marked: DataFrame, radius: int = 4, tile_rows: int = 4096) -> DataFrame:
-    """(fp, component_id) for every distinct ``fp`` of ``marked`` (doc_id, fp)."""
+    """(fp, component_id) for every distinct ``fp`` of ``marked`` (doc_id, fp);
+    the ids can be of any ordered type."""
     nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "nodes")
     roots = components(links(nodes, radius, tile_rows))
     rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left") \
