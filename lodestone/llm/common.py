@@ -37,19 +37,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def ascii_lower(text: Column) -> Column:
-    """Lower-cases A-Z only. ``lower`` does just that on an all-ASCII text and
-    is far cheaper than ``translate``."""
-    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)) \
-            .otherwise(F.translate(text, ASCII_UPPER, ASCII_LOWER))
-
-
 def id_bucket(doc_id: Column, buckets: int) -> Column:
     """crc32 of the id as text, modulo ``buckets`` (0 for a null id)."""
     crc = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
     return (crc % buckets).cast("int")
-
-
-def uniform(*cols: Column) -> Column:
-    """A number in [0, 1) that depends on the given columns alone."""
-    return F.pmod(F.xxhash64(*cols), F.lit(1 << 52)).cast("double") / float(1 << 52)

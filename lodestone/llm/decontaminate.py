@@ -10,11 +10,12 @@ diagonal; only spans that hold a whole window count. Items shorter than a
 window are winnowed by the same rule with their own length as the window, once
 for each such length in the benchmark.
 
-DataFrame functions only. The benchmark side of the join is not forced to be
-broadcast: Spark does so below its own threshold and shuffles beyond it, where
-a frequent fingerprint is a skewed key of an ordinary join, which it splits.
-Fingerprints that no benchmark item has die in that join, and texts are moved
-only to meet their hits.
+DataFrame functions only. Texts are cut into words once; a word is its 64-bit
+hash from then on. The benchmark side of the join is not forced to be broadcast:
+Spark does so below its own threshold and shuffles beyond it, where a frequent
+fingerprint is a skewed key of an ordinary join, which it splits. Fingerprints
+that no benchmark item has die in that join. Texts are moved once, to meet
+their hits, and only texts with hits are cut into words again, to extend them.
 
 Defined results: a null or wordless text has no words, no hits, and is not
 contaminated; a null id is an id; repeated rows each get a row; wordless items
@@ -27,37 +28,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import ascii_lower
+from lodestone.llm.common import ASCII_LOWER, ASCII_UPPER
 
-#: A word: a run of characters other than ASCII non-alphanumerics.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words: ASCII other than letters and digits.
+GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Window number of the row that carries a document's number of words.
+COUNT = 0
 
 
-def words(text: Column) -> Column:
-    found = F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))
-    return F.coalesce(found, F.array().cast("array<string>"))
+def word_hashes(text: Column) -> Column:
+    """Hashes of the words of ``text`` (no null), A-Z in lower case."""
+    cut = F.split(text, GAP)  # an empty string at either end, if the text begins or ends with a gap
+    def trim(w):
+        first = (F.get(w, 0) == "").cast("int")
+        last = ((F.size(w) > 1) & (F.element_at(w, -1) == "")).cast("int")
+        return F.slice(w, first + 1, F.size(w) - first - last)
+    def lowered(w):
+        return F.when(F.octet_length(w) == F.char_length(w), F.lower(w)) \
+                .otherwise(F.translate(w, ASCII_UPPER, ASCII_LOWER))
+    return F.transform(F.get(F.transform(F.array(cut), trim), 0), lambda w: F.xxhash64(lowered(w)))
 
 
 def _grams(hashes: str, n: int) -> str:
     """Hashes of all runs of ``n`` entries of the array ``hashes`` (at least n)."""
     if n == 1:
         return hashes
-    return f"transform(sequence(0, size({hashes}) - {n}), i -> xxhash64(slice({hashes}, i + 1, {n})))"
+    run = ", ".join(f"{hashes}[i + {k}]" for k in range(n))
+    return f"transform(sequence(0, size({hashes}) - {n}), i -> xxhash64({run}))"
 
 
-def _winnow(hashes: str, window: int, gram: int) -> str:
-    """Array of (h, at, window) of the winnowed runs: the smallest hash of every
-    ``window - gram + 1`` neighbouring runs, the rightmost of equals."""
-    span = window - gram + 1
-    grams = _grams(hashes, gram)
+def _least(grams: str, span: int) -> str:
+    """The smallest of each ``span`` neighbours, once for each value."""
     if span == 1:
-        picks = f"transform({grams}, (h, i) -> struct(h AS h, i AS at, {window} AS window))"
-    else:
-        picks = (f"array_distinct(transform(array({grams}), g -> transform(sequence(0, size(g) - {span}), i -> "
-                 f"transform(array(reverse(slice(g, i + 1, {span}))), w -> transform(array(array_min(w)), m -> "
-                 f"struct(m AS h, CAST(i + {span} - array_position(w, m) AS int) AS at, {window} AS window))[0])[0]))[0])")
-    return (f"CASE WHEN size({hashes}) >= {window} THEN {picks} "
-            "ELSE CAST(array() AS array<struct<h:bigint,at:int,window:int>>) END")
+        return f"array_distinct({grams})"
+    run = ", ".join(f"g[i + {k}]" for k in range(span))
+    return (f"transform(array({grams}), g -> array_distinct("
+            f"transform(sequence(0, size(g) - {span}), i -> least({run}))))[0]")
 
 
 def gram_size(window: int, gram_words: int, window_words: int) -> int:
@@ -65,83 +71,112 @@ def gram_size(window: int, gram_words: int, window_words: int) -> int:
     return max(1, window - (window_words - gram_words))
 
 
+def _winnowed(hashes: str, window: int, gram: int) -> str:
+    """Array of the winnowed fingerprints of texts with a whole window."""
+    return (f"CASE WHEN size({hashes}) >= {window} THEN {_least(_grams(hashes, gram), window - gram + 1)} "
+            "ELSE CAST(array() AS array<bigint>) END")
+
+
 def items_of(bench: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item_words, item_hashes, item_ids): items with equal words are one."""
+    """(item_key, item_hashes, item_ids): items with equal words are one."""
     return (bench.select(F.col(id_col).cast("string").alias("item_id"),
-                         words(F.col(text_col)).alias("item_words"))
-            .filter(F.size("item_words") > 0)
-            .groupBy("item_words").agg(F.collect_set("item_id").alias("item_ids"))
-            .withColumn("item_hashes", F.expr("transform(item_words, w -> xxhash64(w))"))
-            .withColumn("item_key", F.xxhash64("item_words")))
-
-
-def _diagonals(hashed: DataFrame, items: DataFrame, window_words: int, gram_words: int,
-               short: list[int]) -> DataFrame:
-    """(doc_key, item_key, shift): where a document and an item share a
-    fingerprint; word i of the item meets word i + shift of the document."""
-    def picks(array: str, window: int) -> str:
-        return _winnow(array, window, gram_size(window, gram_words, window_words))
-
-    ours = F.concat(*[F.expr(picks("hashes", w)) for w in (window_words, *short)])
-    theirs = F.expr(picks("item_hashes", window_words))
-    for w in short:
-        theirs = F.when(F.size("item_hashes") == w, F.expr(picks("item_hashes", w))).otherwise(theirs)
-    left = hashed.select("doc_key", F.explode(ours).alias("f")) \
-                 .select("doc_key", "f.h", "f.at", "f.window")
-    right = items.select("item_key", F.explode(theirs).alias("f")) \
-                 .select("item_key", F.col("f.h").alias("i_h"), F.col("f.at").alias("i_at"),
-                         F.col("f.window").alias("i_window"))
-    return (left.join(right, (F.col("h") == F.col("i_h")) & (F.col("window") == F.col("i_window")))
-            .select("doc_key", "item_key", (F.col("at") - F.col("i_at")).alias("shift")).distinct())
-
+                         word_hashes(F.coalesce(F.col(text_col), F.lit(""))).alias("item_hashes"))
+            .filter(F.size("item_hashes") > 0)
+            .groupBy("item_hashes").agg(F.collect_set("item_id").alias("item_ids"))
+            .withColumn("item_key", F.xxhash64("item_hashes")))
+
+
+def _item_prints(items: DataFrame, windows: list[int], grams: dict[int, int], full: int) -> DataFrame:
+    """(item_key, i_h, i_window, i_at): every place of each item's fingerprints."""
+    parts = []
+    for w in windows:
+        mine = items.filter(F.size("item_hashes") >= full if w == full else F.size("item_hashes") == w)
+        places = (f"filter(transform({_grams('item_hashes', grams[w])}, (h, i) -> struct(h AS h, i AS at)), "
+                  f"x -> array_contains({_winnowed('item_hashes', w, grams[w])}, x.h))")
+        parts.append(mine.select("item_key", F.explode(F.expr(places)).alias("f"))
+                     .select("item_key", F.col("f.h").alias("i_h"), F.lit(w).alias("i_window"), F.col("f.at").alias("i_at")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
+
+
+def _meetings(keyed: DataFrame, items: DataFrame, windows: list[int], grams: dict[int, int], full: int) -> DataFrame:
+    """(k1, k2, n_words, meets) for each text: meets holds, for each item with a
+    shared fingerprint, (item_hashes, item_ids, prints of (h, at, window))."""
+    def marked(w):
+        return lambda h: F.struct(h.alias("h"), F.lit(w).alias("window"), F.lit(0).alias("n"))
+
+    prints = F.concat(
+        F.array(F.struct(F.lit(0).cast("long").alias("h"), F.lit(COUNT).alias("window"), F.size("hashes").alias("n"))),
+        *[F.transform(F.expr(_winnowed("hashes", w, grams[w])), marked(w)) for w in windows])
+    ours = keyed.select("k1", "k2", F.explode(prints).alias("f")).select("k1", "k2", "f.h", "f.window", "f.n")
+    count = items.sparkSession.range(1).select(
+        F.lit(None).cast("long").alias("item_key"), F.lit(0).cast("long").alias("i_h"),
+        F.lit(COUNT).alias("i_window"), F.lit(0).alias("i_at"))
+    theirs = _item_prints(items, windows, grams, full).union(count)
+    hits = ours.join(theirs, (F.col("h") == F.col("i_h")) & (F.col("window") == F.col("i_window")))
+    by_item = hits.groupBy("k1", "k2", "item_key").agg(
+        F.max("n").alias("n"), F.collect_set(F.struct("h", F.col("i_at").alias("at"), "window")).alias("prints"))
+    return (by_item.join(items.withColumnRenamed("item_key", "i_key"), F.col("item_key") == F.col("i_key"), "left")
+            .groupBy(F.col("k1").alias("m1"), F.col("k2").alias("m2"))
+            .agg(F.max("n").cast("long").alias("n_words"),
+                 F.collect_list(F.when(F.col("item_key").isNotNull(),
+                                       F.struct("item_hashes", "item_ids", "prints"))).alias("meets")))
+
+
+#: Diagonals (place in the document less place in the item) of the shared fingerprints.
+_SHIFTS = """
+transform(array({grams}), g -> flatten(transform(
+  filter(transform(g, (h, p) -> struct(h AS h, p AS p)), x -> exists(m.prints, f -> f.window = {window} AND f.h = x.h)),
+  x -> transform(filter(m.prints, f -> f.window = {window} AND f.h = x.h), f -> x.p - f.at))))[0]
+"""
 
 #: Places in the document (from 0) whose word is in a whole window that the item
-#: shares along this diagonal: runs of equal words, long enough, kept whole.
+#: shares along a diagonal: runs of equal words, long enough, kept whole.
 _EXTEND = """
-transform(array(transform(sequence(0, size(item_words) - 1), i ->
-    CASE WHEN i + shift >= 0 AND i + shift < size(words) AND words[i + shift] = item_words[i] THEN 1 ELSE 0 END)),
+transform(array(transform(sequence(0, size(m.item_hashes) - 1), i ->
+    CASE WHEN i + shift >= 0 AND i + shift < size(hashes) AND hashes[greatest(0, i + shift)] = m.item_hashes[i] THEN 1 ELSE 0 END)),
   same -> flatten(transform(
-    filter(sequence(0, size(item_words) - least(size(item_words), {window})),
-           i -> NOT array_contains(slice(same, i + 1, least(size(item_words), {window})), 0)),
-    i -> sequence(i + shift, i + shift + least(size(item_words), {window}) - 1))))[0]
+    filter(sequence(0, size(m.item_hashes) - least(size(m.item_hashes), {full})),
+           i -> NOT array_contains(slice(same, i + 1, least(size(m.item_hashes), {full})), 0)),
+    i -> sequence(i + shift, i + shift + least(size(m.item_hashes), {full}) - 1))))[0]
 """
 
 
+def _found(windows: list[int], grams: dict[int, int], full: int) -> str:
+    """Array of (item_ids, places) from ``hashes`` and ``meets``."""
+    shifts = ", ".join(
+        f"CASE WHEN size(hashes) >= {w} THEN {_SHIFTS.format(grams=_grams('hashes', grams[w]), window=w)} "
+        "ELSE CAST(array() AS array<int>) END" for w in windows)
+    return (f"transform(meets, m -> struct(m.item_ids AS item_ids, array_distinct(flatten(transform("
+            f"array_distinct(concat({shifts})), shift -> {_EXTEND.format(full=full)}))) AS places))")
+
+
 def annotate(docs: DataFrame, bench: DataFrame, window_words: int = 13, gram_words: int = 5,
              share: int = 20, text_col: str = "text", item_id_col: str = "item_id",
              item_text_col: str = "text") -> DataFrame:
-    """(row, n_words, n_hit, hit_items): ``row`` is the whole input row as one
-    struct, so columns of any name pass through; hit_items is the sorted array
-    of item ids (as text) with an occurring window; and contaminated, true if
-    there is a hit and ``share`` times the hit words are all words or more."""
+    """(row, n_words, n_hit, hit_items, contaminated): ``row`` is the whole input
+    row as one struct, so columns of any name pass through; hit_items is the
+    sorted array of item ids (as text) with an occurring window; contaminated is
+    true if there is a hit and ``share`` times the hit words are all or more."""
     items = items_of(bench, item_id_col, item_text_col)
-    lengths = items.select(F.size("item_words").alias("n")).filter(F.col("n") < window_words).distinct()
-    short = sorted(r.n for r in lengths.collect())  # at most window_words - 1 numbers
+    lengths = items.select(F.size("item_hashes").alias("n")).filter(F.col("n") < window_words).distinct()
+    windows = [window_words, *sorted(r.n for r in lengths.collect())]  # at most window_words numbers
+    grams = {w: gram_size(w, gram_words, window_words) for w in windows}
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     text = F.coalesce(F.col("row")[text_col], F.lit(""))
-    # equal texts have equal hits: a key of 128 bits and the length
-    keyed = whole.select("row", F.struct(F.xxhash64(text).alias("a"),
-                                         F.substring(F.md5(text.cast("binary")), 1, 16).alias("b"),
-                                         F.octet_length(text).alias("n")).alias("doc_key"),
-                         words(text).alias("words"))
-    hashed = keyed.select("doc_key", F.expr("transform(words, w -> xxhash64(w))").alias("hashes"))
-    found = _diagonals(hashed, items, window_words, gram_words, short)
-    meet = (found.join(items.select(F.col("item_key").alias("i_key"), "item_words", "item_ids"),
-                       F.col("item_key") == F.col("i_key"))
-            .groupBy(F.col("doc_key").alias("hit_key"))
-            .agg(F.collect_set(F.struct("shift", "item_words", "item_ids")).alias("meets")))
-    places = F.expr("transform(meets, m -> struct(m.item_ids AS item_ids, transform(array(struct("
-                    "m.shift AS shift, m.item_words AS item_words)), z -> "
-                    + _EXTEND.format(window=window_words).replace("item_words", "z.item_words")
-                    .replace("shift", "z.shift") + ")[0] AS places))")
-    joined = keyed.join(meet, F.col("doc_key") == F.col("hit_key"), "left")
-    return (joined.select("row", F.size("words").cast("long").alias("n_words"),
-                          F.when(F.col("meets").isNotNull(), places).alias("found"))
+    # equal texts have equal hits: a key of two hashes
+    keyed = whole.select("row", F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("second"), text).alias("k2"))
+    meet = _meetings(keyed.select("k1", "k2", word_hashes(text).alias("hashes")), items, windows, grams, window_words)
+    none = F.array().cast("array<bigint>")
+    return (keyed.join(meet, (F.col("k1") == F.col("m1")) & (F.col("k2") == F.col("m2")))
+            .select("row", "n_words", "meets", F.when(F.size("meets") > 0, word_hashes(text)).otherwise(none).alias("hashes"))
+            .select("row", "n_words", F.expr(_found(windows, grams, window_words)).alias("found"))
             .withColumn("found", F.filter("found", lambda m: F.size(m["places"]) > 0))
             .select("row", "n_words",
-                    F.coalesce(F.size(F.array_distinct(F.flatten(F.transform("found", lambda m: m["places"])))),
-                               F.lit(0)).cast("long").alias("n_hit"),
-                    F.coalesce(F.array_sort(F.array_distinct(F.flatten(F.transform("found", lambda m: m["item_ids"])))),
-                               F.array().cast("array<string>")).alias("hit_items"))
-            .withColumn("n_hit", F.when(F.col("n_hit") < 0, 0).otherwise(F.col("n_hit")))
+                    F.size(F.array_distinct(F.flatten(F.transform("found", lambda m: m["places"]))))
+                    .cast("long").alias("n_hit"),
+                    F.array_sort(F.array_distinct(F.flatten(F.transform("found", lambda m: m["item_ids"]))))
+                    .alias("hit_items"))
             .withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))))
