@@ -17,8 +17,10 @@ quarters, 2009-2016 for fiscal years).
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from dataclasses import dataclass
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +31,7 @@ STRICT_FISCAL_YEARS = ("2009", "2010", "2011", "2012", "2013", "2014", "2015", "
 STRICT_YEAR_PATTERN = r"20[01][0-9]"
 ANY_YEAR_PATTERN = r"[0-9]{4}"
 SYMBOLIC = ("year", "quarter", "month")
-INCORRECT = "Incorrect pattern for partitions"
+UNKNOWN_SPEC = "not a period spec: {!r} (none, year, quarter, month, FY2014, 2014Q1, 201401, or a range)"
 
 
 @dataclass(frozen=True)
@@ -64,56 +66,58 @@ def classify_period(spec: str | None, strict_years: bool = False) -> PeriodSpec:
             if kind == "year" and strict_years:
                 for v in (first, last):
                     if v[2:] not in STRICT_FISCAL_YEARS:
-                        raise ValueError(INCORRECT)
+                        raise ValueError(UNKNOWN_SPEC.format(spec))
             return PeriodSpec(kind, kind, False, first, last)
-    raise ValueError(INCORRECT)
+    raise ValueError(UNKNOWN_SPEC.format(spec))
 
 
-def expand_period(spec: str, strict_years: bool = False) -> list[str]:
-    """All period values of a spec, ascending (driver-side; a spec has at most
-    a few hundred values)."""
-    p = classify_period(spec, strict_years)
-    if p.kind == "none" or p.symbolic:
-        return []
-    if p.kind == "year":
-        a, b = sorted((int(p.first[2:]), int(p.last[2:])))
-        return [f"FY{y}" for y in range(a, b + 1)]
-    if p.kind == "quarter":
-        a, b = sorted((int(p.first.replace("Q", "0")), int(p.last.replace("Q", "0"))))
-        return [f"{v // 100}Q{v % 100}" for v in range(a, b + 1) if 1 <= v % 100 <= 4]
-    a, b = sorted((int(p.first), int(p.last)))
-    return [str(v) for v in range(a, b + 1) if 1 <= v % 100 <= 12]
+#: Months between the first days of neighbouring periods.
+STRIDE = {"year": 12, "quarter": 3, "month": 1}
 
 
-def valid_fiscal_years(years=STRICT_FISCAL_YEARS) -> list[str]:
-    """Single fiscal years followed by every from<=to range of them."""
-    out = [f"FY{y}" for y in years]
-    out += [f"FY{a}-FY{b}" for a in years for b in years if int(a) <= int(b)]
-    return out
+def first_day(kind: str, label: str) -> dt.date:
+    """The first day of the period with this label."""
+    year = int(label[2:6] if kind == "year" else label[:4])
+    if kind == "quarter":
+        return dt.date(year, 3 * int(label[5]) - 2, 1)
+    return dt.date(year, int(label[4:]) if kind == "month" else 1, 1)
 
 
 def period_frame(spark: SparkSession, spec: str, strict_years: bool = False) -> DataFrame:
-    """The periods of a spec as a one-column DataFrame named after the kind,
-    generated with ``sequence`` + ``explode`` (no driver-side list)."""
+    """The periods of a spec as a one-column DataFrame named after the kind:
+    a sequence of first days, each labelled as data of that day would be."""
     p = classify_period(spec, strict_years)
     if p.kind == "none" or p.symbolic:
         raise ValueError(f"spec {spec!r} has no literal periods")
-    one = spark.range(1)
-    if p.kind == "year":
-        a, b = sorted((int(p.first[2:]), int(p.last[2:])))
-        seq = one.select(F.explode(F.sequence(F.lit(a), F.lit(b))).alias("v"))
-        return seq.select(F.concat(F.lit("FY"), F.col("v").cast("string")).alias("year"))
-    if p.kind == "quarter":
-        a, b = sorted((int(p.first.replace("Q", "0")), int(p.last.replace("Q", "0"))))
-        seq = one.select(F.explode(F.sequence(F.lit(a), F.lit(b))).alias("v"))
-        return (seq.filter((F.col("v") % 100).between(1, 4))
-                .select(F.concat((F.col("v") / 100).cast("int").cast("string"),
-                                 F.lit("Q"), (F.col("v") % 100).cast("string"))
-                        .alias("quarter")))
-    a, b = sorted((int(p.first), int(p.last)))
-    seq = one.select(F.explode(F.sequence(F.lit(a), F.lit(b))).alias("v"))
-    return (seq.filter((F.col("v") % 100).between(1, 12))
-            .select(F.col("v").cast("string").alias("month")))
+    ends = sorted(first_day(p.kind, x) for x in (p.first, p.last))
+    days = F.sequence(*[F.lit(d) for d in ends], F.expr(f"interval {STRIDE[p.kind]} months"))
+    return spark.range(1).select(F.explode(days).alias("day")) \
+                .select(period_of(p.kind, "day").alias(p.kind))
+
+
+def expand_period(spec: str, strict_years: bool = False) -> list[str]:
+    """All period labels of a spec, ascending (a spec has at most some
+    hundreds): the calendar steps from the earlier end to the later."""
+    p = classify_period(spec, strict_years)
+    if p.kind == "none" or p.symbolic:
+        return []
+    low, high = sorted(first_day(p.kind, x) for x in (p.first, p.last))
+    months = (high.year - low.year) * 12 + high.month - low.month
+    days = [dt.date(low.year + (low.month - 1 + k) // 12, (low.month - 1 + k) % 12 + 1, 1)
+            for k in range(0, months + 1, STRIDE[p.kind])]
+    return [period_label(p.kind, d) for d in days]
+
+
+def period_label(kind: str, day: dt.date) -> str:
+    if kind == "year":
+        return f"FY{day:%Y}"
+    return f"{day:%Y%m}" if kind == "month" else f"{day:%Y}Q{(day.month + 2) // 3}"
+
+
+def valid_fiscal_years(years=STRICT_FISCAL_YEARS) -> list[str]:
+    """Single fiscal years, then every range of them, one-year ranges included."""
+    return [f"FY{y}" for y in years] + [
+        f"FY{a}-FY{b}" for a, b in combinations_with_replacement(sorted(years), 2)]
 
 
 def period_of(kind: str, ts: Column | str) -> Column:

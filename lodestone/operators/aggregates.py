@@ -6,8 +6,9 @@ values brought to the driver are scalars (a watermark, two counts).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def watermark_frame(target: DataFrame, col: str) -> DataFrame:
@@ -17,9 +18,20 @@ def watermark_frame(target: DataFrame, col: str) -> DataFrame:
                       F.count(F.lit(1)).alias("target_rows"))
 
 
-def watermark_value(target: DataFrame, col: str):
-    """The high-water mark as a Python scalar (one row to the driver)."""
-    return target.agg(F.max(col).alias("w")).first()["w"]
+def watermark_literal(target: DataFrame, col: str) -> tuple[Column, str] | None:
+    """The high-water mark as a literal of the column's own type, and as text;
+    None for an empty target. It never becomes a Python date, whose zone is the
+    process's: instants travel as microseconds, other types as text that Spark
+    casts back."""
+    kind = target.schema[col].dataType
+    top = F.max(col)
+    exact = F.unix_micros(top) if isinstance(kind, T.TimestampType) else top.cast("string")
+    row = target.agg(exact.alias("exact"), top.cast("string").alias("text")).first()
+    if row["exact"] is None:
+        return None
+    lit = F.timestamp_micros(F.lit(row["exact"])) if isinstance(kind, T.TimestampType) \
+        else F.lit(row["exact"]).cast(kind)
+    return lit, row["text"]
 
 
 def count_rows(df: DataFrame) -> int:

@@ -38,14 +38,18 @@ def cleanse_column(col: HeaderColumn, source: Column | None = None,
 def cleanse_projection(raw: DataFrame, header: list[HeaderColumn],
                        partition_col: str | None = None,
                        decimal_mode: str = "exact",
-                       with_rejects: bool = False) -> DataFrame:
+                       with_rejects: bool = False,
+                       rejected_col: str | None = None) -> DataFrame:
     """Typed staging rows from raw rows.
 
     ``partition_col`` (symbolic period partitions) is cleansed as text and
     put last. ``with_rejects`` adds ``_rejects``: the names of columns whose
     non-empty text did not convert, so malformed input is counted instead of
-    silently becoming NULL."""
+    silently becoming NULL; ``rejected_col`` adds their number instead, which
+    stays inside whole-stage code."""
     exprs = [cleanse_column(c, decimal_mode=decimal_mode) for c in header]
+    lost = [((convert_null(F.col(c.name.strip())) != F.lit("")) & e.isNull()).cast("int")
+            for c, e in zip(header, exprs) if not isinstance(staging_type(c), T.StringType)]
     if partition_col:
         exprs.append(convert_null(F.col(partition_col)).alias(partition_col))
     if with_rejects:
@@ -59,4 +63,6 @@ def cleanse_projection(raw: DataFrame, header: list[HeaderColumn],
         rejects = (F.filter(F.array(*failed), lambda x: x.isNotNull())
                    if failed else F.array().cast("array<string>"))
         exprs.append(rejects.alias("_rejects"))
+    if rejected_col:
+        exprs.append(sum(lost, F.lit(0)).alias(rejected_col))
     return raw.select(*exprs)

@@ -1,32 +1,22 @@
 """Incremental merge and latest-version operators.
 
 ``merge_patch`` (column-level patch merge)
-    Every column of the result is ``coalesce(incr.c, base.c)`` over a full
-    outer join on the key columns: a NULL in the increment keeps the old value,
-    new keys are inserted, untouched rows are kept, nothing is deleted, NULL
-    keys never match (both rows survive).
-
-    Two physical forms with identical results:
-
-    * ``"shuffle"``: one full outer join. The increment is hinted as the hash
-      build side, so the big side is streamed and a hot key in the base never
-      has to be buffered in memory.
-    * ``"broadcast"``: for an increment of checked size. ``base LEFT JOIN
-      broadcast(incr)`` patches in a map-only pass over the base; the inserts
-      are ``incr`` anti-joined with the keys of ``base`` that matched (a set no
-      larger than the increment). The base is never shuffled.
-
-    ``"auto"`` picks broadcast only when the increment's estimated size is
-    below the limit (by default the session's
-    ``spark.sql.autoBroadcastJoinThreshold``; ``-1`` never broadcasts), and
-    the shuffle form otherwise. The estimate is the optimizer's: file sizes
-    of the scans, never lowered by filters or aggregates without CBO.
-
-    The increment is first reduced to one row per key (latest by
-    ``dedupe_by``; without it, the greatest row), so the join never pairs
-    duplicates on both sides and the output stays linear in the inputs.
-    ``keep_duplicates=True`` skips that step for increments whose keys are
-    known to be unique.
+    Every column of the result is ``coalesce(incr.c, base.c)``: a NULL in the
+    increment keeps the old value, new keys are inserted, untouched rows are
+    kept, nothing is deleted, NULL keys never match (both rows survive).
+
+    That is ``base LEFT JOIN incr`` for the rows that stay and ``incr ANTI JOIN
+    base keys`` for those that are new. Spark chooses the join by its own
+    statistics; where it shuffles, adaptive execution splits a hot key of
+    either join (it cannot split a full outer join). Rows with a NULL key are
+    set aside first, so they never gather in one task.
+
+    Several increment rows of one key are folded into one patch, column by
+    column: the last non-NULL value in the order of ``dedupe_by`` (ties: the
+    greatest value). So one batch gives what its rows would give one after
+    another. The fold is a plain aggregate: a hot key collapses before the
+    shuffle. Without an order, repeated keys are an error; with
+    ``keep_duplicates=True`` they multiply the rows they match, unfolded.
 
 ``latest_version``
     ``base UNION ALL incr`` restricted to the rows holding the greatest
@@ -43,27 +33,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-def broadcast_limit_of(spark) -> int:
-    """The session's broadcast threshold (``-1`` disables broadcasting)."""
-    v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    v = v.strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-             "g": 1 << 30, "gb": 1 << 30}
-    for u in sorted(units, key=len, reverse=True):
-        if v.endswith(u) and v[:-len(u)].strip().lstrip("-").isdigit():
-            return int(v[:-len(u)]) * units[u]
-    return int(v)
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer size estimate of a plan (exact for local data, the file size
-    of scans; filters and aggregates never lower it without CBO, so it is a
-    safe upper bound for a broadcast decision)."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    size = stats.sizeInBytes()
-    return int(size if isinstance(size, int) else str(size.toString()))
-
-
 def _keys(keys) -> list[str]:
     if isinstance(keys, str):
         keys = keys.split()
@@ -78,54 +47,62 @@ def _eq(left: str, right: str, keys: list[str]) -> Column:
                   [F.col(f"{left}.{k}") == F.col(f"{right}.{k}") for k in keys])
 
 
-def one_row_per_key(df: DataFrame, keys, order_by: str | None = None) -> DataFrame:
-    """Reduce to one row per non-null key: the row with the greatest
-    ``order_by`` (ties and no ``order_by``: the greatest row). Rows with a
-    NULL key are kept as they are, since they match nothing.
+def any_null(keys) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in _keys(keys)])
+
 
-    A plain aggregate over a struct, so partial aggregation collapses a hot
-    key on the map side before anything is shuffled."""
+def repeated_keys(df: DataFrame, keys) -> bool:
+    """Whether a key without NULLs has more than one row (one aggregate)."""
+    keys = _keys(keys)
+    return not (df.filter(~any_null(keys)).groupBy(*keys).count()
+                .filter(F.col("count") > 1).isEmpty())
+
+
+def fold_increment(df: DataFrame, keys, order_by: str) -> DataFrame:
+    """One patch per key without NULLs: of each column the last non-NULL value
+    in the order of ``order_by``. Rows with a NULL key stay as they are."""
     keys = _keys(keys)
     others = [c for c in df.columns if c not in keys]
     if not others:
-        return df.dropDuplicates(keys)
-    ordered = ([order_by] if order_by else []) + [c for c in others if c != order_by]
-    not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    top = (df.filter(not_null).groupBy(*keys)
-           .agg(F.max(F.struct(*ordered)).alias("_top"))
-           .select(*keys, *[F.col(f"_top.{c}").alias(c) for c in others])
-           .select(*df.columns))
-    return top.unionByName(df.filter(~not_null))
+        return df.filter(~any_null(keys)).distinct().unionByName(df.filter(any_null(keys)))
+    last = [F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(order_by).alias("o"), F.col(c).alias("v"))))["v"]
+            .alias(c) for c in others]
+    folded = df.filter(~any_null(keys)).groupBy(*keys).agg(*last).select(*df.columns)
+    return folded.unionByName(df.filter(any_null(keys)))
 
 
 def merge_patch(base: DataFrame, incr: DataFrame, keys, strategy: str = "auto",
                 dedupe_by: str | None = None, keep_duplicates: bool = False,
-                broadcast_limit: int | None = None) -> DataFrame:
+                inserted_col: str | None = None) -> DataFrame:
+    """``strategy`` "shuffle" asks for sort-merge joins whatever the sizes;
+    "auto" asks for nothing. ``inserted_col`` adds a flag of the inserted rows."""
     keys = _keys(keys)
     cols = base.columns
     missing = [c for c in cols if c not in incr.columns]
     if missing:
         raise ValueError(f"increment lacks columns {missing}")
-    incr = incr.select(*cols)
-    if not keep_duplicates:
-        incr = one_row_per_key(incr, keys, dedupe_by)
-    if strategy == "auto":
-        limit = broadcast_limit_of(base.sparkSession) if broadcast_limit is None \
-            else broadcast_limit
-        strategy = ("broadcast" if 0 <= estimated_bytes(incr) <= limit else "shuffle")
-    patched = [F.coalesce(F.col(f"i.{c}"), F.col(f"o.{c}")).alias(c) for c in cols]
-    if strategy == "shuffle":
-        i = incr.hint("shuffle_hash").alias("i")
-        return i.join(base.alias("o"), _eq("i", "o", keys), "full_outer").select(*patched)
-    if strategy != "broadcast":
+    if strategy not in ("auto", "shuffle"):
         raise ValueError(f"unknown merge strategy {strategy!r}")
-    small = F.broadcast(incr).alias("i")
-    updated = base.alias("o").join(small, _eq("o", "i", keys), "left").select(*patched)
-    matched = (base.select(*keys)
-               .join(F.broadcast(incr.select(*keys)), keys, "left_semi")
-               .distinct())
-    inserts = incr.join(matched, keys, "left_anti").select(*cols)
-    return updated.unionByName(inserts)
+    incr = incr.select(*cols)
+    if dedupe_by:
+        incr = fold_increment(incr, keys, dedupe_by)
+    elif not keep_duplicates and repeated_keys(incr, keys):
+        raise ValueError(f"the increment repeats keys {keys}: give dedupe_by, the order of its rows")
+
+    def joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        if strategy == "shuffle":
+            right = right.hint("merge")
+        return left.alias("l").join(right.alias("r"), _eq("l", "r", keys), how)
+
+    def flagged(df: DataFrame, new: bool) -> DataFrame:
+        return df.withColumn(inserted_col, F.lit(new)) if inserted_col else df
+
+    matching = ~any_null(keys)
+    stays = joined(base.filter(matching), incr.filter(matching), "left_outer") \
+        .select(*[F.coalesce(F.col(f"r.{c}"), F.col(f"l.{c}")).alias(c) for c in cols])
+    new = joined(incr.filter(matching), base.filter(matching).select(*keys), "left_anti").select(*cols)
+    aside = flagged(base.filter(any_null(keys)), False).unionByName(flagged(incr.filter(any_null(keys)), True))
+    return flagged(stays, False).unionByName(flagged(new, True)).unionByName(aside)
 
 
 def union_base_incr(base: DataFrame, incr: DataFrame) -> DataFrame:

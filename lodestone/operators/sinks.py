@@ -11,7 +11,13 @@
 * ``dynamic=True`` overwrites only the partitions present in the data (a
   per-write option, not a session setting).
 * Raw batches live under ``batch_id=<id>`` partitions: the current batch is
-  a partition filter away, older batches are the archive.
+  a partition filter away, older batches are the archive. A batch is landed in
+  a folder that readers skip and then published by a rename, so a rerun with
+  fewer periods, or no rows, leaves exactly the new batch.
+* A table is replaced by renames, and the old version is set aside until the
+  new one stands; ``recover`` puts it back if a run died in between. On an
+  object store, where a rename is a copy, point the layout at a store with
+  atomic renames.
 """
 
 from __future__ import annotations
@@ -19,7 +25,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.session import delete_path, list_dirs, path_exists, rename_path
+from lodestone.session import (data_files, delete_path, list_dirs, make_dirs, path_exists,
+                               rename_path)
 from lodestone.sources.rawtext import read_raw_text, to_lines
 
 # Accepted format names (case-insensitive) and their meaning.
@@ -31,6 +38,8 @@ FORMATS = {
 REJECTED_FORMATS = ("SEQ", "SEQUENCEFILE", "RC", "RCFILE")
 COMPRESSION = {"parquet": "snappy", "orc": "snappy", "avro": "snappy", "text": "gzip"}
 BATCH_COL = "batch_id"
+#: Rows in one file at most: compressed text cannot be split by its readers.
+MAX_RECORDS = 5_000_000
 
 
 class FormatError(ValueError):
@@ -61,7 +70,8 @@ def compression_for(fmt: str, compress: bool = True) -> str:
 
 def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                   partition_by: list[str] | None = None, compress: bool = True,
-                  dynamic: bool = False, rebalance_exempt: tuple[str, ...] = ()) -> None:
+                  dynamic: bool = False, rebalance_exempt: tuple[str, ...] = (),
+                  max_records: int = MAX_RECORDS) -> None:
     fmt = resolve_format(fmt)
     if fmt == "avro" and not avro_available(df.sparkSession):
         raise FormatError("the Avro data source is not on the classpath")
@@ -75,6 +85,8 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "o
     if fmt == "text":
         df = df.select(to_lines(df, data_cols).alias("value"), *parts)
     w = df.write.mode(mode).format(fmt).option("compression", compression_for(fmt, compress))
+    if max_records:
+        w = w.option("maxRecordsPerFile", max_records)
     if parts:
         w = w.partitionBy(*parts)
     if dynamic:
@@ -103,42 +115,51 @@ def as_strings(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
-def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a source that arrives in fewer partitions than the cluster has
-    cores (one unsplit file, a single-stream JDBC pull) over all of them, so
-    landing, parsing, cleansing and the staging write run in parallel. A
-    source that is already wide — the normal case at scale — is left alone,
-    so no shuffle is added there."""
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+def widen(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Spread a source known to arrive in few partitions (one unsplittable
+    file, a single-stream JDBC pull) over the cluster, so that landing, parsing
+    and cleansing run in parallel. A wide source needs no such shuffle."""
+    return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
 
 
-def land_raw(df: DataFrame, raw_path: str, batch_id: str, fmt: str = "text",
-             partition_col: str | None = None, compress: bool = True,
-             archive: bool = False) -> None:
-    """Write one extract batch to the raw layer.
-
-    The batch replaces any earlier copy of the same batch id (dynamic
-    overwrite of its partition). Without archiving, older batches are removed
-    once the new one is complete; with archiving they stay readable."""
-    spark = df.sparkSession
-    # a period column is rebalanced by the write itself; otherwise spread a
-    # narrow source once
-    strings = as_strings(df) if partition_col else widen(as_strings(df))
-    raw = strings.withColumn(BATCH_COL, F.lit(str(batch_id)))
-    parts = [BATCH_COL] + ([partition_col] if partition_col else [])
-    # the batch id is one constant value: no shuffle is needed to group it
-    write_dataset(raw, raw_path, fmt, mode="overwrite", partition_by=parts,
-                  compress=compress, dynamic=True, rebalance_exempt=(BATCH_COL,))
+def _landing(raw_path: str, batch_id: str) -> str:
+    return f"{raw_path}/_landing_{batch_id}"
+
+
+def land_batch(df: DataFrame, raw_path: str, batch_id: str, fmt: str = "text",
+               partition_col: str | None = None, compress: bool = True, narrow: bool = False) -> None:
+    """Write one extract batch as text columns where readers do not look yet.
+    A period column is rebalanced by the write itself."""
+    strings = as_strings(df)
+    if narrow and not partition_col:
+        strings = widen(strings)
+    write_dataset(strings, _landing(raw_path, batch_id), fmt, mode="overwrite",
+                  partition_by=[partition_col] if partition_col else None, compress=compress)
+
+
+def publish_batch(spark: SparkSession, raw_path: str, batch_id: str, archive: bool = False) -> None:
+    """Make the landed batch the batch of its id. Without archiving, other
+    batches go once it stands. Publishing a batch twice changes nothing."""
+    landed, batch = _landing(raw_path, batch_id), f"{raw_path}/{BATCH_COL}={batch_id}"
+    recover(spark, batch)
+    if path_exists(spark, landed):
+        swap_in(spark, batch, landed, keep_previous=False)
+    elif not path_exists(spark, batch):
+        raise FileNotFoundError(f"batch {batch_id!r} has not been landed in {raw_path}")
     if not archive:
         for d in list_dirs(spark, raw_path):
             if d.startswith(f"{BATCH_COL}=") and d != f"{BATCH_COL}={batch_id}":
                 delete_path(spark, f"{raw_path}/{d}")
 
 
+def land_raw(df: DataFrame, raw_path: str, batch_id: str, fmt: str = "text",
+             partition_col: str | None = None, compress: bool = True,
+             archive: bool = False, narrow: bool = False) -> None:
+    """Land and publish one batch."""
+    land_batch(df, raw_path, batch_id, fmt, partition_col, compress, narrow)
+    publish_batch(df.sparkSession, raw_path, batch_id, archive)
+
+
 def read_raw(spark: SparkSession, raw_path: str, names: list[str], fmt: str = "text",
              batch_id: str | None = None, partition_col: str | None = None) -> DataFrame:
     """All-string raw rows (optionally of one batch: a partition filter, so
@@ -192,19 +213,78 @@ def write_staging(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "o
                   compress=compress, dynamic=dynamic)
 
 
-def swap_in(spark: SparkSession, table_path: str, new_path: str) -> None:
-    """Make ``new_path`` the table and keep the previous version at
-    ``new_path`` (three directory renames: table->old, new->table, old->new).
-    Nothing is overwritten while it is being read."""
-    old_path = table_path.rstrip("/") + "__old"
-    if path_exists(spark, old_path):
-        delete_path(spark, old_path)
+def _aside(path: str) -> str:
+    """Where the old version of ``path`` waits; readers skip the name."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_old_{name}"
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """After a run that died between the renames of ``swap_in``: the table is
+    put back if it is away, and what a finished swap left behind is dropped."""
+    old = _aside(path)
+    if not path_exists(spark, old):
+        return False
+    if path_exists(spark, path):
+        delete_path(spark, old)
+        return False
+    rename_path(spark, old, path)
+    return True
+
+
+def swap_in(spark: SparkSession, table_path: str, new_path: str, keep_previous: bool = True) -> None:
+    """Make the complete ``new_path`` the table. The old version is renamed
+    aside, the new one into place, and only then does the old one move to
+    ``new_path`` (or go). At every step one whole version exists; ``recover``
+    finds it."""
+    if not path_exists(spark, new_path):
+        raise FileNotFoundError(f"no new version at {new_path}")
+    recover(spark, table_path)
+    old = _aside(table_path)
     had_table = path_exists(spark, table_path)
     if had_table:
-        rename_path(spark, table_path, old_path)
+        rename_path(spark, table_path, old)
     rename_path(spark, new_path, table_path)
-    if had_table:
-        rename_path(spark, old_path, new_path)
+    if had_table and keep_previous:
+        rename_path(spark, old, new_path)
+    elif had_table:
+        delete_path(spark, old)
+
+
+def replace_partitions(spark: SparkSession, table_path: str, new_path: str, column: str,
+                       values: list[str] | None = None) -> None:
+    """Swap each partition folder of the complete ``new_path`` into the table;
+    of ``values`` (all partitions that are being replaced), those without rows
+    in ``new_path`` go. Doing it again after a crash ends the same."""
+    make_dirs(spark, table_path)
+    fresh = [d for d in list_dirs(spark, new_path) if d.startswith(f"{column}=")]
+    for d in {*fresh, *(f"{column}={v}" for v in values or [])}:
+        recover(spark, f"{table_path}/{d}")
+        if d in fresh:
+            swap_in(spark, f"{table_path}/{d}", f"{new_path}/{d}", keep_previous=False)
+        else:
+            delete_path(spark, f"{table_path}/{d}")
+    delete_path(spark, new_path)
+
+
+def remove_batch_files(spark: SparkSession, path: str, batch_id: str) -> None:
+    for folder, name in data_files(spark, path):
+        if name.startswith(f"batch-{batch_id}-"):
+            delete_path(spark, f"{path}/{folder}{name}")
+
+
+def append_batch(df: DataFrame, path: str, batch_id: str, fmt: str = "parquet",
+                 partition_col: str | None = None, compress: bool = True) -> None:
+    """Append rows once per batch id: they are written aside and then renamed
+    into the table under names that carry the id, after files of that id from
+    an earlier attempt are gone. (A rename for each file; no data passes here.)"""
+    spark, attempt = df.sparkSession, f"{path}/_append_{batch_id}"
+    write_dataset(df, attempt, fmt, partition_by=[partition_col] if partition_col else None, compress=compress)
+    remove_batch_files(spark, path, batch_id)
+    for folder, name in data_files(spark, attempt):
+        make_dirs(spark, f"{path}/{folder}")
+        rename_path(spark, f"{attempt}/{folder}{name}", f"{path}/{folder}batch-{batch_id}-{name}")
+    delete_path(spark, attempt)
 
 
 # ------------------------------------------------------------------ catalog

@@ -22,6 +22,10 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("exec_lapse_s", T.IntegerType()),
     T.StructField("fail_step", T.IntegerType()),
     T.StructField("status", T.StringType()),
+    # beyond the fixed record: what a count alone would hide
+    T.StructField("excluded_rows", T.LongType()),
+    T.StructField("rejected_values", T.LongType()),
+    T.StructField("malformed_lines", T.LongType()),
 ])
 
 
@@ -34,7 +38,8 @@ def exec_id_of(batch_id: str) -> int:
 def audit_frame(spark: SparkSession, spec, result, batch_id: str) -> DataFrame:
     row = (exec_id_of(batch_id), spec.extract_id, f"{spec.interface}.{spec.table}".upper(),
            result.source_rows, spec.refresh.upper(), result.target_rows, result.incr_col_val,
-           result.started, result.ended, result.elapsed_s, result.fail_step, result.status)
+           result.started, result.ended, result.elapsed_s, result.fail_step, result.status,
+           result.excluded_rows, result.rejected_values, result.malformed_lines)
     return spark.createDataFrame([row], AUDIT_SCHEMA)
 
 

@@ -2,7 +2,7 @@
 listing, pattern selection and lookup. These are small metadata tables
 (one row per source / per table to load); they are DataFrames so they can
 live in any catalog or folder, and only a selected spec row reaches the
-driver.
+driver. A selected row is turned into a load (``load_from_config``).
 """
 
 from __future__ import annotations
@@ -11,8 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestone.plans.pipeline import LoadSpec
+from lodestone.functions.types import HeaderColumn, header_from_schema
+from lodestone.plans.pipeline import Layout, LoadResult, LoadSpec, run_load
+from lodestone.session import path_exists
+from lodestone.sources import jdbc as J
 
+# The columns of the configuration tables.
 SOURCE_SCHEMA = T.StructType([
     T.StructField("service_nm", T.StringType()),
     T.StructField("source_db_typ", T.StringType()),
@@ -47,12 +51,13 @@ EXTRACT_SCHEMA = T.StructType([
 ])
 
 # Registration defaults (key=value, as a defaults file holds them).
+# The raw format is one that every Spark installation can write.
 DEFAULTS_TEXT = """INTERFACE_NM=STAGE
 REFRESH_TYP=FULL
 IS_PARTITION=N
 PARALLEL_EXTRACT=N
 EXTRACT_PARALLELISM=1
-IMPORT_FILE_FORMAT=AVRO
+IMPORT_FILE_FORMAT=PARQUET
 STG_FILE_FORMAT=PARQUET
 FILE_COMPRESS=Y
 CREATE_JOB=N"""
@@ -112,14 +117,44 @@ def config_lookup(sources: DataFrame, extracts: DataFrame, service: str, schema:
     e = extracts.filter((F.upper("service_nm") == service.upper()) &
                         (F.upper("src_schema") == schema.upper()) &
                         (F.upper("src_tab_nm") == table.upper()))
-    s = sources.select(*[F.col(c).alias(f"src_{c}") if c != "service_nm" else F.col(c)
-                         for c in sources.columns])
-    joined = e.join(F.broadcast(s), "service_nm", "inner")
+    s = sources.select(*[F.col(c).alias(f"src_{c}") for c in sources.columns])
+    joined = e.join(s, F.upper("service_nm") == F.upper("src_service_nm"), "inner")
     return (joined.withColumn("refresh_typ", F.upper("refresh_typ"))
             .withColumn("src_source_db_typ", F.lower("src_source_db_typ"))
             .orderBy(F.col("extract_id").asc_nulls_last()).limit(1))
 
 
+def append_rows(spark: SparkSession, path: str, rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Append configuration rows to the table at ``path``; the whole table."""
+    rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]) \
+        .coalesce(1).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def register_source(spark: SparkSession, path: str, **source) -> DataFrame:
+    """Append one source; its name must be new (names ignore case)."""
+    unknown = set(source) - set(SOURCE_SCHEMA.names)
+    if unknown or not source.get("service_nm"):
+        raise ValueError(f"a source needs service_nm and knows no {sorted(unknown)}")
+    if path_exists(spark, path):
+        known = spark.read.schema(SOURCE_SCHEMA).parquet(path)
+        if not known.filter(F.upper("service_nm") == source["service_nm"].upper()).isEmpty():
+            raise ValueError(f"source {source['service_nm']!r} is registered")
+    row = spark.createDataFrame([tuple(source.get(n) for n in SOURCE_SCHEMA.names)], SOURCE_SCHEMA)
+    return append_rows(spark, path, row, SOURCE_SCHEMA)
+
+
+def register_tables(spark: SparkSession, path: str, tables: DataFrame, service: str, schema: str,
+                    defaults: dict[str, str] | None = None, **columns) -> DataFrame:
+    """Append a spec for each table of a listing; ``columns`` overrides values
+    (keys, refresh type, query, split column ...)."""
+    known = spark.read.schema(EXTRACT_SCHEMA).parquet(path) if path_exists(spark, path) else empty_extracts(spark)
+    new = register_extracts(known, tables, service, schema, defaults)
+    for name, value in columns.items():
+        new = new.withColumn(name, F.lit(value).cast(EXTRACT_SCHEMA[name].dataType))
+    return append_rows(spark, path, new, EXTRACT_SCHEMA)
+
+
 def register_extracts(extracts: DataFrame, tables: DataFrame, service: str, schema: str,
                       defaults: dict[str, str] | None = None,
                       table_col: str = "table_name") -> DataFrame:
@@ -149,6 +184,50 @@ def register_extracts(extracts: DataFrame, tables: DataFrame, service: str, sche
     return new.select(*[row[f.name].alias(f.name) for f in EXTRACT_SCHEMA.fields])
 
 
+def connection_from_row(row) -> J.Connection:
+    """The connection of a joined spec row; the password stays a reference."""
+    r = row.asDict()
+    return J.Connection(r["src_source_db_typ"], r.get("src_hostname") or "", r.get("src_port") or "",
+                        r.get("src_db_name") or "", r.get("src_username"), r.get("src_password_ref"))
+
+
+def query_of(row, query: str | None = None, query_dir: str | None = None,
+             spark: SparkSession | None = None) -> str | None:
+    """The query to pull: the argument, else the configured one, else the file
+    ``<extract_name>.sql`` of the query folder, else none (the whole table)."""
+    if query or row["query"]:
+        return query or row["query"]
+    if query_dir and path_exists(spark, path := f"{query_dir}/{row['extract_name']}.sql"):
+        return spark.read.option("wholetext", True).text(path).first()["value"]
+    return None
+
+
+def source_from_row(spark: SparkSession, row, query: str | None = None,
+                    query_dir: str | None = None, **options) -> DataFrame:
+    """The DataFrame that pulls a configured extract: its query or table, in
+    parallel if the row says so and names a split column."""
+    conn, r = connection_from_row(row), row.asDict()
+    sql = query_of(row, query, query_dir, spark)
+    wide = (r.get("parallel_extract") or "N").upper() == "Y"
+    streams = int(r.get("extract_parallelism") or 1) if wide else 1
+    return J.read_split(spark, conn, r["src_schema"], r["src_tab_nm"], r.get("parallel_splitby"),
+                        streams, query=sql, **options)
+
+
+def load_from_config(spark: SparkSession, sources: DataFrame, extracts: DataFrame, service: str, schema: str,
+                     table: str, layout: Layout, batch_id: str, query: str | None = None,
+                     query_dir: str | None = None, header: list[HeaderColumn] | None = None,
+                     options: dict | None = None, **run) -> LoadResult:
+    """Runs one registered table end to end. Without ``header``, the header is
+    that of the pulled columns."""
+    row = config_lookup(sources, extracts, service, schema, table).first()
+    if row is None:
+        raise LookupError(f"no configured extract {service}.{schema}.{table}")
+    source = source_from_row(spark, row, query, query_dir, **(options or {}))
+    return run_load(spark, source, header or header_from_schema(source.schema), spec_from_row(row), layout,
+                    batch_id, **run)
+
+
 def spec_from_row(row) -> LoadSpec:
     """LoadSpec from one extract config row (a ``Row`` or dict)."""
     r = row.asDict() if hasattr(row, "asDict") else dict(row)
@@ -171,6 +250,7 @@ def spec_from_row(row) -> LoadSpec:
         compress=(g("file_compress", "Y").upper() == "Y"),
         archive=(g("raw_archiving", "N").upper() == "Y"),
         extract_id=g("extract_id"),
+        narrow_source=g("parallel_extract", "N").upper() != "Y",
     )
 
 

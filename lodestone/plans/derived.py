@@ -104,22 +104,27 @@ def raw_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    return o.select("o_orderkey", "o_orderstatus", "o_totalprice",
-                    ts_literal(BASE_TS).alias("extract_ts"))
+    """All of orders, as of the first extract."""
+    return table(spark, sf_dir, "orders").withColumn("extract_ts", ts_literal(BASE_TS))
+
+
+def _patched(k: Column) -> list[Column]:
+    """Columns of an increment row: untouched ones are NULL on some rows."""
+    return [
+        F.when(k % 20 == 0, F.lit("")).otherwise(F.lit("U")).alias("o_orderstatus"),
+        F.when(k % 30 == 0, F.lit(None).cast("double"))
+        .otherwise(F.col("o_totalprice") + 1).alias("o_totalprice"),
+        F.when(k % 70 == 0, F.lit(None).cast("timestamp_ntz")).otherwise(F.col("o_orderdate")).alias("o_orderdate"),
+        F.when(k % 110 == 0, F.lit(None).cast("string")).otherwise(F.lit("0-PATCH")).alias("o_orderpriority"),
+    ]
 
 
 def delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 10 == 0)
     k = F.col("o_orderkey")
     return o.select(
-        F.when(k % 50 == 0, k + NEW_KEY_OFFSET).otherwise(k).alias("o_orderkey"),
-        F.when(k % 20 == 0, F.lit("")).otherwise(F.lit("U")).alias("o_orderstatus"),
-        F.when(k % 30 == 0, F.lit(None).cast("double"))
-        .otherwise(F.col("o_totalprice") + 1).alias("o_totalprice"),
-        F.when(k % 40 == 0, ts_literal(BASE_TS)).otherwise(ts_literal(DELTA_TS))
-        .alias("extract_ts"),
-    )
+        F.when(k % 50 == 0, k + NEW_KEY_OFFSET).otherwise(k).alias("o_orderkey"), "o_custkey", *_patched(k),
+        F.when(k % 40 == 0, ts_literal(BASE_TS)).otherwise(ts_literal(DELTA_TS)).alias("extract_ts"))
 
 
 def with_null_keys(df: DataFrame, key: str, every: int) -> DataFrame:
@@ -131,43 +136,34 @@ def with_null_keys(df: DataFrame, key: str, every: int) -> DataFrame:
 
 def comp_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders keyed by (o_custkey, o_orderkey)."""
-    return (table(spark, sf_dir, "orders")
-            .select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice",
-                    ts_literal(BASE_TS).alias("extract_ts")))
+    return base(spark, sf_dir)
 
 
 def comp_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 7 == 0)
     k = F.col("o_orderkey")
     return o.select(
-        F.when(k % 21 == 0, F.col("o_custkey") + NEW_KEY_OFFSET)
-        .otherwise(F.col("o_custkey")).alias("o_custkey"),
         "o_orderkey",
-        F.lit("C").alias("o_orderstatus"),
-        F.when(k % 3 == 0, F.lit(None).cast("double"))
-        .otherwise(F.col("o_totalprice") * 2).alias("o_totalprice"),
+        F.when(k % 21 == 0, F.col("o_custkey") + NEW_KEY_OFFSET)
+        .otherwise(F.col("o_custkey")).alias("o_custkey"), *_patched(k),
         F.when(k % 4 == 0, ts_literal(BASE_TS)).otherwise(ts_literal(DELTA_TS))
-        .alias("extract_ts"),
-    )
+        .alias("extract_ts"))
 
 
 def lineitem_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineitem keyed by (l_orderkey, l_linenumber): keys repeat."""
-    return (table(spark, sf_dir, "lineitem")
-            .select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag",
-                    "l_shipdate"))
+    return table(spark, sf_dir, "lineitem")
 
 
 def lineitem_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per key of the orders ending in 3: the latest ship date's
-    greatest quantity, plus one, flagged 'U'."""
+    """All lines of the orders ending in 3, several for many keys, each a patch
+    of some columns: quantities only of even part keys, discounts only of odd."""
     li = table(spark, sf_dir, "lineitem").filter(F.col("l_orderkey") % 10 == 3)
-    top = (li.groupBy("l_orderkey", "l_linenumber")
-           .agg(F.max(F.struct("l_shipdate", "l_quantity")).alias("t")))
-    return top.select("l_orderkey", "l_linenumber",
-                      (F.col("t.l_quantity") + 1).alias("l_quantity"),
-                      F.lit("U").alias("l_returnflag"),
-                      F.col("t.l_shipdate").alias("l_shipdate"))
+    even = F.col("l_partkey") % 2 == 0
+    return li.select(*[
+        F.when(even, F.col(c) + 1).alias(c) if c == "l_quantity" else
+        F.when(~even, F.col(c)).alias(c) if c in ("l_discount", "l_suppkey") else
+        F.lit("U").alias(c) if c == "l_returnflag" else F.col(c) for c in li.columns])
 
 
 def tricky_text(spark: SparkSession, sf_dir: str) -> DataFrame:

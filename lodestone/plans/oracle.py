@@ -1,18 +1,24 @@
 """DuckDB SQL text for the correctness oracle of each registered query.
 
 The derived relations of ``derived.py`` are restated here as CTEs over the
-same parquet views, and the cleansing expressions are generated from the same
-header rows, so both engines see identical inputs and identical types.
+same parquet views. Nothing of the code under test decides what is expected:
+the typed columns of each header are written out below.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+from lodestone.plans.derived import BASE_TS, DELTA_TS, NEW_KEY_OFFSET
 
-from lodestone.functions.types import (DATE_KIND, DECIMAL_KIND, HeaderColumn,
-                                       cleanse_kind, staging_type)
-from lodestone.plans.derived import (BASE_TS, CUSTOMER_HEADER, DELTA_TS,
-                                     NEW_KEY_OFFSET, ORDERS_HEADER)
+#: Expected staging columns (fixed values): name, kind of cleansing, SQL type.
+ORDERS_TYPED = [
+    ("o_orderkey", "text", "DOUBLE"), ("o_custkey", "text", "DOUBLE"), ("o_orderstatus", "text", "VARCHAR"),
+    ("o_totalprice", "decimal", "DECIMAL(15,2)"), ("o_orderdate", "date", "TIMESTAMP"),
+    ("o_orderpriority", "text", "VARCHAR"),
+]
+CUSTOMER_TYPED = [
+    ("c_custkey", "text", "DOUBLE"), ("c_name", "text", "VARCHAR"), ("c_nationkey", "text", "INTEGER"),
+    ("c_acctbal", "decimal", "DECIMAL(12,2)"), ("c_mktsegment", "text", "VARCHAR"),
+]
 
 WS = r"'^[\x00-\x20]+|[\x00-\x20]+$'"
 
@@ -42,46 +48,26 @@ def sql_convert_date(e: str) -> str:
             f"ELSE {t} END)")
 
 
-def sql_type(t: T.DataType) -> str:
-    if isinstance(t, T.StringType):
-        return "VARCHAR"
-    if isinstance(t, T.IntegerType):
-        return "INTEGER"
-    if isinstance(t, T.LongType):
-        return "BIGINT"
-    if isinstance(t, T.DoubleType):
-        return "DOUBLE"
-    if isinstance(t, T.DecimalType):
-        return f"DECIMAL({t.precision},{t.scale})"
-    if isinstance(t, (T.TimestampNTZType, T.TimestampType)):
-        return "TIMESTAMP"
-    raise ValueError(t)
-
-
 def sql_decimal_chain(e: str, p: int = 17, s: int = 2) -> str:
     inner = f"try_cast(try_cast({sql_convert_sign(e)} AS DOUBLE) AS DECIMAL(17,2))"
     return inner if (p, s) == (17, 2) else f"try_cast({inner} AS DECIMAL({p},{s}))"
 
 
-def sql_cleanse_column(c: HeaderColumn, src: str | None = None) -> str:
-    name = c.name.strip()
-    src = src or name
-    t = staging_type(c)
-    kind = cleanse_kind(c)
-    if kind == DATE_KIND:
-        e = f"try_cast({sql_convert_date(src)} AS TIMESTAMP)"
-    elif kind == DECIMAL_KIND:
-        e = sql_decimal_chain(src, t.precision, t.scale)
-    elif isinstance(t, T.StringType):
+def sql_cleanse_column(name: str, kind: str, sql_type: str, of: str = "") -> str:
+    src = of + name
+    if kind == "date":
+        e = f"try_cast({sql_convert_date(src)} AS {sql_type})"
+    elif kind == "decimal":
+        e = f"try_cast(try_cast(try_cast({sql_convert_sign(src)} AS DOUBLE) AS DECIMAL(17,2)) AS {sql_type})"
+    elif sql_type == "VARCHAR":
         e = sql_convert_null(src)
     else:
-        e = f"try_cast({sql_convert_null(src)} AS {sql_type(t)})"
+        e = f"try_cast({sql_convert_null(src)} AS {sql_type})"
     return f"{e} AS {name}"
 
 
-def sql_cleanse_select(header: list[HeaderColumn], extra: str = "") -> str:
-    cols = ",\n  ".join(sql_cleanse_column(c) for c in header)
-    return f"SELECT\n  {cols}{extra}"
+def sql_cleanse_select(columns: list[tuple[str, str, str]], of: str = "") -> str:
+    return "SELECT\n  " + ",\n  ".join(sql_cleanse_column(*c, of) for c in columns)
 
 
 def sql_cents_text(x: str, trailing_sign: bool = False) -> str:
@@ -116,35 +102,47 @@ RAW_CUSTOMER = f"""raw_customer AS (
   FROM customer)"""
 
 BASE = f"""base AS (
-  SELECT o_orderkey, o_orderstatus, o_totalprice,
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
          TIMESTAMP '{BASE_TS}' AS extract_ts FROM orders)"""
 
+_PATCHED = """CASE WHEN o_orderkey % 20 = 0 THEN '' ELSE 'U' END AS o_orderstatus,
+         CASE WHEN o_orderkey % 30 = 0 THEN NULL ELSE o_totalprice + 1 END AS o_totalprice,
+         CASE WHEN o_orderkey % 70 = 0 THEN NULL ELSE o_orderdate END AS o_orderdate,
+         CASE WHEN o_orderkey % 110 = 0 THEN NULL ELSE '0-PATCH' END AS o_orderpriority"""
+
 DELTA = f"""delta AS (
   SELECT CASE WHEN o_orderkey % 50 = 0 THEN o_orderkey + {NEW_KEY_OFFSET} ELSE o_orderkey END AS o_orderkey,
-         CASE WHEN o_orderkey % 20 = 0 THEN '' ELSE 'U' END AS o_orderstatus,
-         CASE WHEN o_orderkey % 30 = 0 THEN NULL ELSE o_totalprice + 1 END AS o_totalprice,
+         o_custkey, {_PATCHED},
          CASE WHEN o_orderkey % 40 = 0 THEN TIMESTAMP '{BASE_TS}' ELSE TIMESTAMP '{DELTA_TS}' END AS extract_ts
   FROM orders WHERE o_orderkey % 10 = 0)"""
 
 COMP_BASE = f"""comp_base AS (
-  SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice,
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
          TIMESTAMP '{BASE_TS}' AS extract_ts FROM orders)"""
 
 COMP_DELTA = f"""comp_delta AS (
-  SELECT CASE WHEN o_orderkey % 21 = 0 THEN o_custkey + {NEW_KEY_OFFSET} ELSE o_custkey END AS o_custkey,
-         o_orderkey, 'C' AS o_orderstatus,
-         CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice * 2 END AS o_totalprice,
+  SELECT o_orderkey,
+         CASE WHEN o_orderkey % 21 = 0 THEN o_custkey + {NEW_KEY_OFFSET} ELSE o_custkey END AS o_custkey,
+         {_PATCHED},
          CASE WHEN o_orderkey % 4 = 0 THEN TIMESTAMP '{BASE_TS}' ELSE TIMESTAMP '{DELTA_TS}' END AS extract_ts
   FROM orders WHERE o_orderkey % 7 = 0)"""
 
-LINEITEM_BASE = """li_base AS (
-  SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, l_shipdate FROM lineitem)"""
+LINEITEM_BASE = "li_base AS (SELECT * FROM lineitem)"
+
+LINEITEM_ROWS = """li_rows AS (
+  SELECT * REPLACE (CASE WHEN l_partkey % 2 = 0 THEN l_quantity + 1 END AS l_quantity,
+                    CASE WHEN l_partkey % 2 <> 0 THEN l_discount END AS l_discount,
+                    CASE WHEN l_partkey % 2 <> 0 THEN l_suppkey END AS l_suppkey,
+                    'U' AS l_returnflag)
+  FROM lineitem WHERE l_orderkey % 10 = 3)"""
+
 
-LINEITEM_DELTA = """li_delta AS (
-  SELECT l_orderkey, l_linenumber, l_quantity + 1 AS l_quantity, 'U' AS l_returnflag, l_shipdate
-  FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                                     ORDER BY l_shipdate DESC, l_quantity DESC) AS rn
-        FROM lineitem WHERE l_orderkey % 10 = 3) WHERE rn = 1)"""
+def folded_sql(name: str, rows: str, keys: list[str], cols: list[str], order: str) -> str:
+    """One patch per key: each column's last non-NULL value by ``order``, ties
+    to the greatest value."""
+    last = ", ".join(
+        f"(max({{'o': {order}, 'v': {c}}}) FILTER (WHERE {c} IS NOT NULL)).v AS {c}" for c in cols if c not in keys)
+    return f"{name} AS (SELECT {', '.join(keys)}, {last} FROM {rows} GROUP BY {', '.join(keys)})"
 
 
 def with_ctes(*ctes: str) -> str:
@@ -152,11 +150,11 @@ def with_ctes(*ctes: str) -> str:
 
 
 def cleansed_orders_sql() -> str:
-    return with_ctes(RAW_ORDERS) + sql_cleanse_select(ORDERS_HEADER) + "\nFROM raw_orders"
+    return with_ctes(RAW_ORDERS) + sql_cleanse_select(ORDERS_TYPED) + "\nFROM raw_orders"
 
 
 def cleansed_customer_sql() -> str:
-    return with_ctes(RAW_CUSTOMER) + sql_cleanse_select(CUSTOMER_HEADER) + "\nFROM raw_customer"
+    return with_ctes(RAW_CUSTOMER) + sql_cleanse_select(CUSTOMER_TYPED) + "\nFROM raw_customer"
 
 
 def merge_sql(base: str, delta: str, keys: list[str], cols: list[str]) -> str:

@@ -1,21 +1,32 @@
 """One table load, composed from the operators: extract -> raw -> typed
 staging -> (merge) -> reconciliation -> audit.
 
-Stages (numbers are the restart points):
-
-1. extract   pull rows from the source (whole table, query, split, or rows
-             past the high-water mark of the target)
-2. raw       land them as an all-string raw batch (``batch_id=<id>``)
-3. raw table read the batch back with the header's column names
-4. staging   (optional) register the staging table in the catalog
-5. transform cleanse + type, write staging (overwrite / append / period
-             partitions / increment)
-6. merge     INCR only: patch-merge the increment into the target, written
-             as a new version and swapped in
-
-Each stage reads its input from what the previous one persisted, so
-``start_at`` simply skips the earlier ones. Data only moves between Spark
-tasks and storage; the driver sees counts and the watermark.
+Stages (numbers are the restart points; each reads what the one before it left
+on storage, and doing a stage again ends the same):
+
+1. extract    pull rows from the source (whole table, query, split, or rows
+              past the high-water mark of the target) and land them as text
+              columns, where readers do not look yet
+2. raw        publish the landed rows as the raw batch ``batch_id=<id>``
+3. raw table  read the batch back with the header's column names, counting
+              malformed lines
+4. staging    (optional) register the staging table in the catalog
+5. transform  cleanse + type, write staging (overwrite / append / period
+              partitions / increment)
+6. merge      INCR only: patch-merge the increment into the target, written
+              as a new version and swapped in (or, where keys never move
+              between periods, into the touched periods alone)
+
+A listed period spec restricts FULL loads, whose other rows are counted as
+excluded. INCR and APPEND pull past a high-water mark, which would never see a
+dropped row again, so there every row goes to its own period.
+
+Reconciliation counts what storage holds and compares it with what went in:
+FULL: staged + excluded = source and the target holds the staged rows; APPEND:
+target after = before + source; INCR: increment = source and target after =
+base before + inserts. Malformed lines fail a load; text that does not convert
+is counted as rejected values. Data only moves between Spark tasks and storage;
+the driver sees counts and the watermark.
 """
 
 from __future__ import annotations
@@ -24,18 +35,22 @@ import datetime as dt
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestone.functions.periods import classify_period, expand_period, period_of
 from lodestone.functions.types import HeaderColumn, staging_schema
-from lodestone.operators.aggregates import observed, observed_value, watermark_value
+from lodestone.operators.aggregates import (analyze_table, observed, observed_value,
+                                            watermark_literal)
 from lodestone.operators.cleanse import cleanse_projection
-from lodestone.operators.merge import latest_version, merge_patch
-from lodestone.operators.sinks import (BATCH_COL, create_external, land_raw,
-                                       read_raw, resolve_format, swap_in,
-                                       write_staging)
+from lodestone.operators.merge import fold_increment, latest_version, merge_patch
+from lodestone.operators.sinks import (BATCH_COL, append_batch, create_external,
+                                       land_batch, publish_batch, read_raw, recover,
+                                       remove_batch_files, replace_partitions,
+                                       resolve_format, swap_in, write_dataset)
 from lodestone.session import path_exists
+from lodestone.sources.rawtext import malformed_lines
 
 STAGES = {1: "extract", 2: "raw", 3: "raw_table", 4: "staging_table",
           5: "transform", 6: "merge"}
@@ -68,7 +83,10 @@ class LoadSpec:
     first_load: str = "error"          # INCR on an empty target: error | full
     decimal_mode: str = "exact"
     merge_strategy: str = "auto"
+    keys_move: bool = True             # a key's period can change between loads
+    narrow_source: bool = False        # the source arrives in a few partitions
     register_catalog: bool = False
+    statistics: bool = False           # catalog statistics after the load
     extract_id: int | None = None
 
 
@@ -102,154 +120,231 @@ class LoadResult:
     fail_step: int | None = None
     incr_col_val: str | None = None
     inserted_rows: int | None = None
+    excluded_rows: int = 0             # outside the listed periods of a FULL load
+    rejected_values: int = 0           # text that did not convert to its type
+    malformed_lines: int = 0
     error: str | None = None
     elapsed_s: int | None = None
     started: dt.datetime = field(default_factory=dt.datetime.now)
     ended: dt.datetime | None = None
 
 
-def _incr_filter(col: str, op: str, value) -> F.Column:
+def _incr_filter(col: str, op: str, mark: Column) -> Column:
     if op not in INCR_OPS:
         raise ValueError(f"incremental operator must be one of {INCR_OPS}, got {op!r}")
-    c, v = F.col(col), F.lit(value)
-    return {">": c > v, ">=": c >= v, "=": c == v}[op]
-
-
-def read_staging(spark: SparkSession, path: str, fmt: str = "PARQUET") -> DataFrame:
-    return spark.read.format(resolve_format(fmt)).load(path)
-
-
-def run_load(spark: SparkSession, source: DataFrame, header: list[HeaderColumn],
+    c = F.col(col)
+    return {">": c > mark, ">=": c >= mark, "=": c == mark}[op]
+
+
+def read_staging(spark: SparkSession, path: str, fmt: str = "PARQUET",
+                 schema: T.StructType | None = None) -> DataFrame:
+    """Staging rows; with the schema, also of a table without any, and with
+    periods as the text they are."""
+    r = spark.read.format(resolve_format(fmt))
+    return (r.schema(schema) if schema else r).load(path)
+
+
+class _Load:
+    """The steps of one run; ``step`` is the stage at work."""
+
+    def __init__(self, spark, header, spec: LoadSpec, layout: Layout, batch_id: str, result: LoadResult):
+        self.spark, self.header, self.spec, self.layout = spark, header, spec, layout
+        self.batch_id, self.result, self.step = batch_id, result, 1
+
+    def plan(self) -> None:
+        s = self.spec
+        self.refresh = s.refresh.upper()
+        if self.refresh not in ("FULL", "APPEND", "INCR"):
+            raise ValueError(f"refresh type must be FULL, APPEND or INCR, got {s.refresh!r}")
+        period = classify_period(s.partition, s.strict_years)
+        self.kind, self.part = period.kind, period.column
+        literal = self.part and not period.symbolic and self.refresh == "FULL"
+        self.periods = expand_period(s.partition, s.strict_years) if literal else None
+        self.names = [c.name.strip() for c in self.header]
+        self.raw_path, self.stg = self.layout.raw(s), self.layout.stg(s)
+
+    def staged(self, path: str) -> DataFrame:
+        return read_staging(self.spark, path, self.spec.stg_format, self.schema)
+
+    # 1
+    def extract(self, source: DataFrame) -> None:
+        s, part = self.spec, self.part
+        src = source.select(*self.names, *([part] if part in source.columns and part not in self.names else []))
+        if self.refresh in ("INCR", "APPEND"):
+            if not s.incr_col:
+                raise ValueError(f"{self.refresh} needs an incremental column")
+            mark = None
+            if path_exists(self.spark, self.stg):
+                # an earlier attempt of this batch must not move the mark
+                remove_batch_files(self.spark, self.stg, self.batch_id)
+                mark = watermark_literal(read_staging(self.spark, self.stg, s.stg_format), s.incr_col) \
+                    if self._has_rows() else None
+            if mark is None and self.refresh == "INCR" and s.first_load != "full":
+                raise ValueError("target is empty: no high-water mark for INCR "
+                                 "(run FULL first or pass first_load='full')")
+            if mark is not None:
+                src = src.filter(_incr_filter(s.incr_col, s.incr_op, mark[0]))
+                self.result.incr_col_val = mark[1]
+        if part and part not in src.columns:
+            if not s.period_source:
+                raise ValueError(f"partition column {part!r} is not in the source; "
+                                 "set period_source to derive it")
+            src = src.withColumn(part, period_of(self.kind, s.period_source))
+        src, obs = observed(src, f"extract-{s.table}-{self.batch_id}")
+        land_batch(src, self.raw_path, self.batch_id, s.raw_format, part, s.compress, s.narrow_source)
+        n = observed_value(obs)
+        self.result.source_rows = None if n is None else int(n)
+
+    def _has_rows(self) -> bool:
+        from lodestone.session import data_files
+        return bool(data_files(self.spark, self.stg))
+
+    # 3
+    def read_batch(self) -> DataFrame:
+        s, r = self.spec, self.result
+        raw = read_raw(self.spark, self.raw_path, self.names, s.raw_format, self.batch_id, self.part)
+        if r.source_rows is None:
+            r.source_rows = raw.count()
+        if resolve_format(s.raw_format) == "text":
+            lines = self.spark.read.schema("value string").text(f"{self.raw_path}/{BATCH_COL}={self.batch_id}")
+            r.malformed_lines = int(malformed_lines(lines, len(self.names)).first()["malformed"])
+        return raw
+
+    # 4
+    def register(self) -> None:
+        s = self.spec
+        create_external(self.spark, s.interface, s.table, self.schema, self.stg, s.stg_format, self.part)
+
+    # 5
+    def transform(self, raw: DataFrame) -> int:
+        """Writes staging (the increment, for INCR); how many rows it wrote."""
+        s, r, part = self.spec, self.result, self.part
+        typed = cleanse_projection(raw, self.header, part, s.decimal_mode, rejected_col="_rejected")
+        inside = F.col(part).isin(self.periods) if self.periods else F.lit(True)
+        obs = Observation(f"staged-{s.table}-{self.batch_id}")
+        typed = typed.observe(obs, F.count_if(F.coalesce(inside, F.lit(False))).alias("kept"),
+                              F.count_if(~F.coalesce(inside, F.lit(False))).alias("excluded"),
+                              F.sum("_rejected").alias("rejected")).filter(inside).drop("_rejected")
+        by = [part] if part else None
+        if self.refresh == "INCR":
+            write_dataset(typed, self.layout.incr(s), s.stg_format, "overwrite", by, s.compress)
+        elif self.refresh == "APPEND":
+            remove_batch_files(self.spark, self.stg, self.batch_id)
+            self.before = self.count(self.stg)
+            append_batch(typed, self.stg, self.batch_id, s.stg_format, part, s.compress)
+        elif self.periods:
+            attempt = f"{self.stg}/_attempt_{self.batch_id}"
+            write_dataset(typed, attempt, s.stg_format, "overwrite", by, s.compress)
+            replace_partitions(self.spark, self.stg, attempt, part, self.periods)
+        else:
+            attempt = f"{self.stg}_attempt"
+            write_dataset(typed, attempt, s.stg_format, "overwrite", by, s.compress)
+            swap_in(self.spark, self.stg, attempt, keep_previous=False)
+        kept = observed_value(obs, "kept")
+        if kept is None:  # an always-empty plan reports nothing
+            return 0
+        r.excluded_rows = int(observed_value(obs, "excluded") or 0)
+        r.rejected_values = int(observed_value(obs, "rejected") or 0)
+        return int(kept)
+
+    def count(self, path: str, where: Column | None = None) -> int:
+        if not path_exists(self.spark, path):
+            return 0
+        rows = self.staged(path)
+        return (rows.filter(where) if where is not None else rows).count()
+
+    # 6
+    def merge(self) -> int:
+        """Merges the written increment; the number of rows the target must have."""
+        s = self.spec
+        if not s.keys:
+            raise ValueError("INCR needs key columns")
+        recover(self.spark, self.stg)
+        incr = self.staged(self.layout.incr(s))
+        order = s.dedupe_by or s.incr_col
+        if not path_exists(self.spark, self.stg):
+            folded = fold_increment(incr, list(s.keys), order)
+            write_dataset(folded, self.layout.new(s), s.stg_format, "overwrite",
+                          [self.part] if self.part else None, s.compress)
+            swap_in(self.spark, self.stg, self.layout.new(s))
+            return folded.count()
+        before = self.count(self.stg)
+        self.result.inserted_rows = merge_into(
+            self.spark, self.stg, self.layout.new(s), incr, list(s.keys), order, s.stg_format, self.part,
+            self.schema, s.compress, s.merge_strategy, scoped=bool(self.part) and not s.keys_move)
+        return before + self.result.inserted_rows
+
+    def reconcile(self, staged: int | None) -> str | None:
+        """None, or what does not add up."""
+        r, wrong = self.result, []
+        if r.malformed_lines:
+            wrong.append(f"{r.malformed_lines} malformed raw lines")
+        if staged is not None and staged + r.excluded_rows != r.source_rows:
+            wrong.append(f"staged {staged} + excluded {r.excluded_rows} is not source {r.source_rows}")
+        if self.refresh == "FULL" and staged is not None:
+            held = self.count(self.stg, F.col(self.part).isin(self.periods) if self.periods else None)
+            if held != staged:
+                wrong.append(f"target holds {held} of {staged} staged rows")
+        r.target_rows = self.count(self.stg)
+        if self.refresh == "APPEND" and staged is not None and r.target_rows != self.before + staged:
+            wrong.append(f"target {r.target_rows} is not {self.before} + {staged}")
+        if self.refresh == "INCR" and r.target_rows != self.expected:
+            wrong.append(f"target {r.target_rows} is not the expected {self.expected}")
+        return "; ".join(wrong) or None
+
+
+def run_load(spark: SparkSession, source: DataFrame | None, header: list[HeaderColumn],
              spec: LoadSpec, layout: Layout, batch_id: str, start_at: int = 1,
              stop_after: str | None = None, raise_errors: bool = True,
              audit: bool = True) -> LoadResult:
-    refresh = spec.refresh.upper()
-    if refresh not in ("FULL", "APPEND", "INCR"):
-        raise ValueError(f"refresh type must be FULL, APPEND or INCR, got {spec.refresh!r}")
-    period = classify_period(spec.partition, spec.strict_years)
-    part_col = period.column
-    names = [c.name.strip() for c in header]
-    raw_path, stg_path = layout.raw(spec), layout.stg(spec)
-    result = LoadResult("F", None, None, stg_path)
+    """Runs the stages from ``start_at`` on (``source`` is only read by the
+    first); ``stop_after="raw"`` keeps the raw batch alone."""
+    result = LoadResult("F", None, None, layout.stg(spec))
+    load = _Load(spark, header, spec, layout, str(batch_id), result)
     t0 = time.time()
-    step = 1
     try:
-        # -- 1/2: extract and land the raw batch
+        load.plan()
+        recover(spark, load.stg)
+        if start_at <= 1:
+            load.extract(source)
+        load.step = 2
         if start_at <= 2:
-            src = source.select(*names, *([part_col] if part_col in source.columns else []))
-            if refresh in ("INCR", "APPEND"):
-                if not spec.incr_col:
-                    raise ValueError(f"{refresh} needs an incremental column")
-                wm = None
-                if path_exists(spark, stg_path):
-                    wm = watermark_value(read_staging(spark, stg_path, spec.stg_format),
-                                         spec.incr_col)
-                if wm is None and refresh == "INCR" and spec.first_load != "full":
-                    raise ValueError("target is empty: no high-water mark for INCR "
-                                     "(run FULL first or pass first_load='full')")
-                if wm is not None:
-                    src = src.filter(_incr_filter(spec.incr_col, spec.incr_op, wm))
-                    result.incr_col_val = str(wm)
-            if part_col and part_col not in src.columns:
-                if not spec.period_source:
-                    raise ValueError(f"partition column {part_col!r} is not in the source; "
-                                     "set period_source to derive it")
-                src = src.withColumn(part_col, period_of(period.kind, spec.period_source))
-            src, obs = observed(src, f"extract-{spec.table}-{batch_id}")
-            step = 2
-            land_raw(src, raw_path, batch_id, spec.raw_format, part_col, spec.compress,
-                     spec.archive)
-            n = observed_value(obs)
-            result.source_rows = None if n is None else int(n)
-        # -- 3: raw batch as all-string rows
-        step = 3
-        raw = read_raw(spark, raw_path, names, spec.raw_format, batch_id, part_col)
-        if result.source_rows is None:
-            result.source_rows = raw.count()
+            publish_batch(spark, load.raw_path, load.batch_id, spec.archive)
+        load.step = 3
+        raw = load.read_batch()
         if stop_after == "raw":
-            result.status, result.target_rows = "S", result.source_rows
-            return result
-
-        # -- 4/5: cleanse into staging
-        step = 5
-        typed = cleanse_projection(raw, header, part_col, spec.decimal_mode)
-        typed, sobs = observed(typed, f"staged-{spec.table}-{batch_id}")
-        literal_periods = None if (period.kind == "none" or period.symbolic) else \
-            expand_period(spec.partition, spec.strict_years)
-        if refresh == "INCR":
-            target = layout.incr(spec)
-            write_staging(typed, target, spec.stg_format, "overwrite", part_col,
-                          literal_periods, dynamic=False, compress=spec.compress)
-        elif refresh == "APPEND":
-            target = stg_path
-            write_staging(typed, target, spec.stg_format, "append", part_col,
-                          literal_periods, compress=spec.compress)
-        elif literal_periods is not None:
-            # FULL over listed periods: replace exactly those partitions, so a
-            # rerun is idempotent and other periods stay untouched
-            target = stg_path
-            write_staging(typed, target, spec.stg_format, "overwrite", part_col,
-                          literal_periods, dynamic=True, compress=spec.compress)
-        else:
-            target = stg_path
-            write_staging(typed, target, spec.stg_format, "overwrite", part_col,
-                          compress=spec.compress)
-        if spec.register_catalog:
-            step = 4
-            create_external(spark, spec.interface, spec.table,
-                            staging_schema(header, part_col), stg_path,
-                            spec.stg_format, part_col)
-        staged_rows = observed_value(sobs)
-        if staged_rows is None or (refresh == "FULL" and not literal_periods):
-            # FULL: count what is on storage, independently of the write
-            staged_rows = read_staging(spark, target, spec.stg_format).count()
-
-        # -- 6: merge the increment
-        if refresh == "INCR":
-            step = 6
-            if not spec.keys:
-                raise ValueError("INCR needs key columns")
-            new_path = layout.new(spec)
-            if path_exists(spark, stg_path):
-                base = read_staging(spark, stg_path, spec.stg_format)
-                incr = read_staging(spark, target, spec.stg_format).select(*base.columns)
-                merged = merge_patch(base.withColumn("_in_base", F.lit(1)),
-                                     incr.withColumn("_in_base", F.lit(None).cast("int")),
-                                     list(spec.keys), spec.merge_strategy,
-                                     dedupe_by=spec.dedupe_by or spec.incr_col)
-                merged, mobs = _observe_inserts(merged)
-                write_staging(merged.drop("_in_base"), new_path, spec.stg_format,
-                              "overwrite", part_col, compress=spec.compress)
-                inserted, rows = observed_value(mobs, "inserted"), observed_value(mobs, "rows")
-                if inserted is None:
-                    joined = read_staging(spark, new_path, spec.stg_format)
-                    inserted, rows = 0, joined.count()
-                result.inserted_rows = int(inserted)
-                base_rows = int(rows) - result.inserted_rows
-                swap_in(spark, stg_path, new_path)
-                expected = base_rows + result.inserted_rows
-            else:
-                swap_in(spark, stg_path, target)
-                expected = staged_rows
-            result.target_rows = read_staging(spark, stg_path, spec.stg_format).count()
-            ok = staged_rows == result.source_rows and result.target_rows == expected
+            result.target_rows = result.source_rows
+            result.error = f"{result.malformed_lines} malformed raw lines" if result.malformed_lines else None
         else:
-            result.target_rows = staged_rows if refresh == "FULL" and not literal_periods \
-                else read_staging(spark, stg_path, spec.stg_format).count()
-            if refresh == "FULL" and not literal_periods:
-                ok = result.target_rows == result.source_rows
-            else:
-                ok = staged_rows >= 0
-        result.status = "S" if ok else "F"
-        if not ok:
-            result.fail_step = step
-            result.error = (f"reconciliation: source {result.source_rows}, "
-                            f"target {result.target_rows}")
+            load.step = 5
+            load.schema = staging_schema(header, load.part)
+            if start_at <= 4 and spec.register_catalog:
+                load.step = 4
+                load.register()
+            load.step, staged = 5, None
+            if start_at <= 5:
+                staged = load.transform(raw)
+            elif load.refresh == "INCR":
+                staged = load.count(layout.incr(spec))
+            if load.refresh == "INCR":
+                load.step = 6
+                load.expected = load.merge()
+            result.error = load.reconcile(staged)
+            if spec.register_catalog:
+                name = f"{spec.interface}.{spec.table}"
+                if load.part:
+                    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+                if spec.statistics:
+                    analyze_table(spark, name)
+        result.status = "F" if result.error else "S"
+        result.fail_step = load.step if result.error else None
+        if result.error:
+            result.error = f"reconciliation: {result.error}"
         return result
     except Exception as e:  # record the real failing stage, then re-raise
-        result.status, result.fail_step, result.error = "F", step, f"{type(e).__name__}: {e}"
+        result.status, result.fail_step, result.error = "F", load.step, f"{type(e).__name__}: {e}"
         if raise_errors:
-            raise LoadError(step, str(e)) from e
+            raise LoadError(load.step, str(e)) from e
         return result
     finally:
         result.ended = dt.datetime.now()
@@ -259,11 +354,33 @@ def run_load(spark: SparkSession, source: DataFrame, header: list[HeaderColumn],
             append_audit(spark, layout.audit(), spec, result, batch_id)
 
 
-def _observe_inserts(merged: DataFrame):
-    from pyspark.sql import Observation
+def merge_into(spark: SparkSession, table: str, new_path: str, incr: DataFrame, keys: list[str],
+               order: str | None, fmt: str = "PARQUET", part: str | None = None, schema: T.StructType | None = None,
+               compress: bool = True, strategy: str = "auto", scoped: bool = False) -> int:
+    """Patch-merges ``incr`` into the table at ``table``; the number of inserts.
+
+    The whole table is written as a new version at ``new_path`` and swapped in.
+    ``scoped`` is for keys that never change their period: only the partitions
+    that the increment touches are read, merged and replaced, and all others
+    keep their files. (Their values are listed by the driver: one per period.)
+    ``order`` is the order of increment rows of one key; None if none repeats."""
+    base = read_staging(spark, table, fmt, schema)
+    incr = incr.select(*base.columns)
+    if scoped:
+        touched = [r[0] for r in incr.select(part).distinct().collect()]
+        base = base.filter(F.col(part).isin([p for p in touched if p is not None])
+                           | (F.col(part).isNull() if None in touched else F.lit(False)))
     obs = Observation("merge")
-    return merged.observe(obs, F.count(F.lit(1)).alias("rows"),
-                          F.count_if(F.col("_in_base").isNull()).alias("inserted")), obs
+    merged = merge_patch(base, incr, keys, strategy, dedupe_by=order,
+                         keep_duplicates=order is None, inserted_col="_new") \
+        .observe(obs, F.count_if("_new").alias("inserted")).drop("_new")
+    write_dataset(merged, new_path, fmt, "overwrite", [part] if part else None, compress)
+    inserted = int(observed_value(obs, "inserted") or 0)
+    if scoped:
+        replace_partitions(spark, table, new_path, part)
+    else:
+        swap_in(spark, table, new_path)
+    return inserted
 
 
 def dedup_swap(spark: SparkSession, spec: LoadSpec, layout: Layout,
@@ -271,17 +388,18 @@ def dedup_swap(spark: SparkSession, spec: LoadSpec, layout: Layout,
     """Latest version of (target UNION ALL increment) written as ``<t>_new``,
     then swapped in; the previous version stays at ``<t>_new``."""
     stg, incr_path, new_path = layout.stg(spec), layout.incr(spec), layout.new(spec)
+    recover(spark, stg)
     base = read_staging(spark, stg, spec.stg_format)
     incr = read_staging(spark, incr_path, spec.stg_format)
     period = classify_period(spec.partition, spec.strict_years)
     latest = latest_version(base, incr, list(spec.keys), ts)
     out, obs = observed(latest, f"dedup-{spec.table}")
-    write_staging(out, new_path, spec.stg_format, "overwrite", period.column,
-                  compress=spec.compress)
+    write_dataset(out, new_path, spec.stg_format, "overwrite", [period.column] if period.column else None,
+                  spec.compress)
     swap_in(spark, stg, new_path)
     n = observed_value(obs)
     return int(n) if n is not None else read_staging(spark, stg, spec.stg_format).count()
 
 
-__all__ = ["LoadSpec", "Layout", "LoadResult", "LoadError", "run_load", "dedup_swap",
+__all__ = ["LoadSpec", "Layout", "LoadResult", "LoadError", "run_load", "merge_into", "dedup_swap",
            "read_staging", "STAGES", "BATCH_COL"]

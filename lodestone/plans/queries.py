@@ -91,9 +91,12 @@ def q_cleanse_customer(spark, sf):
 
 # ------------------------------------------------------------------- merges
 
-_BASE_COLS = ["o_orderkey", "o_orderstatus", "o_totalprice", "extract_ts"]
-_COMP_COLS = ["o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice", "extract_ts"]
-_LI_COLS = ["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"]
+_BASE_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+              "extract_ts"]
+_COMP_COLS = _BASE_COLS
+_LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+            "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+_LI_KEYS = ["l_orderkey", "l_linenumber"]
 
 
 @register("merge_patch", O.with_ctes(O.BASE, O.DELTA) +
@@ -117,9 +120,9 @@ def q_merge_patch_composite(spark, sf):
 
 
 _NULLK_BASE = ("nk_base AS (SELECT CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_orderkey END "
-               "AS o_orderkey, o_orderstatus, o_totalprice, extract_ts FROM base)")
+               "AS o_orderkey, * EXCLUDE (o_orderkey) FROM base)")
 _NULLK_DELTA = ("nk_delta AS (SELECT CASE WHEN o_orderkey % 70 = 0 THEN NULL ELSE o_orderkey END "
-                "AS o_orderkey, o_orderstatus, o_totalprice, extract_ts FROM delta)")
+                "AS o_orderkey, * EXCLUDE (o_orderkey) FROM delta)")
 
 
 @register("merge_null_keys", O.with_ctes(O.BASE, O.DELTA, _NULLK_BASE, _NULLK_DELTA) +
@@ -130,11 +133,11 @@ def q_merge_null_keys(spark, sf):
     return merge_patch(b, d, ["o_orderkey"])
 
 
-@register("merge_dup_keys", O.with_ctes(O.LINEITEM_BASE, O.LINEITEM_DELTA) +
-          O.merge_sql("li_base", "li_delta", ["l_orderkey", "l_linenumber"], _LI_COLS))
+@register("merge_dup_keys", O.with_ctes(
+    O.LINEITEM_BASE, O.LINEITEM_ROWS, O.folded_sql("li_delta", "li_rows", _LI_KEYS, _LI_COLS, "l_shipdate"))
+    + O.merge_sql("li_base", "li_delta", _LI_KEYS, _LI_COLS))
 def q_merge_dup_keys(spark, sf):
-    return merge_patch(D.lineitem_base(spark, sf), D.lineitem_delta(spark, sf),
-                       ["l_orderkey", "l_linenumber"])
+    return merge_patch(D.lineitem_base(spark, sf), D.lineitem_delta(spark, sf), _LI_KEYS, dedupe_by="l_shipdate")
 
 
 @register("latest_version", O.with_ctes(O.BASE, O.DELTA) +

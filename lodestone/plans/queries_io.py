@@ -131,13 +131,7 @@ def q_partition_from_path(spark, sf):
 
 
 def _cm_sql() -> str:
-    sel = O.sql_cleanse_select(
-        [HeaderColumn(f"r.{c.name}", c.sql_type, c.comment, c.length, c.scale)
-         for c in D.ORDERS_HEADER])
-    # strip the "r." qualifier from the output names
-    for c in D.ORDERS_HEADER:
-        sel = sel.replace(f" AS r.{c.name}", f" AS {c.name}")
-    return ("cm AS (" + sel + ", strftime(o.o_orderdate, '%Y%m') AS month "
+    return ("cm AS (" + O.sql_cleanse_select(O.ORDERS_TYPED, "r.") + ", strftime(o.o_orderdate, '%Y%m') AS month "
             "FROM raw_orders r JOIN orders o ON r.o_orderkey = CAST(o.o_orderkey AS VARCHAR))")
 
 
@@ -276,7 +270,7 @@ def _orders_typed_sql() -> str:
 def _full_load(spark, sf, label, **kw):
     root = work_dir(spark, label)
     orders = D.table(spark, sf, "orders")
-    spec = LoadSpec("orders", "tpch", "FULL", extract_id=1, **kw)
+    spec = LoadSpec("orders", "tpch", "FULL", extract_id=1, narrow_source=True, **kw)
     layout = Layout(root)
     res = run_load(spark, orders, header_from_schema(orders.schema), spec, layout, BATCH)
     return res, layout, spec
@@ -298,9 +292,10 @@ def q_reconcile_counts(spark, sf):
 @register("audit_append",
           f"SELECT CAST({BATCH} AS BIGINT) AS exec_id, 1 AS extract_id, 'TPCH.ORDERS' AS stg_tab_nm, "
           "count(*) AS source_row, 'FULL' AS refresh_typ, count(*) AS tgt_rows, "
-          "NULL::VARCHAR AS incr_col_val, NULL::INTEGER AS fail_step, 'S' AS status FROM orders "
+          "NULL::VARCHAR AS incr_col_val, NULL::INTEGER AS fail_step, 'S' AS status, true AS timed, "
+          "0::BIGINT AS excluded_rows, 0::BIGINT AS rejected_values, 0::BIGINT AS malformed_lines FROM orders "
           f"UNION ALL SELECT CAST({BATCH} AS BIGINT) + 1, 2, 'TPCH.EVENTS', NULL, 'INCR', NULL, "
-          "NULL, 1, 'F'")
+          "NULL, 1, 'F', true, 0, 0, 0")
 def q_audit_append(spark, sf):
     res, layout, spec = _full_load(spark, sf, "audit")
     events = D.table(spark, sf, "events")
@@ -309,20 +304,26 @@ def q_audit_append(spark, sf):
              str(int(BATCH) + 1), raise_errors=False)
     return read_audit(spark, layout.audit()).select(
         "exec_id", "extract_id", "stg_tab_nm", "source_row", "refresh_typ", "tgt_rows",
-        "incr_col_val", "fail_step", "status")
+        "incr_col_val", "fail_step", "status",
+        ((F.col("exec_strt_ts") <= F.col("exec_end_ts")) & (F.abs(
+            F.timestamp_diff("SECOND", "exec_strt_ts", "exec_end_ts") - F.col("exec_lapse_s")) <= 1)).alias("timed"),
+        "excluded_rows", "rejected_values", "malformed_lines")
 
 
-_BASE_HEADER = [HeaderColumn("o_orderkey", "NUMBER"), HeaderColumn("o_orderstatus", "VARCHAR2"),
-                HeaderColumn("o_totalprice", "NUMBER"), HeaderColumn("extract_ts", "TIMESTAMP")]
-_BASE_TYPED = ("SELECT CAST(o_orderkey AS DOUBLE) AS o_orderkey, o_orderstatus, "
-               "CAST(o_totalprice AS DOUBLE) AS o_totalprice, extract_ts FROM {}")
+_BASE_HEADER = [HeaderColumn("o_orderkey", "NUMBER"), HeaderColumn("o_custkey", "NUMBER"),
+                HeaderColumn("o_orderstatus", "VARCHAR2"), HeaderColumn("o_totalprice", "NUMBER"),
+                HeaderColumn("o_orderdate", "TIMESTAMP"), HeaderColumn("o_orderpriority", "CHAR"),
+                HeaderColumn("extract_ts", "TIMESTAMP")]
+_BASE_NAMES = [c.name for c in _BASE_HEADER]
+_BASE_TYPED = ("SELECT CAST(o_orderkey AS DOUBLE) AS o_orderkey, CAST(o_custkey AS DOUBLE) AS o_custkey, "
+               "o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice, o_orderdate, "
+               "coalesce(o_orderpriority, '') AS o_orderpriority, extract_ts FROM {}")  # text NULLs stage as ''
 
 
 @register("refresh_incr", O.with_ctes(
     O.BASE, O.DELTA, "tb AS (" + _BASE_TYPED.format("base") + ")",
     "td AS (" + _BASE_TYPED.format("delta") + f" WHERE extract_ts > TIMESTAMP '{D.BASE_TS}')")
-    + O.merge_sql("tb", "td", ["o_orderkey"], ["o_orderkey", "o_orderstatus", "o_totalprice",
-                                               "extract_ts"]))
+    + O.merge_sql("tb", "td", ["o_orderkey"], _BASE_NAMES))
 def q_refresh_incr(spark, sf):
     layout = Layout(work_dir(spark, "incr"))
     base, delta = D.base(spark, sf), D.delta(spark, sf)
@@ -354,6 +355,66 @@ def q_refresh_append(spark, sf):
     return read_staging(spark, layout.stg(spec))
 
 
+def _incr_by_period(spark, sf, label, keys_move):
+    layout = Layout(work_dir(spark, label))
+    base, delta = D.base(spark, sf), D.delta(spark, sf)
+    run_load(spark, base, _BASE_HEADER, LoadSpec("orders", "tpch", "FULL", partition="month",
+                                                  period_source="o_orderdate"), layout, "1")
+    # a listed spec does not drop increment rows of other periods
+    incr = LoadSpec("orders", "tpch", "INCR", keys=("o_orderkey",), incr_col="extract_ts", keys_move=keys_move,
+                    partition="199501-199512", period_source="o_orderdate")
+    changed = delta.filter(F.col("o_orderdate").isNotNull())
+    res = run_load(spark, base.unionByName(changed), _BASE_HEADER, incr, layout, "2")
+    if res.status != "S":
+        raise RuntimeError(f"incremental load did not reconcile: {res}")
+    return read_staging(spark, layout.stg(incr)).select(*_BASE_NAMES, F.col("month").cast("string"))
+
+
+_PERIOD_SQL = O.with_ctes(
+    O.BASE, O.DELTA, "tb AS (" + _BASE_TYPED.format("base") + ")",
+    "td AS (" + _BASE_TYPED.format("delta") + f" WHERE extract_ts > TIMESTAMP '{D.BASE_TS}' AND o_orderdate IS NOT NULL)",
+    "m AS (" + O.merge_sql("tb", "td", ["o_orderkey"], _BASE_NAMES) + ")") \
+    + "SELECT *, strftime(o_orderdate, '%Y%m') AS month FROM m"
+
+
+@register("refresh_incr_periods", _PERIOD_SQL)
+def q_refresh_incr_periods(spark, sf):
+    return _incr_by_period(spark, sf, "incrper", True)
+
+
+@register("refresh_incr_scoped", _PERIOD_SQL)
+def q_refresh_incr_scoped(spark, sf):
+    """Only the partitions that the increment touches are rewritten."""
+    return _incr_by_period(spark, sf, "incrscope", False)
+
+
+@register("refresh_append_periods", "SELECT *, strftime(ts, '%Y%m') AS month FROM (" + _EVENTS_TYPED + ")")
+def q_refresh_append_periods(spark, sf):
+    layout = Layout(work_dir(spark, "appendper"))
+    events = D.table(spark, sf, "events")
+    header = header_from_schema(events.schema)
+    spec = LoadSpec("events", "tpch", "APPEND", incr_col="ts", partition="202401", period_source="ts")
+    for batch, rows in (("1", events.filter(F.col("ts") <= D.ts_literal(_CUTOFF))), ("2", events)):
+        res = run_load(spark, rows, header, spec, layout, batch)
+        if res.status != "S":
+            raise RuntimeError(f"append did not reconcile: {res}")
+    # a restart of the same batch appends nothing twice
+    run_load(spark, events.limit(0), header, spec, layout, "2", start_at=3)
+    return read_staging(spark, layout.stg(spec)).select(*events.columns, F.col("month").cast("string"))
+
+
+@register("scan_raw_text_long",
+          "SELECT CAST(doc_id AS VARCHAR) AS doc_id, NULLIF(text || chr(92) || '|' || chr(10) || text, '') AS text, "
+          "source FROM documents")
+def q_scan_raw_text_long(spark, sf):
+    """Whole documents, twice over with every special character, as text fields."""
+    path = work_dir(spark, "rawlong")
+    d = D.table(spark, sf, "documents")
+    write_dataset(d.select(F.col("doc_id").cast("string").alias("doc_id"),
+                           F.concat("text", F.lit("\\|\n"), "text").alias("text"), "source"), path, "TEXTFILE")
+    return read_raw_text(spark, path, ["doc_id", "text", "source"])
+
+
 @register("refresh_raw_only",
           "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, "
           "o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice, "
@@ -397,8 +458,7 @@ def q_dedup_swap(spark, sf):
 @register("stream_merge", O.with_ctes(
     O.BASE, O.DELTA, "tb AS (" + _BASE_TYPED.format("base") + ")",
     "td AS (" + _BASE_TYPED.format("delta") + ")")
-    + O.merge_sql("tb", "td", ["o_orderkey"], ["o_orderkey", "o_orderstatus", "o_totalprice",
-                                               "extract_ts"]))
+    + O.merge_sql("tb", "td", ["o_orderkey"], _BASE_NAMES))
 def q_stream_merge(spark, sf):
     from lodestone.streaming.increments import merge_batches
     layout = Layout(work_dir(spark, "stream"))
@@ -417,11 +477,10 @@ def q_stream_merge(spark, sf):
 @register("scan_incremental",
           f"SELECT * FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts <= TIMESTAMP '{_CUTOFF}')")
 def q_scan_incremental(spark, sf):
-    from lodestone.operators.aggregates import watermark_value
+    from lodestone.operators.aggregates import watermark_literal
     events = D.table(spark, sf, "events")
     loaded = events.filter(F.col("ts") <= D.ts_literal(_CUTOFF))
-    wm = watermark_value(loaded, "ts")
-    return J.read_incremental(events, "ts", ">", wm)
+    return J.read_incremental(events, "ts", ">", watermark_literal(loaded, "ts")[0])
 
 
 # --------------------------------------------------------------------- JDBC
@@ -457,3 +516,10 @@ def q_scan_jdbc_split(spark, sf):
     conn = _derby_orders(spark, sf)
     return J.read_split(spark, conn, None, "orders", '"o_orderkey"', 4, **_NTZ)
 
+
+@register("scan_jdbc_split_query", "SELECT o_orderkey, o_totalprice * 2 AS doubled, o_orderpriority FROM orders")
+def q_scan_jdbc_split_query(spark, sf):
+    conn = _derby_orders(spark, sf)
+    q = 'SELECT "o_orderkey", "o_totalprice" * 2 AS "doubled", "o_orderpriority" FROM orders'
+    return J.read_split(spark, conn, None, "orders", '"o_orderkey"', 4, query=q, **_NTZ)
+

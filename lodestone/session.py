@@ -2,12 +2,13 @@
 folder, and thin Hadoop FileSystem calls for directory renames and deletes.
 
 On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names
-(HDFS, S3, ABFS …). Only when nothing is configured — local tests — do we set
-one of our own.
+(HDFS, S3, ABFS …); without it a cluster session is refused. Only in local mode,
+where driver and executors are one process, do we set a folder of our own.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -23,11 +24,16 @@ DEFAULT_CONF = {
 }
 
 
-def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "lodestone", extra: dict | None = None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app)
+    """A session with this library's defaults. Master and shuffle partitions
+    are the submit command's, unless given here (tests, bench)."""
+    b = SparkSession.builder.appName(app)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master:
+        conf["spark.master"] = master
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -38,7 +44,7 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; sets a local one only when unset."""
+    """The shared checkpoint folder; sets one only in local mode, if unset."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -46,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="lodestone-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -82,6 +90,32 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True)) if fs.exists(p) else False
 
 
+def data_files(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(folder below ``path``, file name) of the data files under ``path``;
+    names that begin with a dot or underscore are no data."""
+    fs, p = _fs(spark, path)
+    found: list[tuple[str, str]] = []
+
+    def walk(at, below: str) -> None:
+        for s in fs.listStatus(at):
+            name = str(s.getPath().getName())
+            if name[0] in "._":
+                continue
+            if s.isDirectory():
+                walk(s.getPath(), f"{below}{name}/")
+            else:
+                found.append((below, name))
+
+    if fs.exists(p):
+        walk(p, "")
+    return found
+
+
+def make_dirs(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
@@ -94,4 +128,4 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["get_session", "ensure_checkpoint_dir", "work_dir", "path_exists",
-           "rename_path", "delete_path", "list_dirs", "local_path"]
+           "rename_path", "delete_path", "data_files", "make_dirs", "list_dirs", "local_path"]

@@ -22,10 +22,12 @@ ESCAPE = "\\"
 NULL_TEXT = ""
 # One field = any run of escaped characters or characters other than the
 # delimiter and the escape, terminated by a delimiter. Appending a delimiter
-# to the line makes the number of matches equal to the number of fields.
-FIELD_PATTERN = r"((?:\\.|[^|\\])*)\|"
-NEWLINE_ESCAPE = r"(?<!\\)((?:\\\\)*)\\n"
-RETURN_ESCAPE = r"(?<!\\)((?:\\\\)*)\\r"
+# to the line makes the number of matches equal to the number of fields. The
+# runs are possessive: they never need to be given back, and the matcher does
+# not recurse, so a field can be megabytes long.
+FIELD_PATTERN = r"((?:[^|\\]++|\\.)*+)\|"
+NEWLINE_ESCAPE = r"(?<!\\)((?:\\\\)*+)\\n"
+RETURN_ESCAPE = r"(?<!\\)((?:\\\\)*+)\\r"
 ANY_ESCAPE = r"\\(.)"
 
 
@@ -63,20 +65,29 @@ def split_line(line: Column) -> Column:
     return F.when(line.contains("\\"), slow).otherwise(fast)
 
 
-def parse_lines(lines: DataFrame, names: list[str],
-                keep: list[str] | None = None) -> DataFrame:
+def parse_lines(lines: DataFrame, names: list[str], keep: list[str] | None = None,
+                fields_col: str | None = None) -> DataFrame:
     """Turn a DataFrame with a ``value`` text column into string columns.
 
     ``keep`` lists extra columns (partition columns discovered from the
-    directory layout) to carry through unchanged."""
-    fields = split_line(F.col("value")).alias("_f")
-    staged = lines.select(fields, *(keep or []))
+    directory layout) to carry through unchanged. ``fields_col`` adds the
+    number of fields each line has: a line is malformed unless that is the
+    number of names (missing fields read as NULL, surplus ones are lost)."""
+    staged = lines.select(split_line(F.col("value")).alias("_f"), *(keep or []))
     cols = []
     for i, n in enumerate(names):
         v = unescape_value(F.get(F.col("_f"), i))
         cols.append(F.when(v == F.lit(NULL_TEXT), F.lit(None).cast("string"))
                     .otherwise(v).alias(n))
-    return staged.select(*cols, *(keep or []))
+    count = [F.size("_f").alias(fields_col)] if fields_col else []
+    return staged.select(*cols, *(keep or []), *count)
+
+
+def malformed_lines(lines: DataFrame, width: int) -> DataFrame:
+    """One row: how many lines of ``lines`` (value) don't have ``width`` fields,
+    and how many there are."""
+    n = F.size(split_line(F.col("value")))
+    return lines.agg(F.count_if(n != width).alias("malformed"), F.count(F.lit(1)).alias("lines"))
 
 
 def read_raw_text(spark: SparkSession, path: str, names: list[str],

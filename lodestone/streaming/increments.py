@@ -1,12 +1,14 @@
 """Repeated increments as one Structured Streaming job.
 
 New raw batches (``batch_id=<id>`` directories of raw text) are picked up by
-a file stream; each micro-batch is parsed, cleansed with the header and
-patch-merged into the typed target inside ``foreachBatch``. The merge writes
-a new version and swaps it in, so a micro-batch that is retried after a
-failure (at-least-once delivery) re-applies the same patch and gives the same
-table: patching is idempotent. Progress is kept in the stream checkpoint,
-which must live in the shared folder (``spark.checkpoint.dir`` by default).
+a file stream. Each micro-batch is parsed, cleansed with the header, folded to
+one patch per key (rows of a later batch id come after those of an earlier one)
+and written once as the increment; then it is patch-merged into the typed
+target, which keeps its partitioning. The merge writes a new version and swaps
+it in, so a micro-batch that is retried after a failure (at-least-once delivery)
+re-applies the same patch and gives the same table. Progress is kept in the
+stream checkpoint, which must live in the shared folder (``spark.checkpoint.dir``
+by default).
 
 ``trigger(availableNow=True)`` processes what has landed and stops, which is
 how a scheduled incremental load runs; a processing-time trigger keeps it
@@ -16,12 +18,14 @@ running.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestone.functions.types import HeaderColumn
+from lodestone.functions.types import HeaderColumn, staging_schema
 from lodestone.operators.cleanse import cleanse_projection
-from lodestone.operators.merge import merge_patch
-from lodestone.operators.sinks import BATCH_COL, swap_in, write_staging
+from lodestone.operators.merge import fold_increment
+from lodestone.operators.sinks import BATCH_COL, recover, swap_in, write_dataset
+from lodestone.plans.pipeline import merge_into, read_staging
 from lodestone.session import path_exists, work_dir
 from lodestone.sources.rawtext import parse_lines
 
@@ -38,22 +42,30 @@ def raw_stream(spark: SparkSession, raw_path: str, max_files: int | None = None)
 def merge_batches(spark: SparkSession, raw_path: str, header: list[HeaderColumn],
                   target_path: str, keys, dedupe_by: str | None = None,
                   checkpoint: str | None = None, fmt: str = "PARQUET",
-                  available_now: bool = True, strategy: str = "auto"):
-    """Start the stream; returns the ``StreamingQuery``."""
+                  available_now: bool = True, strategy: str = "auto",
+                  partition_col: str | None = None):
+    """Start the stream; returns the ``StreamingQuery``. ``partition_col`` is a
+    header column that the target is partitioned by."""
     names = [c.name.strip() for c in header]
     checkpoint = checkpoint or work_dir(spark, "stream-ckpt")
-    new_path = target_path.rstrip("/") + "_new"
+    table = target_path.rstrip("/")
+    incr_path, new_path = table + "_stream_incr", table + "_new"
+    schema = staging_schema(header)
+    by = [partition_col] if partition_col else None
+    key_list = keys.split() if isinstance(keys, str) else list(keys)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        typed = cleanse_projection(parse_lines(batch, names), header)
-        if not path_exists(spark, target_path):
-            write_staging(typed, new_path, fmt)
+        typed = cleanse_projection(parse_lines(batch, names, keep=[BATCH_COL]), header, partition_col=BATCH_COL)
+        order = F.struct(BATCH_COL, *([F.col(dedupe_by).alias("then")] if dedupe_by else []))
+        folded = fold_increment(typed.withColumn("_order", order), key_list, "_order").select(*names)
+        write_dataset(folded, incr_path, fmt)
+        incr = read_staging(spark, incr_path, fmt, schema)
+        recover(spark, table)
+        if path_exists(spark, table):
+            merge_into(spark, table, new_path, incr, key_list, None, fmt, partition_col, schema, strategy=strategy)
         else:
-            base = spark.read.format(fmt.lower()).load(target_path)
-            merged = merge_patch(base, typed.select(*base.columns), keys, strategy,
-                                 dedupe_by=dedupe_by)
-            write_staging(merged, new_path, fmt)
-        swap_in(spark, target_path, new_path)
+            write_dataset(incr, new_path, fmt, partition_by=by)
+            swap_in(spark, table, new_path)
 
     w = (raw_stream(spark, raw_path).writeStream.foreachBatch(apply)
          .option("checkpointLocation", checkpoint))

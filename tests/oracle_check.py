@@ -84,7 +84,7 @@ if __name__ == "__main__":
     from lodestone.session import get_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
-    spark = get_session()
+    spark = get_session(master="local[4]", shuffle_partitions=4)
     from __spark_entry__ import queries
     con = duck(sf)
     bad = 0

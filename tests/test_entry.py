@@ -11,7 +11,8 @@ SF = "/root/testdata/sf0.001"
 def test_entry_runs(spark):
     from __spark_entry__ import entry
     df = entry(spark)
-    assert df.columns == ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
+    assert df.columns == ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                          "o_orderpriority"]
     assert df.count() == 1500 + 1500 // 50
 
 
