@@ -166,7 +166,7 @@ def read_raw(spark: SparkSession, raw_path: str, names: list[str], fmt: str = "t
     only that batch's files are listed and read)."""
     fmt = resolve_format(fmt)
     parts = [BATCH_COL] + ([partition_col] if partition_col else [])
-    if batch_id is not None and not path_exists(spark, f"{raw_path}/{BATCH_COL}={batch_id}"):
+    if batch_id is not None and not data_files(spark, f"{raw_path}/{BATCH_COL}={batch_id}"):
         # an extract that returned no rows lands no files
         from pyspark.sql import types as T
         schema = T.StructType([T.StructField(c, T.StringType()) for c in names + parts])

@@ -118,6 +118,8 @@ def test_dictionary(spark, derby):
     assert "APP" in schemas
     tables = {r[0] for r in J.catalog_tables(spark, derby, "APP").collect()}
     assert "ORDERS" in tables
+    found = J.catalog_columns(spark, derby, "APP", "ORDERS").collect()
+    assert [r["name"] for r in found][:2] == ["o_orderkey", "o_custkey"] and "BIGINT" in found[0]["sql_type"]
     # column metadata in ordinal order, blank comment when missing (J4 shape)
     cols = spark.createDataFrame(
         [("B", "NUMBER", None, 22, 0, 2), ("A", "VARCHAR2", "name", 30, None, 1)],
@@ -125,3 +127,38 @@ def test_dictionary(spark, derby):
         "data_scale int, column_id int")
     h = J.header_frame(cols).collect()
     assert [(r["name"], r["comment"]) for r in h] == [("A", "name"), ("B", " ")]
+
+
+def test_lookup_ignores_case_of_the_service(spark, config):
+    sources, extracts = config
+    lower = sources.withColumn("service_nm", F.lower("service_nm"))
+    assert config_lookup(lower, extracts, "Sales", "a", "orders").first()["extract_id"] == 1
+
+
+def test_registered_table_loads_end_to_end(spark, derby, tmp_root):
+    from lodestone.plans.config import load_from_config, query_of, register_source, register_tables
+    from lodestone.plans.pipeline import Layout, read_staging
+    sources = register_source(spark, f"{tmp_root}/sources", service_nm="Shop", source_db_typ="DERBY",
+                              db_name=derby.db)
+    with pytest.raises(ValueError, match="registered"):
+        register_source(spark, f"{tmp_root}/sources", service_nm="SHOP", source_db_typ="derby")
+    tables = J.catalog_tables(spark, derby, "APP")
+    extracts = register_tables(spark, f"{tmp_root}/extracts", tables, "shop", "app",
+                               parallel_extract="Y", extract_parallelism=3, parallel_splitby='"o_orderkey"')
+    extracts = register_tables(spark, f"{tmp_root}/extracts", tables, "shop", "other")
+    assert sorted(r.extract_id for r in extracts.collect()) == [1, 2]
+    layout, ntz = Layout(f"{tmp_root}/loads"), {"preferTimestampNTZ": "true"}
+    r = load_from_config(spark, sources, extracts, "SHOP", "APP", "orders", layout, "1", options=ntz)
+    assert (r.status, r.source_rows, r.target_rows) == ("S", 1500, 1500)
+    assert read_staging(spark, r.staging_path).count() == 1500
+    q = 'SELECT "o_orderkey", "o_totalprice" FROM APP.orders WHERE "o_orderkey" <= 100'
+    r = load_from_config(spark, sources, extracts, "SHOP", "APP", "orders", layout, "2", query=q, options=ntz)
+    assert r.status == "S" and read_staging(spark, r.staging_path).columns == ["o_orderkey", "o_totalprice"]
+    with pytest.raises(LookupError):
+        load_from_config(spark, sources, extracts, "SHOP", "APP", "nothing", layout, "3")
+    # argument, then configured query, then query file, then the table
+    spark.createDataFrame([("SELECT 3",)], "value string").coalesce(1).write.text(f"{tmp_root}/q/A.sql")
+    row = {"query": "SELECT 2", "extract_name": "A"}
+    assert query_of(row, "SELECT 1") == "SELECT 1" and query_of(row) == "SELECT 2"
+    row["query"] = None
+    assert query_of(row, None, f"{tmp_root}/q", spark).strip() == "SELECT 3" and query_of(row) is None

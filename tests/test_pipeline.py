@@ -11,6 +11,7 @@ from lodestone.plans.pipeline import (Layout, LoadError, LoadSpec, read_staging,
 SF = "/root/testdata/sf0.001"
 HEADER = [HeaderColumn("o_orderkey", "NUMBER"), HeaderColumn("o_orderstatus", "VARCHAR2"),
           HeaderColumn("o_totalprice", "NUMBER"), HeaderColumn("extract_ts", "TIMESTAMP")]
+T0, T1 = "2020-01-01 00:00:00", "2020-01-01 02:00:00"
 
 
 def test_full_then_incr_then_reconcile(spark, tmp_root):
@@ -100,3 +101,169 @@ def test_raw_only_and_restart(spark, tmp_root):
     r2 = run_load(spark, orders.limit(0), header, spec, layout, "7", start_at=3)
     assert r2.status == "S" and r2.target_rows == 1500
     assert read_staging(spark, layout.stg(spec), "ORC").count() == 1500
+
+
+def _rows(spark, rows):
+    return spark.createDataFrame(rows, "k int, v string, ts string, month string") \
+        .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+KV = [HeaderColumn("k", "INTEGER"), HeaderColumn("v", "VARCHAR2"), HeaderColumn("ts", "TIMESTAMP")]
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Tokyo"])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_watermark_does_not_depend_on_the_process_zone(spark, zone, kind, monkeypatch):
+    import time
+
+    from lodestone.operators.aggregates import watermark_literal
+    from lodestone.sources.jdbc import read_incremental
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        rows = spark.sql(f"SELECT id, CAST('2020-01-01 00:00:00.123457' AS {kind}) + id * INTERVAL 1 HOUR AS ts "
+                         "FROM range(10)")
+        mark, text = watermark_literal(rows.filter("id <= 5"), "ts")
+        assert sorted(r.id for r in read_incremental(rows, "ts", ">", mark).collect()) == [6, 7, 8, 9]
+        assert text.startswith("2020-01-01 05:00:00.123457")
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_period_specs_lose_no_increment_rows(spark, tmp_root):
+    layout = Layout(tmp_root)
+    run_load(spark, _rows(spark, [(1, "a", T0, "201401")]), KV, LoadSpec("t", partition="month"), layout, "1")
+    for refresh, batch in (("INCR", "2"), ("APPEND", "3")):
+        spec = LoadSpec("t", refresh=refresh, keys=("k",), incr_col="ts", partition="201402")
+        at = f"2020-01-0{batch} 00:00:00"
+        r = run_load(spark, _rows(spark, [(int(batch), "b", at, "201402"), (10 + int(batch), "c", at, "201403")]),
+                     KV, spec, layout, batch)
+        assert (r.status, r.source_rows, r.excluded_rows) == ("S", 2, 0)
+    got = {(r.k, str(r.month)) for r in read_staging(spark, layout.stg(spec)).collect()}
+    assert got == {(1, "201401"), (2, "201402"), (12, "201403"), (3, "201402"), (13, "201403")}
+
+
+def test_full_load_counts_excluded_rows_and_drops_emptied_periods(spark, tmp_root):
+    layout = Layout(tmp_root)
+    spec = LoadSpec("t", partition="201401-201402")
+    r = run_load(spark, _rows(spark, [(1, "a", T0, "201401"), (2, "b", T0, "201402"), (3, "c", T0, "201405")]),
+                 KV, spec, layout, "1")
+    assert (r.status, r.excluded_rows, r.target_rows) == ("S", 1, 2)
+    r = run_load(spark, _rows(spark, [(2, "b", T0, "201402")]), KV, spec, layout, "1")
+    assert (r.status, r.target_rows) == ("S", 1)        # the period without rows is empty now
+    r = run_load(spark, _rows(spark, []), KV, LoadSpec("empty", partition="201401"), layout, "1")
+    assert (r.status, r.target_rows) == ("S", 0)
+
+
+def test_a_lost_row_fails_the_load(spark, tmp_root, monkeypatch):
+    from lodestone.plans import pipeline as P
+    layout, spec = Layout(tmp_root), LoadSpec("t", refresh="INCR", keys=("k",), incr_col="ts")
+    run_load(spark, _rows(spark, [(1, "a", T0, ""), (2, "b", T0, "")]), KV, LoadSpec("t"), layout, "1")
+    merge = P.merge_patch
+    monkeypatch.setattr(P, "merge_patch", lambda *a, **k: merge(*a, **k).filter("k <> 2"))
+    r = run_load(spark, _rows(spark, [(1, "x", T1, "")]), KV, spec, layout, "2", raise_errors=False)
+    assert r.status == "F" and "expected 2" in r.error
+    rejects = run_load(spark, spark.createDataFrame([("1", "a", T0), ("zwei", "b", T0)], "k string, v string, ts string"),
+                       KV, LoadSpec("r"), layout, "1")
+    assert (rejects.status, rejects.rejected_values) == ("S", 1)
+
+
+def test_restart_at_every_stage(spark, tmp_root):
+    layout = Layout(tmp_root)
+    run_load(spark, _rows(spark, [(1, "a", T0, "")]), KV, LoadSpec("t"), layout, "1")
+    spec = LoadSpec("t", refresh="INCR", keys=("k",), incr_col="ts")
+    more = _rows(spark, [(1, "x", T1, ""), (2, "y", T1, "")])
+    want = {(1, "x"), (2, "y")}
+    run_load(spark, more, KV, spec, layout, "2")
+    for stage in (2, 3, 4, 5, 6):
+        r = run_load(spark, None, KV, spec, layout, "2", start_at=stage)
+        assert r.status == "S" and r.inserted_rows == 0
+        assert {(r.k, r.v) for r in read_staging(spark, layout.stg(spec)).collect()} == want
+    app = LoadSpec("a", refresh="APPEND", incr_col="ts")
+    run_load(spark, more, KV, app, layout, "1")
+    for stage in (1, 2, 3, 4, 5, 6):
+        r = run_load(spark, more, KV, app, layout, "1", start_at=stage)
+        assert r.status == "S" and read_staging(spark, layout.stg(app)).count() == 2
+
+
+def test_rerun_of_a_batch_leaves_exactly_the_new_rows(spark, tmp_root):
+    from lodestone.operators.sinks import land_raw, read_raw
+    rows = spark.createDataFrame([("1", "201401"), ("2", "201402")], "k string, month string")
+    for part in (rows, rows.limit(1), rows.limit(0)):
+        land_raw(part, tmp_root, "7", partition_col="month")
+        assert read_raw(spark, tmp_root, ["k"], batch_id="7", partition_col="month").count() == part.count()
+
+
+@pytest.mark.parametrize("after", [0, 1, 2, 3])
+def test_a_swap_that_dies_loses_nothing(spark, tmp_root, after, monkeypatch):
+    """Dies after each rename in turn; the retry ends with the new version."""
+    from lodestone.operators import sinks as S
+    layout, spec = Layout(tmp_root), LoadSpec("t", refresh="INCR", keys=("k",), incr_col="ts")
+    run_load(spark, _rows(spark, [(i, "a", T0, "") for i in range(10)]), KV, LoadSpec("t"), layout, "1")
+    renamed, rename = [], S.rename_path
+
+    def dying(sp, src, dst):
+        if "/stg/" in src and len(renamed) >= after:
+            raise OSError("the driver died")
+        rename(sp, src, dst)
+        if "/stg/" in src:
+            renamed.append(dst)
+
+    more = _rows(spark, [(3, "x", T1, "")])
+    monkeypatch.setattr(S, "rename_path", dying)
+    run_load(spark, more, KV, spec, layout, "2", raise_errors=False)
+    monkeypatch.undo()
+    run_load(spark, None, KV, spec, layout, "2", start_at=3)
+    got = {r.k: r.v for r in read_staging(spark, layout.stg(spec)).collect()}
+    assert got == {i: "x" if i == 3 else "a" for i in range(10)}
+
+
+def test_scoped_merge_leaves_other_partitions_alone(spark, tmp_root):
+    from lodestone.session import data_files
+    layout = Layout(tmp_root)
+    run_load(spark, _rows(spark, [(i, "a", T0, f"20140{i % 3 + 1}") for i in range(9)]), KV,
+             LoadSpec("t", partition="month"), layout, "1")
+    spec = LoadSpec("t", refresh="INCR", keys=("k",), incr_col="ts", partition="month", keys_move=False)
+    before = set(data_files(spark, layout.stg(spec)))
+    r = run_load(spark, _rows(spark, [(1, "x", T1, "201402"), (50, "n", T1, "201402")]), KV, spec, layout, "2")
+    assert r.status == "S" and r.inserted_rows == 1
+    after = set(data_files(spark, layout.stg(spec)))
+    assert {f for f in before if "201402" not in f[0]} == {f for f in after if "201402" not in f[0]}
+    got = {r.k: r.v for r in read_staging(spark, layout.stg(spec)).collect()}
+    assert got == {**{i: "a" for i in range(9)}, 1: "x", 50: "n"}
+
+
+def test_stream_keeps_order_and_partitions(spark, tmp_root):
+    from lodestone.operators.sinks import land_raw
+    from lodestone.session import list_dirs
+    from lodestone.streaming.increments import merge_batches
+    header = [*KV, HeaderColumn("month", "CHAR")]
+    for batch, v in (("1", "first"), ("2", "second"), ("3", "third")):
+        rows = spark.createDataFrame([(1, v if batch != "3" else None, T0, "201401"), (int(batch), v, T0, "201402")][:2],
+                                     "k int, v string, ts string, month string")
+        land_raw(rows.filter(f"k <> 1 OR {batch} < 3 OR month = '201401'"), f"{tmp_root}/raw", batch, archive=True)
+    q = merge_batches(spark, f"{tmp_root}/raw", header, f"{tmp_root}/t", ["k", "month"], "ts",
+                      checkpoint=f"{tmp_root}/ckpt", partition_col="month")
+    q.awaitTermination()
+    assert set(list_dirs(spark, f"{tmp_root}/t")) == {"month=201401", "month=201402"}
+    got = {(r.k, str(r.month)): r.v for r in read_staging(spark, f"{tmp_root}/t").collect()}
+    assert got[(2, "201402")] == "second" and got[(3, "201402")] == "third" and got[(1, "201401")] in ("", "second")
+
+
+def test_catalog_statistics_after_a_load(spark, tmp_root):
+    db = "stats_" + tmp_root.rsplit("-", 1)[-1]
+    spec = LoadSpec("t", db, partition="month", register_catalog=True, statistics=True)
+    run_load(spark, _rows(spark, [(i, "a", T0, "201401") for i in range(7)]), KV, spec, Layout(tmp_root), "1")
+    info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {db}.t").collect()}
+    assert "7 rows" in info["Statistics"]
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    from lodestone.session import ensure_checkpoint_dir
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="yarn")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))

@@ -41,10 +41,32 @@ def test_cleansing_is_one_codegen_stage(spark, tmp_root):
     assert "PartitionFilters: [isnotnull(batch_id" in p
 
 
-def test_shuffle_merge_builds_on_the_increment(spark):
+def test_shuffled_merge_uses_joins_that_can_be_split(spark):
     m = merge_patch(D.base(spark, SF), D.delta(spark, SF), ["o_orderkey"], strategy="shuffle")
     p = plan(m)
-    assert "ShuffledHashJoin" in p and "FullOuter" in p and "BuildLeft" in p
+    assert "FullOuter" not in p and "ShuffledHashJoin" not in p and "BroadcastHashJoin" not in p
+    assert p.count("SortMergeJoin") == 2 and "LeftOuter" in p and "LeftAnti" in p
+
+
+def test_hot_key_of_a_merge_is_split(spark):
+    """Three quarters of the base on one key: adaptive execution deals it to several tasks."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        base = spark.range(0, 80_000, 1, 8).selectExpr("IF(id % 4 = 0, id, -1) AS k", "id AS v", "uuid() AS w")
+        m = merge_patch(base, spark.range(0, 80_000, 40).selectExpr("id AS k", "-id AS v", "'x' AS w"), ["k"])
+        m.write.format("noop").mode("overwrite").save()
+        rows = m.collect()
+        assert len(rows) == 80_000
+        assert "SortMergeJoin(skew=true)" in m._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_auto_merge_respects_the_threshold(spark):

@@ -1,3 +1,4 @@
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -63,13 +64,28 @@ def test_literal_merge_null_and_duplicate_keys(spark):
         key=str)
 
 
-def test_default_merge_is_linear(spark):
+def test_repeated_keys_need_an_order(spark):
     b, d = _frames(spark)
-    for strategy in ("shuffle", "broadcast"):
-        got = sorted(map(tuple, merge_patch(b, d, ["k"], strategy=strategy).collect()), key=str)
-        # one increment row per key: the greatest ("x" > NULL); base duplicates each patched
-        assert got == sorted([(1, "x"), (1, "x"), (2, "b"), (None, "n"), (None, "m"), (3, "z")],
-                             key=str)
+    with pytest.raises(ValueError, match="repeats keys"):
+        merge_patch(b, d, "k")
+    got = sorted(map(tuple, merge_patch(b, d, "k", dedupe_by="v").collect()), key=str)
+    # the NULL patch of key 1 hides nothing; duplicates in the base are each patched
+    assert got == sorted([(1, "x"), (1, "x"), (2, "b"), (None, "n"), (None, "m"), (3, "z")], key=str)
+
+
+@pytest.mark.parametrize("strategy", ["auto", "shuffle"])
+def test_one_batch_equals_its_rows_one_after_another(spark, strategy):
+    base = spark.createDataFrame([(1, 10.0, "A", 0), (2, 20.0, "B", 0), (None, 1.0, "N", 0)],
+                                 "k int, price double, status string, ts int")
+    steps = [[(1, 5.0, None, 1), (3, 7.0, None, 1)], [(1, None, "X", 2)], [(3, None, "Z", 3), (2, None, None, 3)],
+             [(None, 9.0, "M", 4)]]
+    one = base
+    for rows in steps:
+        one = merge_patch(one, spark.createDataFrame(rows, base.schema), "k", strategy, dedupe_by="ts")
+    batch = spark.createDataFrame([r for rows in steps for r in rows], base.schema).repartition(3)
+    whole = merge_patch(base, batch, "k", strategy, dedupe_by="ts")
+    assert sorted(map(str, one.collect())) == sorted(map(str, whole.collect()))
+    assert {r.k: (r.price, r.status) for r in whole.collect() if r.k}[1] == (5.0, "X")
 
 
 def test_forms_agree_on_orders(spark):
@@ -77,7 +93,7 @@ def test_forms_agree_on_orders(spark):
     sf = "/root/testdata/sf0.001"
     b, d = D.base(spark, sf), D.delta(spark, sf)
     a = merge_patch(b, d, ["o_orderkey"], strategy="shuffle")
-    c = merge_patch(b, d, ["o_orderkey"], strategy="broadcast")
+    c = merge_patch(b, d, ["o_orderkey"])
     assert a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
     # merging the same increment twice changes nothing more (idempotent)
     twice = merge_patch(a, d, ["o_orderkey"])
@@ -87,12 +103,14 @@ def test_forms_agree_on_orders(spark):
     assert j.exceptAll(w).count() == 0 and w.exceptAll(j).count() == 0
 
 
-def test_broadcast_form_never_shuffles_base(spark):
-    from lodestone.plans import derived as D
-    sf = "/root/testdata/sf0.001"
-    m = merge_patch(D.base(spark, sf), D.delta(spark, sf), ["o_orderkey"], strategy="broadcast")
-    plan = m._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+def test_megabyte_fields_and_malformed_lines(spark, tmp_root):
+    from lodestone.sources.rawtext import malformed_lines, parse_lines
+    long = ("ab|c\\d\n" * 130_000) + "\\"
+    got = _round_trip(spark, tmp_root, [("1", long), ("2", "|" * 5000)], ["k", "v"])
+    assert got == [("1", long), ("2", "|" * 5000)]
+    lines = spark.createDataFrame([("a|b",), ("a|b|c",), ("a",), ("x\\|y|z",)], "value string")
+    assert tuple(malformed_lines(lines, 2).first()) == (2, 4)
+    assert [r.n for r in parse_lines(lines, ["a", "b"], fields_col="n").collect()] == [2, 3, 1, 2]
 
 
 def test_latest_version_ties_and_nulls(spark):
