@@ -262,8 +262,8 @@ def learn_weights(cells: np.ndarray, counts: np.ndarray, rounds: int = 200) -> n
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_mod: int = 7,
-          held_fold: int = 2, deleted_fold: int = 0, block_bytes: int = 12 << 20,
-          bucket_names: int = 1 << 21) -> DataFrame:
+          held_fold: int = 2, deleted_fold: int = 0, block_bytes: int = 4 << 20,
+          bucket_names: int = 1 << 20) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)
     for each input row. Held-out documents (crc32 of the id as text modulo
     ``held_mod`` is ``held_fold``) are never counted."""
