@@ -32,14 +32,14 @@ def test_chain_marginals_match_enumeration():
     assert got == pytest.approx((weight / total)[at])
 
 
-def held_out_result(spark, module, label, cut, **more):
+def held_out_result(spark, module, label, at, **more):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
     marks = spark.read.parquet(f"{SF_MID}/labels.parquet")
     model = module.train(docs, marks, **more)
     found = module.annotate(docs, model)
     score = F.col("score") if "score" in found.columns else F.col("found.score")
     rows = found.select(F.col("row.doc_id").alias("doc_id"), score.alias("score")).join(marks, "doc_id").collect()
-    held = [(r.score >= cut, r[label] == 1) for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    held = [(r.score >= at, r[label] == 1) for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
     assert all(0 <= r.score <= 1 for r in rows)
     return sum(a == b for a, b in held) / len(held)
 
