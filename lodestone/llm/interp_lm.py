@@ -48,6 +48,14 @@ STEPS = 8
 FLOOR = -1
 
 
+def _names(words: pa.StringArray) -> np.ndarray:
+    """The 64-bit name of each string."""
+    _, offsets, data = words.buffers()
+    edge = np.frombuffer(offsets, np.int32)[words.offset:words.offset + len(words) + 1].tolist()
+    raw, digest = data.to_pybytes() if data else b"", xxhash.xxh3_64_intdigest
+    return np.array([digest(raw[a:b]) for a, b in zip(edge[:-1], edge[1:], strict=True)], np.uint64)
+
+
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words of whole texts: names of the distinct words, each word's place
     among them, and the number of words of each text."""
@@ -60,8 +68,7 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ends = np.cumsum(size)
     count = edge[ends] - edge[ends - size]
     coded = flat.filter(pa.array(full)).dictionary_encode()
-    names = np.array([xxhash.xxh3_64_intdigest(w.as_buffer()) for w in coded.dictionary], np.uint64)
-    return names, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), count.astype(np.int64)
+    return _names(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), count.astype(np.int64)
 
 
 def _pieces(batch: pa.RecordBatch, block_bytes: int) -> Iterator[pa.RecordBatch]:
