@@ -43,6 +43,8 @@ from lodestone.llm.quality_rank import labelled_sample
 WORD = re.compile(r"[^\W\d_]+")
 #: Tokens in one training sequence.
 PIECE = 256
+#: Distance of the words that tell one surrounding from another.
+AROUND = 6
 #: Lengths of the prefixes that can be features, longest first.
 PREFIXES = (6, 5, 4, 3)
 
@@ -221,7 +223,10 @@ def _calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float =
 
 def lexicon(sample: DataFrame, least_docs: int, least_share: float, least_g: float, least_odds: float,
             max_words: int) -> list[str]:
-    """Features tied to toxic documents of ``sample``, strongest first."""
+    """Features tied to toxic documents of ``sample``, strongest first. They
+    must stand in different surroundings (the words ``AROUND`` places before and
+    after), at least one for every four documents: the words of a text that was
+    copied many times stand in many toxic documents, but always amid the same."""
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
             seen: tuple[Counter, Counter] = (Counter(), Counter())
@@ -245,7 +250,21 @@ def lexicon(sample: DataFrame, least_docs: int, least_share: float, least_g: flo
              .filter((F.col("a") >= F.greatest(F.lit(float(least_docs)), least_share * bad))
                      & (F.col("g") >= least_g) & (F.col("odds") >= least_odds))
              .orderBy(F.desc("g"), "word").limit(max_words).collect())
-    return [r.word for r in found]
+    known = {r.word for r in found}
+
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in batches:
+            rows = set()
+            for t in part["text"]:
+                toks = [*[""] * AROUND, *tokens(t or ""), *[""] * AROUND]
+                rows |= {(f, f"{a} {b}") for a, w, b in zip(toks, toks[AROUND:], toks[2 * AROUND:])
+                         for f in features(w) if f in known}
+            yield pd.DataFrame(list(rows), columns=["word", "around"])
+
+    places = {r.word: r.n for r in sample.filter("label = 1").select("text")
+              .mapInPandas(placed, "word string, around string")
+              .groupBy("word").agg(F.countDistinct("around").alias("n")).collect()}
+    return [r.word for r in found if 4 * places.get(r.word, 0) >= r.a]
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",

@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -52,9 +53,15 @@ def test_toxicity_on_held_out_documents(spark):
     assert held_out_result(spark, toxicity_crf, "toxic", 0.5) >= 0.9
 
 
+def _talk(i, insult):
+    """Twenty words that differ from text to text, with the insult among them if there is one."""
+    r = random.Random(i)
+    words = [f"{r.choice('abcdefghijkl')}{r.choice('mnopqrstuv')}ing" for _ in range(20)]
+    return " ".join([*words[:9], *([insult] if insult else []), *words[9:]])
+
+
 def test_toxicity_learns_stems_and_gives_offsets(spark):
-    rows = [(i, f"quiet words here zorg{'abcdefgh'[i % 8]}x and there number {i}" if i % 2
-             else f"quiet words here and there number {i}", "s") for i in range(200)]
+    rows = [(i, _talk(i, f"zorg{'abcdefgh'[i % 8]}x" if i % 2 else None), "s") for i in range(200)]
     marks = spark.createDataFrame([(i, i % 2, i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
     docs = docs_frame(spark, rows)
     found = toxicity_crf.annotate(docs, toxicity_crf.train(docs, marks)).collect()
@@ -65,6 +72,15 @@ def test_toxicity_learns_stems_and_gives_offsets(spark):
             assert r.row.text[s:e].startswith("zorg")
 
 
+def test_copied_toxic_text_does_not_teach_its_ordinary_words(spark):
+    copy = "some ordinary garden talk about zorgax and other matters of the day that everyone may mention freely"
+    rows = [(i, copy if i % 4 == 1 else _talk(i, "zorgax" if i % 2 else None), "s") for i in range(200)]
+    marks = spark.createDataFrame([(i, 1, i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
+    docs = docs_frame(spark, rows)
+    words = toxicity_crf.train(docs, marks).chain.words
+    assert "zorgax" in words and "garden" not in words
+
+
 @pytest.mark.parametrize("module,label", [(quality_rank, "quality"), (toxicity_crf, "toxic")])
 def test_classifiers_on_odd_tables(spark, odd, empty, labels, module, label):
     for marks in (labels, labels.limit(0), labels.filter(F.col(label) == 1), labels.filter(F.col(label) == 0)):
