@@ -108,7 +108,37 @@ def op5(spark, sf):
                         F.sha2(F.concat_ws(",", "hit_items"), 256).alias("items_sha256"), "contaminated")
 
 
-@register("op6_license_rules")
+def _op6_sql(gap: int = 2) -> str:
+    number = {name: i + 1 for i, name in enumerate(license_rules.SENTENCES)}
+    known = ", ".join(f"('{license_rules.normalise(t)}', {number[n]})" for n, t in license_rules.SENTENCES.items())
+    rules = ", ".join(f"('{lic}', {[number[n] for n in names]})" for lic, names in license_rules.RULES)
+    norm = r"trim(regexp_replace(lower(x), '[^\p{L}\p{N}]+', ' ', 'g'))"
+    return rf"""
+WITH known(sentence, id) AS (VALUES {known}), rules(license, want) AS (VALUES {rules}),
+d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '([.!?;:])[ \t\r\f\n]+', '\1' || chr(10) || chr(10), 'g') AS t
+      FROM documents),
+s AS (SELECT doc_id, 'line' AS kind, string_split(t, chr(10)) AS raw FROM d
+      UNION ALL SELECT doc_id, 'flow', string_split_regex(t, '\n[ \t\r\f]*\n') FROM d),
+c AS (SELECT doc_id, kind, list_filter(list_transform(raw, lambda x: {norm}), lambda x: x <> '') AS said FROM s),
+u AS (SELECT doc_id, kind, unnest(range(len(said))) AS pos, unnest(said) AS sentence FROM c),
+a AS (SELECT doc_id, kind, list(id ORDER BY pos) AS ids, list(pos ORDER BY pos) AS ats
+      FROM u JOIN known USING (sentence) GROUP BY doc_id, kind),
+p AS (SELECT *, unnest(range(1, len(ids) + 1)) AS n FROM a),
+m AS (SELECT doc_id, kind, license, ats[n] AS low, ats[n + len(want) - 1] AS high FROM p, rules
+      WHERE ids[n:n + len(want) - 1] = want AND ats[n + len(want) - 1] - ats[n] < len(want) + {gap}),
+k AS (SELECT DISTINCT * FROM m WHERE NOT EXISTS (SELECT 1 FROM m b WHERE b.doc_id = m.doc_id AND b.kind = m.kind
+      AND b.low <= m.low AND b.high >= m.high AND b.high - b.low > m.high - m.low)),
+g AS (SELECT doc_id, list_sort(list(DISTINCT license)) AS licenses,
+      string_agg(license || ':' || low || ':' || high, ',' ORDER BY low) FILTER (WHERE kind = 'line') AS lines,
+      string_agg(license || ':' || low || ':' || high, ',' ORDER BY low) FILTER (WHERE kind = 'flow') AS flow
+      FROM k GROUP BY doc_id)
+SELECT c.doc_id, CAST(len(said) AS BIGINT) AS n_sentences, CAST(coalesce(len(licenses), 0) AS BIGINT) AS n_licenses,
+       coalesce(array_to_string(licenses, ','), '') AS licenses, coalesce(lines, '') AS line_matches,
+       coalesce(flow, '') AS flow_matches
+FROM c LEFT JOIN g USING (doc_id) WHERE c.kind = 'line'"""
+
+
+@register("op6_license_rules", _op6_sql())
 def op6(spark, sf):
     found = license_rules.annotate(read_table(spark, sf, "documents"))
 

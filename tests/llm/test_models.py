@@ -228,7 +228,7 @@ def test_pipeline_matches_brute_force(spark, odd, labels, tmp_root):
     assert P.run(spark, tmp_root).count() == out["mix"]
 
 
-@pytest.mark.parametrize("name", ["op3_exact_top_k", "op5_benchmark_decontamination"])
+@pytest.mark.parametrize("name", ["op3_exact_top_k", "op5_benchmark_decontamination", "op6_license_rules"])
 def test_queries_match_their_sql(spark, name):
     from oracle_check import check
     r = check(spark, name, SF)
