@@ -170,10 +170,18 @@ def annotate(docs: DataFrame, bench: DataFrame, window_words: int = 13, gram_wor
     keyed = whole.select("row", F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("second"), text).alias("k2"))
     meet = _meetings(keyed.select("k1", "k2", word_hashes(text).alias("hashes")), items, windows, grams, window_words)
     none = F.array().cast("array<bigint>")
-    return (keyed.join(meet, (F.col("k1") == F.col("m1")) & (F.col("k2") == F.col("m2")))
-            .select("row", "n_words", "meets", F.when(F.size("meets") > 0, word_hashes(text)).otherwise(none).alias("hashes"))
-            .select("row", "n_words", F.expr(_found(windows, grams, window_words)).alias("found"))
-            .withColumn("found", F.filter("found", lambda m: F.size(m["places"]) > 0))
+    hashes = F.when(F.size("meets") > 0, word_hashes(text)).otherwise(none)
+
+    def once(frame: DataFrame, value: Column, name: str, *keep: str) -> DataFrame:
+        """``value`` as a column that is computed once: an optimizer that moved
+        a later filter below it would copy it to wherever the filter needs it."""
+        return frame.select(*keep, F.explode(F.array(F.struct(value.alias("v")))).alias("one")) \
+                    .select(*keep, F.col("one.v").alias(name))
+
+    joined = keyed.join(meet, (F.col("k1") == F.col("m1")) & (F.col("k2") == F.col("m2")))
+    cut = once(joined, hashes, "hashes", "row", "n_words", "meets")
+    whole_hits = F.filter(F.expr(_found(windows, grams, window_words)), lambda m: F.size(m["places"]) > 0)
+    return (once(cut, whole_hits, "found", "row", "n_words")
             .select("row", "n_words",
                     F.size(F.array_distinct(F.flatten(F.transform("found", lambda m: m["places"]))))
                     .cast("long").alias("n_hit"),
