@@ -14,7 +14,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
 
 REQUEST = "kind int, bucket long, block long, names binary, counts binary"
 ANSWER = "kind int, bucket long, block long, totals binary"
@@ -22,7 +21,7 @@ REQUEST_ARROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("block
                            ("names", pa.binary()), ("counts", pa.binary())])
 ANSWER_ARROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("block", pa.int64()),
                           ("totals", pa.binary())])
-#: Kind of rows that carry a block's own state past a count (bucket: the block).
+#: Kind of rows that carry a block's own state past a count (bucket: the round).
 STATE = -1
 
 
@@ -103,16 +102,3 @@ def collected(rows: list[dict], kind: int, columns: int) -> np.ndarray:
 def table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     columns = list(zip(*rows, strict=True)) or [[] for _ in schema]
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-
-def answer(asked: DataFrame, columns: int) -> DataFrame:
-    """ANSWER rows for REQUEST rows; STATE rows pass with their names as totals."""
-    def add(rows: pa.Table) -> pa.Table:
-        kind = rows["kind"][0].as_py()
-        if kind == STATE:
-            return pa.table([rows["kind"], rows["bucket"], rows["block"], rows["names"]], schema=ANSWER_ARROW)
-        totals, _, _ = answers(list(zip(rows["names"].to_pylist(), rows["counts"].to_pylist(), strict=True)), columns)
-        return pa.table([rows["kind"], rows["bucket"], rows["block"], pa.array(totals, pa.binary())],
-                        schema=ANSWER_ARROW)
-
-    return asked.groupBy("kind", "bucket").applyInArrow(add, ANSWER)

@@ -79,7 +79,7 @@ class Chunk:
         self.end = self.ends[np.searchsorted(self.ends, self.anchor, side="right")] if len(self.anchor) \
             else np.zeros(0, np.int64)
 
-    def name(self, at: np.ndarray | slice, length) -> np.ndarray:
+    def name(self, at: np.ndarray, length) -> np.ndarray:
         """Names of the substrings of ``length`` bytes at ``at``."""
         return B.mix((self.sums[at + length] - self.sums[at]) * self.down[at])
 
