@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The columns of an audit record.
 AUDIT_SCHEMA = T.StructType([
     T.StructField("exec_id", T.LongType()),
     T.StructField("extract_id", T.IntegerType()),
