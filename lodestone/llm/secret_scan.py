@@ -44,9 +44,10 @@ DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 HEX_ANY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 UUID = re.compile(r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}")
 NUMBER = re.compile(r"[0-9+/_=-]+")
-#: Words, acronyms or short numbers joined by separators or capitals.
-_PART = r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,12}(?![A-Z])|[0-9]{1,4}(?![0-9]))"
-IDENTIFIER = re.compile(rf"{_PART}(?:[-_/=+]*{_PART})*[-_/=+]*")
+#: Words, acronyms or short numbers joined by separators or capitals. Parts are
+#: maximal and possessive, so there is one way to cut a run and it takes linear time.
+_PART = r"(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,12}+(?![A-Z])|[0-9]{1,4}+(?![0-9]))"
+IDENTIFIER = re.compile(rf"{_PART}(?:[-_/=+]*+{_PART})*+[-_/=+]*+")
 #: Runs of one class of characters in an identifier; random text changes class often.
 CLASS_RUN = re.compile(r"[A-Z]*[a-z]+|[A-Z]+|[0-9]+")
 

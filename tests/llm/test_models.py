@@ -2,8 +2,11 @@
 
 import itertools
 import math
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -126,6 +129,16 @@ def test_secret_spans(spark, odd, empty):
     assert secret_scan.annotate(empty).collect() == []
 
 
+def test_identifiers_are_told_in_linear_time():
+    slug = "/some/long-path/of/many-words" * 40 + "-20240115"
+    code = ("import sys; from lodestone.llm.secret_scan import IDENTIFIER as i; "
+            "print([bool(i.fullmatch(t)) for t in sys.argv[1:]])")
+    runs = ["a" * 200 + "12345", slug, "word" * 20 + "-x", "Ab" * 50 + "Q" * 13, "someWords_and-2024"]
+    out = subprocess.run([sys.executable, "-c", code, *runs], capture_output=True, text=True, timeout=60, check=True,
+                         cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    assert out.stdout.strip() == str([False, False, False, False, True])
+
+
 def brute_scores(rows):
     """Counts in plain dictionaries; the weights are learned again from them."""
     toks = [(t or "").encode().lower().split() + [None] for _, t in rows]
