@@ -3,9 +3,10 @@
 A byte-pair vocabulary packs ordinary words into few tokens, while random
 strings fall apart into many, so a string with few characters per token is
 probably a key. Candidates are long runs of key characters; known digests
-(hexadecimal of a digest's length), UUIDs, numbers, dates and word-like
-identifiers are excluded before the test, and runs inside a pattern's span are
-already found.
+(hexadecimal of a digest's length), UUIDs, numbers, dates and identifiers are
+excluded before the test, and runs inside a pattern's span are already found.
+An identifier is known by its words, not by its kinds of characters: it has
+several parts, and the vocabulary packs each of them like a word.
 
 The vocabulary is a tiktoken rank file; its path is a parameter. It travels to
 the tasks as a broadcast of its bytes (about 1 MB, fixed), so executors need no
@@ -58,15 +59,22 @@ def _encoder(rank_file: bytes):
     return tiktoken.Encoding("secret-scan", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
 
-def known(run: str) -> bool:
-    """Digests, UUIDs, numbers and word-like identifiers."""
+def wordlike(part: str, encoder, max_ratio: float) -> bool:
+    """One token, or more than ``max_ratio`` characters a token, in any case of letters."""
+    count = len(encoder.encode_ordinary(part.lower()))
+    return count == 1 or len(part) > max_ratio * count
+
+
+def known(run: str, encoder, max_ratio: float) -> bool:
+    """Digests, UUIDs, numbers and identifiers of several wordlike parts."""
     if NUMBER.fullmatch(run) or UUID.fullmatch(run):
         return True
     if HEX_ANY.fullmatch(run) and len(run) in DIGEST_LENGTHS:
         return True
     if IDENTIFIER.fullmatch(run):
         parts = CLASS_RUN.findall(run)
-        return len(run) >= 4.5 * len(parts)
+        return len(parts) > 1 and len(run) >= 4.5 * len(parts) \
+            and all(p.isdecimal() or wordlike(p, encoder, max_ratio) for p in parts)
     return False
 
 
@@ -84,7 +92,7 @@ def random_spans(text: str, base: list, encoder, max_ratio: float) -> list[tuple
     found = []
     for m in RUN.finditer(text):
         start, end, run = m.start(), m.end(), m[0]
-        if any(s < end and start < e for s, _, e in base) or known(run):
+        if any(s < end and start < e for s, _, e in base) or known(run, encoder, max_ratio):
             continue
         if len(run) <= max_ratio * len(encoder.encode_ordinary(run)):
             found.append((start, 3, end))

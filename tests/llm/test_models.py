@@ -139,6 +139,22 @@ def test_identifiers_are_told_in_linear_time():
     assert out.stdout.strip() == str([False, False, False, False, True])
 
 
+def test_random_letters_are_no_identifier(spark):
+    r = random.Random(8)
+
+    def letters(n):
+        return "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    keys = [letters(n) for n in (20, 32, 64)] + [letters(32).capitalize(), letters(28) + "2024",
+                                                 "-".join(letters(8) for _ in range(4))]
+    names = ["birthday-photographs-2024-0115", "getUserNameFromDatabaseHandle", "SPARK_SQL_SHUFFLE_PARTITIONS",
+             "/usr/local/share/licenses/common", "internationalization"]
+    rows = [(i, f"see {t} here", "s") for i, t in enumerate(keys + names)]
+    found = {r.row.doc_id: r.found for r in secret_scan.annotate(docs_frame(spark, rows), mask="#").collect()}
+    for i, t in enumerate(keys):
+        assert found[i].spans == f"random:4:{4 + len(t)}" and found[i].clean == "see # here"
+    assert [found[i].spans for i in range(len(keys), len(rows))] == [""] * len(names)
+
+
 def brute_scores(rows):
     """Counts in plain dictionaries; the weights are learned again from them."""
     toks = [(t or "").encode().lower().split() + [None] for _, t in rows]
