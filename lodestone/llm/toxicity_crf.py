@@ -3,7 +3,8 @@
 Labels are given for documents, so tokens are labelled first. A token's feature
 is its whole word or one of its prefixes (inflected languages vary the ending),
 whichever is the longest in the lexicon; the lexicon holds the features tied to
-toxic documents, by log odds and likelihood ratio of document counts. In a
+toxic documents, by log odds and likelihood ratio of document counts, in which
+copies of a text count once. In a
 document marked toxic the tokens with a lexicon feature are toxic; all other
 tokens are not. A two-state chain is then trained on those token sequences by
 exact likelihood. Scoring runs forward-backward over the whole text: tokens
@@ -26,9 +27,9 @@ other columns pass through ``annotate`` under any name.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -221,24 +222,58 @@ def _calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float =
     return w
 
 
+def around(toks: list[str], i: int) -> str:
+    """What tells the surrounding of place ``i`` from others: the last two of the
+    ``AROUND`` words on either side, or all words up to a nearer end of the text."""
+    left = toks[i - AROUND:i - AROUND + 2] if i >= AROUND else toks[:i]
+    right = toks[i + AROUND - 1:i + AROUND + 1] if i + AROUND < len(toks) else toks[i:]
+    return f"{' '.join(left)}|{' '.join(right)}"
+
+
+def _name(s: str) -> int:
+    return int.from_bytes(hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big",
+                          signed=True)
+
+
+def evidence(toks: list[str]) -> dict[str, int]:
+    """For each feature of a text one of its surroundings, by name: the smallest,
+    so that copies of a text, and most near copies, give the same one."""
+    low: dict[str, int] = {}
+    for i, w in enumerate(toks):
+        n = _name(around(toks, i))
+        for f in features(w):
+            if n < low.get(f, n + 1):
+                low[f] = n
+    return low
+
+
 def lexicon(sample: DataFrame, least_docs: int, least_share: float, least_g: float, least_odds: float,
             max_words: int) -> list[str]:
-    """Features tied to toxic documents of ``sample``, strongest first. They
-    must stand in different surroundings (the words ``AROUND`` places before and
-    after), at least one for every four documents: the words of a text that was
-    copied many times stand in many toxic documents, but always amid the same."""
+    """Features tied to toxic documents of ``sample``, strongest first. A feature
+    counts once for each different surrounding, and a class has as many documents
+    as different texts: the copies of one text are one piece of evidence, both
+    for its ordinary words and for its offence."""
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def frame(rows: set) -> pd.DataFrame:
+            return pd.DataFrame(list(rows), columns=["word", "label", "around"])
+        rows: set = set()
         for part in batches:
-            seen: tuple[Counter, Counter] = (Counter(), Counter())
             for t, k in zip(part["text"], part["label"], strict=True):
-                seen[int(k)].update({f for w in set(tokens(t or "")) for f in features(w)})
-            yield pd.DataFrame([(f, float(seen[1][f]), float(seen[0][f])) for f in seen[0] | seen[1]],
-                               columns=["word", "a", "c"])
-
-    sizes = {r.label: r.n for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    bad, good = F.lit(float(sizes.get(1, 0))), F.lit(float(sizes.get(0, 0)))
-    seen = (sample.select("text", "label").mapInPandas(counted, "word string, a double, c double")
-            .groupBy("word").agg(F.sum("a").alias("a"), F.sum("c").alias("c")))
+                toks = tokens(t or "")
+                rows |= {(f, int(k), n) for f, n in evidence(toks).items()}
+                rows.add(("", int(k), _name(" ".join(toks))))  # the text itself
+                if len(rows) > 50_000:
+                    yield frame(rows)
+                    rows = set()
+        yield frame(rows)
+
+    def times(label: int) -> Column:
+        return F.count_if(F.col("label") == label).cast("double")
+
+    seen = materialize(sample.select("text", "label").mapInPandas(counted, "word string, label int, around long")
+                       .distinct().groupBy("word").agg(times(1).alias("a"), times(0).alias("c")), "toxic-words")
+    texts = seen.filter("word = ''").first()
+    bad, good = (F.lit(n) for n in ((texts.a, texts.c) if texts else (0.0, 0.0)))
     odds = F.log((F.col("a") + 0.5) / (bad - F.col("a") + 0.5)) - F.log((F.col("c") + 0.5) / (good - F.col("c") + 0.5))
     rate = (F.col("a") + F.col("c")) / (bad + good)
 
@@ -246,25 +281,12 @@ def lexicon(sample: DataFrame, least_docs: int, least_share: float, least_g: flo
         return sum(F.when(n > 0, n * F.log(n / (of * r))).otherwise(0.0)
                    for n, r in ((seen_in, rate), (of - seen_in, 1 - rate)))
 
-    found = (seen.withColumn("odds", odds).withColumn("g", 2 * (part(F.col("a"), bad) + part(F.col("c"), good)))
+    found = (seen.filter("word != ''").withColumn("odds", odds)
+             .withColumn("g", 2 * (part(F.col("a"), bad) + part(F.col("c"), good)))
              .filter((F.col("a") >= F.greatest(F.lit(float(least_docs)), least_share * bad))
                      & (F.col("g") >= least_g) & (F.col("odds") >= least_odds))
              .orderBy(F.desc("g"), "word").limit(max_words).collect())
-    known = {r.word for r in found}
-
-    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in batches:
-            rows = set()
-            for t in part["text"]:
-                toks = [*[""] * AROUND, *tokens(t or ""), *[""] * AROUND]
-                rows |= {(f, f"{a} {b}") for a, w, b in zip(toks, toks[AROUND:], toks[2 * AROUND:])
-                         for f in features(w) if f in known}
-            yield pd.DataFrame(list(rows), columns=["word", "around"])
-
-    places = {r.word: r.n for r in sample.filter("label = 1").select("text")
-              .mapInPandas(placed, "word string, around string")
-              .groupBy("word").agg(F.countDistinct("around").alias("n")).collect()}
-    return [r.word for r in found if 4 * places.get(r.word, 0) >= r.a]
+    return [r.word for r in found]
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",

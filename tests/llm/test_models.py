@@ -84,6 +84,19 @@ def test_copied_toxic_text_does_not_teach_its_ordinary_words(spark):
     assert "zorgax" in words and "garden" not in words
 
 
+def test_copies_of_a_toxic_text_do_not_hide_its_slur(spark):
+    copy = "some ordinary garden talk about zorgax and other matters of the day that everyone may mention freely"
+    texts = [copy] * 120 + [_talk(i, "zorgax") for i in range(12)] + [f"w{c}x zorgax" for c in "abcdefgh"] \
+        + [_talk(i, None) for i in range(100, 240)]
+    docs = docs_frame(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    marks = spark.createDataFrame([(i, 1, int("zorgax" in t)) for i, t in enumerate(texts)],
+                                  "doc_id long, quality int, toxic int")
+    model = toxicity_crf.train(docs, marks)
+    assert "zorgax" in model.chain.words and "garden" not in model.chain.words
+    for r in toxicity_crf.annotate(docs, model).collect():
+        assert (r.found.score >= 0.5) == ("zorgax" in r.row.text)
+
+
 @pytest.mark.parametrize("module,label", [(quality_rank, "quality"), (toxicity_crf, "toxic")])
 def test_classifiers_on_odd_tables(spark, odd, empty, labels, module, label):
     for marks in (labels, labels.limit(0), labels.filter(F.col(label) == 1), labels.filter(F.col(label) == 0)):
