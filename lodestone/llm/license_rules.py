@@ -4,8 +4,8 @@ Texts are cut into sentences, which are normalised (lower case, every run of
 other characters than letters and digits one blank) and mapped to identifiers
 of known licence sentences. A licence rule is an ordered list of identifiers;
 it matches where a document's known sentences hold that list in order, with at
-most ``gap`` unknown sentences in between. A match inside a longer one is
-dropped. Two readings of a text are scanned: ``lines``, in which each line
+most ``gap`` unknown sentences (clause numbers, say) between one and the next. A
+match inside a longer one is dropped. Two readings of a text are scanned: ``lines``, in which each line
 break ends a sentence, and ``flow``, in which sentences run on over line breaks
 (hard-wrapped licence texts), ended by a blank line or a full stop.
 
@@ -144,8 +144,8 @@ def _matches(sentences: Column, known: Column, rules: Column, gap: int) -> Colum
         def held(r):
             n = F.size(r["ids"])
             part = F.slice(found, k + 1, n)
-            return (F.transform(part, lambda p: p["id"]) == r["ids"]) \
-                & (F.element_at(part, -1)["at"] - F.element_at(part, 1)["at"] < n + gap)
+            near = F.transform(part, lambda p, i: F.coalesce(p["at"] - F.get(part, i - 1)["at"] <= gap + 1, F.lit(True)))
+            return (F.transform(part, lambda p: p["id"]) == r["ids"]) & F.forall(near, lambda x: x)
         return F.transform(F.filter(rules, held), lambda r: F.struct(
             F.get(found, k)["at"].alias("first"),
             F.get(found, k + F.size(r["ids"]) - 1)["at"].alias("last"), r["license"].alias("license")))

@@ -133,3 +133,32 @@ def test_licence_rules(spark, odd, empty):
     assert len(license_rules.annotate(odd).collect()) == len(odd_rows())
     assert license_rules.annotate(empty).collect() == []
     assert PROSE
+
+
+BSD = """Redistribution and use in source and binary forms, with or without modification,
+are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_NAMES = """
+3. Neither the name of the copyright holder nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission.
+"""
+
+
+def test_numbered_bsd_texts(spark):
+    far = BSD.replace("2. ", "2. One thing. Another thing. ") + BSD_NAMES  # three unknown sentences in one place
+    rows = [(1, BSD, "s"), (2, BSD + BSD_NAMES, "s"), (3, "Preface.\n\n" + (BSD + BSD_NAMES).replace("1.", "a."), "s"),
+            (4, far, "s")]
+    found = license_rules.annotate(docs_frame(spark, rows))
+    assert no_python(found)
+    got = {r.row.doc_id: r for r in found.collect()}
+    assert {k: list(r.licenses) for k, r in got.items()} == {
+        1: ["BSD-2-Clause"], 2: ["BSD-3-Clause"], 3: ["BSD-3-Clause"], 4: []}
+    assert [tuple(m) for m in got[2].flow_matches] == [(0, 6, "BSD-3-Clause")]
