@@ -363,11 +363,15 @@ def merge_into(spark: SparkSession, table: str, new_path: str, incr: DataFrame,
     ``scoped`` is for keys that never change their period: only the partitions
     that the increment touches are read, merged and replaced, and all others
     keep their files. (Their values are listed by the driver: one per period.)
+    A patch without a period touches the one that its key has in the table.
     ``order`` is the order of increment rows of one key; None if none repeats."""
     base = read_staging(spark, table, fmt, schema)
     incr = incr.select(*base.columns)
     if scoped:
-        touched = [r[0] for r in incr.select(part).distinct().collect()]
+        touched = {r[0] for r in incr.select(part).distinct().collect()}
+        if None in touched:  # patches that leave the period alone: their keys' periods
+            kept = incr.filter(F.col(part).isNull()).select(*keys)
+            touched |= {r[0] for r in base.join(kept, keys, "left_semi").select(part).distinct().collect()}
         base = base.filter(F.col(part).isin([p for p in touched if p is not None])
                            | (F.col(part).isNull() if None in touched else F.lit(False)))
     obs = Observation("merge")

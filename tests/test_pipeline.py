@@ -234,6 +234,23 @@ def test_scoped_merge_leaves_other_partitions_alone(spark, tmp_root):
     assert got == {**{i: "a" for i in range(9)}, 1: "x", 50: "n"}
 
 
+def test_scoped_merge_finds_rows_of_patches_without_a_period(spark, tmp_root):
+    from lodestone.session import data_files
+    layout = Layout(tmp_root)
+    run_load(spark, _rows(spark, [(i, "a", T0, f"20140{i % 3 + 1}") for i in range(9)] + [(20, "a", T0, None)]), KV,
+             LoadSpec("t", partition="month"), layout, "1")
+    spec = LoadSpec("t", refresh="INCR", keys=("k",), incr_col="ts", partition="month", keys_move=False)
+    before = set(data_files(spark, layout.stg(spec)))
+    patches = [(1, "x", T1, None), (20, "y", T1, None), (50, "n", T1, None), (3, "z", T1, "201401")]
+    r = run_load(spark, _rows(spark, patches), KV, spec, layout, "2")
+    assert (r.status, r.inserted_rows, r.target_rows) == ("S", 1, 11)
+    after = set(data_files(spark, layout.stg(spec)))
+    assert {f for f in before if "201403" in f[0]} == {f for f in after if "201403" in f[0]}
+    got = sorted((r.k, r.v, r.month and str(r.month)) for r in read_staging(spark, layout.stg(spec)).collect())
+    assert got == sorted([(i, {1: "x", 3: "z"}.get(i, "a"), f"20140{i % 3 + 1}") for i in range(9)]
+                         + [(20, "y", None), (50, "n", None)])
+
+
 def test_stream_keeps_order_and_partitions(spark, tmp_root):
     from lodestone.operators.sinks import land_raw
     from lodestone.session import list_dirs
