@@ -17,7 +17,8 @@ set, searched in blocks.
 Defined results: vectors that are null, or hold a null or a number that is not
 finite, take no part, nor do rows with a null id; vectors of different lengths
 never meet; ties go to the smaller id; a repeated id takes part with each of
-its distinct vectors, and is never a candidate of its own id; a query with fewer
+its distinct vectors, each a candidate with its own rank, and is never a
+candidate of its own id; a query with fewer
 than k candidates gets all; an empty table gives an empty result; other columns
 are ignored.
 """
@@ -151,7 +152,7 @@ def search(frame: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vecto
                           F.col("class") == F.col("c"))
                  .join(distinct_q.select(F.col("qkey").alias("k"), F.col("vec").alias("q")),
                        F.col("qkey") == F.col("k"))
-                 .select("qkey", "ids", F.aggregate(F.zip_with("v", "q", lambda a, b: a * b), F.lit(0).cast("long"),
+                 .select("qkey", "class", "ids", F.aggregate(F.zip_with("v", "q", lambda a, b: a * b), F.lit(0).cast("long"),
                                                     lambda s, x: s + x).alias("score")))
         found = materialize(found, "exact")
         if found.isEmpty():
@@ -162,10 +163,9 @@ def search(frame: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vecto
         exact = found
     ranked = (asked.withColumn("qkey", F.sha2(F.concat_ws(",", F.col("vec").cast("array<string>")), 256))
               .select(F.col("id").alias("query_id"), F.col("qkey").alias("a_key"))
-              .join(_smallest(exact.select("qkey", "score", F.explode("ids").alias("vec_id")).distinct(),
+              .join(_smallest(exact.select("qkey", "class", "score", F.explode("ids").alias("vec_id")).distinct(),
                               ["qkey"], [F.desc("score"), "vec_id"], wanted).drop("nth"),
                     F.col("a_key") == F.col("qkey"))
-              .filter(F.col("vec_id") != F.col("query_id"))
-              .groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))
+              .filter(F.col("vec_id") != F.col("query_id")))
     return _smallest(ranked, ["query_id"], [F.desc("score"), "vec_id"], k) \
         .select("query_id", F.col("nth").cast("int").alias("rank"), "vec_id", "score")

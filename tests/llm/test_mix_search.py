@@ -92,6 +92,20 @@ def test_search_is_exact_with_ties_and_copies(spark, copies):
     assert sorted(map(tuple, got.collect())) == brute_top(rows, lambda q: q % 10 == 0, 5)
 
 
+def test_search_ranks_each_vector_of_a_repeated_id(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i % 60, (rng.integers(-9, 10, size=6) / 4).tolist()) for i in range(120)]
+    rows += [(0, [4.0] * 6), (7, [3.0] * 6), (7, [3.0] * 5 + [2.75])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk_va.search(frame, F.col("id") % 10 == 0, 5, tile=32, query_block=8, bits=4, read_first=3)
+    vecs = [(i, np.floor(256 * np.array(v)).astype(int)) for i, v in {(i, tuple(v)) for i, v in rows}]
+    want = []
+    for q in range(0, 60, 10):
+        best = sorted((-int(x @ y), i) for p, x in vecs if p == q for i, y in vecs if i != q)[:5]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_search_with_few_candidates_and_empty(spark):
     rows = [(0, [1.0, 0.0]), (50, [1.0, 0.0]), (3, [-1.0, 2.0])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
