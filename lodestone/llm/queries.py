@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import (decontaminate, interp_lm, license_rules, mixing, quality_rank, secret_scan, simhash,
-                           suffix_dedup, topk_va, toxicity_crf)
+from lodestone.llm import (decontaminate, interp_lm, license_rules, mixing, periodic_runs, quality_rank,
+                           secret_scan, simhash, suffix_dedup, topk_va, toxicity_crf, turn_repair, winnow_prints)
 from lodestone.llm.common import id_bucket, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,6 +173,30 @@ def op10(spark, sf):
     return interp_lm.score(read_table(spark, sf, "documents"))
 
 
+@register("op11_periodic_runs")
+def op11(spark, sf):
+    found = periodic_runs.annotate(read_table(spark, sf, "documents"), change=periodic_runs.plant_repeats)
+    runs, best = F.col("found.runs"), F.get(F.col("found.runs"), F.col("found.best").cast("int"))
+    told = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(F.col("key").alias("doc_id"), F.size(runs).cast("long").alias("n_runs"),
+                        best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+                        F.expr("1000 * found.runs[found.best].length div found.runs[found.best].period")
+                        .alias("exponent_milli"),
+                        F.sha2(F.concat_ws("", told), 256).alias("runs_sha256"),
+                        F.sha2(F.col("found.collapsed"), 256).alias("collapsed_sha256"))
+
+
+@register("op12_winnow_prints")
+def op12(spark, sf):
+    return winnow_prints.compare_next(read_table(spark, sf, "documents"))
+
+
+@register("op13_turn_repair")
+def op13(spark, sf):
+    turns = turn_repair.damage(read_table(spark, sf, "conversations"))
+    return turn_repair.repair(turns, copies_col="copies")
+
+
 @register("pipeline")
 def pipeline(spark, sf):
     from corpus_pipeline import run
