@@ -209,9 +209,8 @@ def compare_next(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, key_co
                        .select("id", "text").mapInArrow(walk, held), "winnow")
     firsts = rows.filter("edge = 1").select("part", F.col("text").alias("other"))
     # one number a stretch: which one comes next, the first after the last
-    parts = firsts.select("part").withColumn("then", F.lead("part").over(Window.orderBy("part")))
-    parts = parts.crossJoin(F.broadcast(firsts.agg(F.min("part").alias("start")))) \
-        .select("part", F.coalesce("then", "start").alias("then"))
+    along = Window.orderBy("part")
+    parts = firsts.select("part", F.coalesce(F.lead("part").over(along), F.first("part").over(along)).alias("then"))
     ends = rows.filter("edge = 2").select("doc_id", "text", "part").join(parts, "part") \
         .join(firsts.withColumnRenamed("part", "then"), "then").select("doc_id", "text", "other")
     return rows.filter("edge = 0").select(*FIELDS).unionByName(ends.mapInArrow(meet, done))
