@@ -309,9 +309,10 @@ def _stream(turns: DataFrame, copies_col: str | None, kind: type, chunk: int) ->
     rows = _rows(turns, copies_col)
     present = F.col("code") >= 0
     # one mark a kind of row, at its first turn
-    place = F.struct(F.col("timed"), F.col("turn"))
     firsts = rows.filter(present & (F.col("code") % 4 < 2)).groupBy("none", "key", "h") \
-        .agg(F.min(place).alias("p")).select("none", "key", "p.turn", "p.timed", "h", F.lit(MARK).alias("code"))
+        .agg(F.min("timed").alias("timed"), F.min("turn").alias("least")) \
+        .select("none", "key", F.when(F.col("timed"), F.col("least")).otherwise(0).alias("turn"), "timed", "h",
+                F.lit(MARK).alias("code"))
     told = _repeated(rows).select("none", "key", "turn", "timed", "h", "code").unionByName(firsts)
     back = _ordered(told, F.col("timed").desc(), F.col("turn").desc(), F.col("h"), F.col("code").desc()) \
         .mapInPandas(_backwards(chunk), BACK)
