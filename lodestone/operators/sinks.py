@@ -25,8 +25,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.session import (data_files, delete_path, list_dirs, make_dirs, path_exists,
-                               rename_path)
+from lodestone.session import (data_files, delete_path, list_dirs, make_dirs, path_exists, read_text,
+                               rename_path, write_text)
 from lodestone.sources.rawtext import read_raw_text, to_lines
 
 # Accepted format names (case-insensitive) and their meaning.
@@ -267,6 +267,42 @@ def replace_partitions(spark: SparkSession, table_path: str, new_path: str, colu
     delete_path(spark, new_path)
 
 
+_CHANGE = "_change"
+
+
+def replace_files(spark: SparkSession, table_path: str, new_path: str, removed: list[str]) -> None:
+    """Replace single files of a table: those at ``removed`` (below the table)
+    give way to all files of the complete ``new_path``; others stay as they are.
+    What is to be done is written down first, so that ``finish_change`` can end
+    it after a crash. (Renames and deletes of files; no data passes here.)"""
+    change = f"{table_path}/{_CHANGE}"
+    delete_path(spark, change)
+    make_dirs(spark, change)
+    added = [f"{folder}{name}" for folder, name in data_files(spark, new_path)]
+    rename_path(spark, new_path, f"{change}/data")
+    write_text(spark, f"{change}/plan", "\n".join([f"+{f}" for f in added] + [f"-{f}" for f in removed]))
+    finish_change(spark, table_path)
+
+
+def finish_change(spark: SparkSession, table_path: str) -> bool:
+    """Ends a ``replace_files`` that was written down; one that wasn't is dropped
+    and the table is as before. Doing it again changes nothing."""
+    change = f"{table_path}/{_CHANGE}"
+    plan = read_text(spark, f"{change}/plan")
+    if plan is None:
+        delete_path(spark, change)
+        return False
+    steps = plan.splitlines()
+    for f in (s[1:] for s in steps if s[0] == "+"):
+        if path_exists(spark, f"{change}/data/{f}"):
+            make_dirs(spark, f"{table_path}/{f}".rpartition("/")[0])
+            rename_path(spark, f"{change}/data/{f}", f"{table_path}/{f}")
+    for f in (s[1:] for s in steps if s[0] == "-"):
+        delete_path(spark, f"{table_path}/{f}")
+    delete_path(spark, change)
+    return True
+
+
 def remove_batch_files(spark: SparkSession, path: str, batch_id: str) -> None:
     for folder, name in data_files(spark, path):
         if name.startswith(f"batch-{batch_id}-"):

@@ -44,12 +44,12 @@ from lodestone.functions.types import HeaderColumn, staging_schema
 from lodestone.operators.aggregates import (analyze_table, observed, observed_value,
                                             watermark_literal)
 from lodestone.operators.cleanse import cleanse_projection
-from lodestone.operators.merge import fold_increment, latest_version, merge_patch
-from lodestone.operators.sinks import (BATCH_COL, append_batch, create_external,
+from lodestone.operators.merge import any_null, fold_increment, latest_version, merge_patch
+from lodestone.operators.sinks import (BATCH_COL, append_batch, create_external, finish_change,
                                        land_batch, publish_batch, read_raw, recover,
-                                       remove_batch_files, replace_partitions,
+                                       remove_batch_files, replace_files, replace_partitions,
                                        resolve_format, swap_in, write_dataset)
-from lodestone.session import path_exists
+from lodestone.session import file_of_uri, path_exists
 from lodestone.sources.rawtext import malformed_lines
 
 STAGES = {1: "extract", 2: "raw", 3: "raw_table", 4: "staging_table",
@@ -82,7 +82,7 @@ class LoadSpec:
     strict_years: bool = False
     first_load: str = "error"          # INCR on an empty target: error | full
     decimal_mode: str = "exact"
-    merge_strategy: str = "auto"
+    merge_strategy: str = "auto"       # auto | shuffle | files (rewrite only files with touched keys)
     keys_move: bool = True             # a key's period can change between loads
     narrow_source: bool = False        # the source arrives in a few partitions
     register_catalog: bool = False
@@ -167,7 +167,7 @@ class _Load:
         return read_staging(self.spark, path, self.spec.stg_format, self.schema)
 
     # 1
-    def extract(self, source: DataFrame) -> None:
+    def extract(self, source: DataFrame, upper: tuple[Column, str] | None = None) -> None:
         s, part = self.spec, self.part
         src = source.select(*self.names, *([part] if part in source.columns and part not in self.names else []))
         if self.refresh in ("INCR", "APPEND"):
@@ -185,6 +185,10 @@ class _Load:
             if mark is not None:
                 src = src.filter(_incr_filter(s.incr_col, s.incr_op, mark[0]))
                 self.result.incr_col_val = mark[1]
+            if upper is not None:
+                beyond = F.col(s.incr_col) > upper[0]
+                # a first load also takes rows without a value: no later one would
+                src = src.filter(~beyond if mark is not None else F.coalesce(~beyond, F.lit(True)))
         if part and part not in src.columns:
             if not s.period_source:
                 raise ValueError(f"partition column {part!r} is not in the source; "
@@ -269,6 +273,11 @@ class _Load:
             swap_in(self.spark, self.stg, self.layout.new(s))
             return folded.count()
         before = self.count(self.stg)
+        if s.merge_strategy == "files":
+            self.result.inserted_rows = merge_files(
+                self.spark, self.stg, self.layout.new(s), incr, list(s.keys), order, s.stg_format, self.part,
+                self.schema, s.compress)
+            return before + self.result.inserted_rows
         self.result.inserted_rows = merge_into(
             self.spark, self.stg, self.layout.new(s), incr, list(s.keys), order, s.stg_format, self.part,
             self.schema, s.compress, s.merge_strategy, scoped=bool(self.part) and not s.keys_move)
@@ -296,17 +305,20 @@ class _Load:
 def run_load(spark: SparkSession, source: DataFrame | None, header: list[HeaderColumn],
              spec: LoadSpec, layout: Layout, batch_id: str, start_at: int = 1,
              stop_after: str | None = None, raise_errors: bool = True,
-             audit: bool = True) -> LoadResult:
+             audit: bool = True, upper: tuple[Column, str] | None = None) -> LoadResult:
     """Runs the stages from ``start_at`` on (``source`` is only read by the
-    first); ``stop_after="raw"`` keeps the raw batch alone."""
+    first); ``stop_after="raw"`` keeps the raw batch alone. ``upper`` (of
+    ``jdbc.upper_bound``) ends the window of an INCR or APPEND pull, so that rows
+    which the source gets during the pull wait for the next load."""
     result = LoadResult("F", None, None, layout.stg(spec))
     load = _Load(spark, header, spec, layout, str(batch_id), result)
     t0 = time.time()
     try:
         load.plan()
         recover(spark, load.stg)
+        finish_change(spark, load.stg)
         if start_at <= 1:
-            load.extract(source)
+            load.extract(source, upper)
         load.step = 2
         if start_at <= 2:
             publish_batch(spark, load.raw_path, load.batch_id, spec.archive)
@@ -387,6 +399,68 @@ def merge_into(spark: SparkSession, table: str, new_path: str, incr: DataFrame,
     return inserted
 
 
+#: Types whose least and greatest values are passed on to the scan as literals.
+_RANGED = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.StringType, T.DecimalType)
+
+
+def touched_files(base: DataFrame, incr: DataFrame, keys: list[str]) -> list[str]:
+    """URIs of the files of ``base`` (a read of files) that hold a key of
+    ``incr``. Only key columns are read, within the first key's range, which
+    Parquet's statistics use to skip row groups. The list is at most that of the
+    table's files, which the driver holds for any scan of it."""
+    wanted = incr.filter(~any_null(keys)).select(*keys)
+    held = base.select(*keys, F.col("_metadata.file_path").alias("_file"))
+    first = F.col(keys[0])
+    if isinstance(base.schema[keys[0]].dataType, _RANGED):
+        low, high = wanted.agg(F.min(first), F.max(first)).first()
+        if low is None:
+            return []
+        kind = base.schema[keys[0]].dataType
+        held = held.filter(first.between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
+    return sorted(r[0] for r in held.join(wanted, keys, "left_semi").select("_file").distinct().collect())
+
+
+def merge_files(spark: SparkSession, table: str, new_path: str, incr: DataFrame, keys: list[str],
+                order: str | None, fmt: str = "PARQUET", part: str | None = None,
+                schema: T.StructType | None = None, compress: bool = True) -> int:
+    """Patch-merges ``incr`` into the table at ``table`` by copy on write; the
+    number of inserts.
+
+    A row that the increment changes lies in a file that holds its key, whatever
+    period it is in or goes to. So only files with such keys are read whole,
+    merged, and replaced by what comes of them and the inserts; every other file
+    keeps its name and is not read but for its key column. A row that changes its
+    period leaves the file of the old one and is written to the new one."""
+    base = read_staging(spark, table, fmt, schema)
+    incr = incr.select(*base.columns)
+    uris = touched_files(base, incr, keys)
+    reader = spark.read.format(resolve_format(fmt)).schema(base.schema).option("basePath", table)
+    paths = [file_of_uri(spark, u) for u in uris]
+    old = reader.load(paths) if paths else base.filter(F.lit(False))
+    obs = Observation("merge-files")
+    merged = merge_patch(old, incr, keys, dedupe_by=order, keep_duplicates=order is None, inserted_col="_new") \
+        .observe(obs, F.count_if("_new").alias("inserted")).drop("_new")
+    write_dataset(merged, new_path, fmt, "overwrite", [part] if part else None, compress)
+    root = file_of_uri(spark, table).rstrip("/")
+    replace_files(spark, table, new_path, [_below(p, root) for p in paths])
+    return int(observed_value(obs, "inserted") or 0)
+
+
+def _below(path: str, root: str) -> str:
+    """``path`` less ``root``; either may lack the scheme that the other has."""
+    at = path.rfind(f"{_plain(root)}/")
+    if at < 0:
+        raise ValueError(f"{path} is not below {root}")
+    return path[at + len(_plain(root)) + 1:]
+
+
+def _plain(path: str) -> str:
+    """A path without scheme and authority."""
+    if "://" in path:
+        return "/" + path.split("://", 1)[1].partition("/")[2]
+    return path.split(":", 1)[1] if path.startswith("file:") else path
+
+
 def dedup_swap(spark: SparkSession, spec: LoadSpec, layout: Layout,
                ts: str = "extract_ts") -> int:
     """Latest version of (target UNION ALL increment) written as ``<t>_new``,
@@ -405,5 +479,6 @@ def dedup_swap(spark: SparkSession, spec: LoadSpec, layout: Layout,
     return int(n) if n is not None else read_staging(spark, stg, spec.stg_format).count()
 
 
-__all__ = ["LoadSpec", "Layout", "LoadResult", "LoadError", "run_load", "merge_into", "dedup_swap",
+__all__ = ["LoadSpec", "Layout", "LoadResult", "LoadError", "run_load", "merge_into", "merge_files",
+           "touched_files", "dedup_swap",
            "read_staging", "STAGES", "BATCH_COL"]

@@ -355,16 +355,15 @@ def q_refresh_append(spark, sf):
     return read_staging(spark, layout.stg(spec))
 
 
-def _incr_by_period(spark, sf, label, keys_move):
+def _incr_by_period(spark, sf, label, keys_move, strategy="auto"):
     layout = Layout(work_dir(spark, label))
     base, delta = D.base(spark, sf), D.delta(spark, sf)
     run_load(spark, base, _BASE_HEADER, LoadSpec("orders", "tpch", "FULL", partition="month",
                                                   period_source="o_orderdate"), layout, "1")
     # a listed spec does not drop increment rows of other periods
     incr = LoadSpec("orders", "tpch", "INCR", keys=("o_orderkey",), incr_col="extract_ts", keys_move=keys_move,
-                    partition="199501-199512", period_source="o_orderdate")
-    changed = delta.filter(F.col("o_orderdate").isNotNull())
-    res = run_load(spark, base.unionByName(changed), _BASE_HEADER, incr, layout, "2")
+                    partition="199501-199512", period_source="o_orderdate", merge_strategy=strategy)
+    res = run_load(spark, base.unionByName(delta), _BASE_HEADER, incr, layout, "2")
     if res.status != "S":
         raise RuntimeError(f"incremental load did not reconcile: {res}")
     return read_staging(spark, layout.stg(incr)).select(*_BASE_NAMES, F.col("month").cast("string"))
@@ -372,7 +371,7 @@ def _incr_by_period(spark, sf, label, keys_move):
 
 _PERIOD_SQL = O.with_ctes(
     O.BASE, O.DELTA, "tb AS (" + _BASE_TYPED.format("base") + ")",
-    "td AS (" + _BASE_TYPED.format("delta") + f" WHERE extract_ts > TIMESTAMP '{D.BASE_TS}' AND o_orderdate IS NOT NULL)",
+    "td AS (" + _BASE_TYPED.format("delta") + f" WHERE extract_ts > TIMESTAMP '{D.BASE_TS}')",
     "m AS (" + O.merge_sql("tb", "td", ["o_orderkey"], _BASE_NAMES) + ")") \
     + "SELECT *, strftime(o_orderdate, '%Y%m') AS month FROM m"
 
@@ -388,6 +387,12 @@ def q_refresh_incr_scoped(spark, sf):
     return _incr_by_period(spark, sf, "incrscope", False)
 
 
+@register("merge_touched_files", _PERIOD_SQL)
+def q_merge_touched_files(spark, sf):
+    """Only files that hold a key of the increment are rewritten, also where keys change their period."""
+    return _incr_by_period(spark, sf, "incrfiles", True, "files")
+
+
 @register("refresh_append_periods", "SELECT *, strftime(ts, '%Y%m') AS month FROM (" + _EVENTS_TYPED + ")")
 def q_refresh_append_periods(spark, sf):
     layout = Layout(work_dir(spark, "appendper"))
@@ -485,13 +490,17 @@ def q_scan_incremental(spark, sf):
 
 # --------------------------------------------------------------------- JDBC
 
-def _derby_orders(spark, sf):
+def _derby(spark, rows, name, **opts):
     import uuid
     conn = J.derby_connection("lodestone_" + uuid.uuid4().hex[:10])
-    J.write_table(D.table(spark, sf, "orders"), conn, "orders")
+    J.write_table(rows, conn, name, **opts)
     return conn
 
 
+def _derby_orders(spark, sf):
+    return _derby(spark, D.table(spark, sf, "orders"), "orders")
+
+
 _NTZ = {"preferTimestampNTZ": "true"}
 
 
@@ -523,3 +532,37 @@ def q_scan_jdbc_split_query(spark, sf):
     q = 'SELECT "o_orderkey", "o_totalprice" * 2 AS "doubled", "o_orderpriority" FROM orders'
     return J.read_split(spark, conn, None, "orders", '"o_orderkey"', 4, query=q, **_NTZ)
 
+
+
+_WINDOW_FROM = "1995-06-17 00:00:00"
+
+
+@register("scan_window", f"SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '{_WINDOW_FROM}'")
+def q_scan_window(spark, sf):
+    """A pull by four streams of (mark, upper]; rows that the source gets after
+    the upper bound was read aren't in it."""
+    conn = _derby_orders(spark, sf)
+    upper = J.upper_bound(spark, conn, "orders", '"o_orderdate"', **_NTZ)
+    source = J.read_split(spark, conn, None, "orders", '"o_orderkey"', 4, **_NTZ)
+    late = D.table(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate") + F.expr("INTERVAL 20 YEARS"))
+    J.write_table(late, conn, "orders", mode="append")
+    mark = F.lit(_WINDOW_FROM).cast(source.schema["o_orderdate"].dataType)
+    return J.read_window(source, "o_orderdate", ">", mark, upper[0])
+
+
+@register("scan_split_text", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
+def q_scan_split_text(spark, sf):
+    """Streams over a text column, cut where the database finds equal numbers of rows."""
+    conn = _derby(spark, D.table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment"),
+                  "customer", createTableColumnTypes="c_name VARCHAR(200)")
+    return J.read_split(spark, conn, None, "customer", '"c_name"', 4, method="quantile")
+
+
+#: Nine rows of ten in a hundredth of the range.
+_SKEWED_SQL = "CASE WHEN o_orderkey % 10 = 0 THEN o_orderkey * 100 ELSE o_orderkey END AS place"
+
+
+@register("scan_split_skewed", f"SELECT o_orderkey, {_SKEWED_SQL}, o_orderpriority FROM orders")
+def q_scan_split_skewed(spark, sf):
+    rows = D.table(spark, sf, "orders").selectExpr("o_orderkey", _SKEWED_SQL, "o_orderpriority")
+    return J.read_split(spark, _derby(spark, rows, "skewed"), None, "skewed", '"place"', 8, method="quantile")

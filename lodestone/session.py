@@ -111,6 +111,41 @@ def data_files(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     return found
 
 
+def file_of_uri(spark: SparkSession, uri: str) -> str:
+    """The path behind a URI such as ``_metadata.file_path`` gives (escapes undone)."""
+    return str(spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString())
+
+
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
+    """A small file of metadata, complete under its name or not there: it is
+    written beside it and renamed. An existing one is replaced, or refused."""
+    beside = f"{path}.{uuid.uuid4().hex[:8]}.tmp"
+    fs, p = _fs(spark, beside)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    _, target = _fs(spark, path)
+    if fs.exists(target):
+        if not overwrite:
+            fs.delete(p, False)
+            raise FileExistsError(path)
+        fs.delete(target, False)
+    rename_path(spark, beside, path)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
 def make_dirs(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.mkdirs(p)
@@ -128,4 +163,5 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["get_session", "ensure_checkpoint_dir", "work_dir", "path_exists",
-           "rename_path", "delete_path", "data_files", "make_dirs", "list_dirs", "local_path"]
+           "rename_path", "delete_path", "data_files", "make_dirs", "list_dirs", "local_path", "file_of_uri",
+           "write_text", "read_text"]

@@ -113,6 +113,83 @@ def test_jdbc_reads(spark, derby):
         whole.filter(F.col("o_totalprice") > 1e5).count()
 
 
+def _counts(df):
+    return [r[1] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+
+
+def test_quantile_splits_are_even_and_whole(spark):
+    conn = J.derby_connection("q" + uuid.uuid4().hex[:8])
+    names = ["O'Hara", "a", "B", "zz", "Ä", ""]
+    rows = spark.range(4000).selectExpr("id", "CASE WHEN id % 97 = 0 THEN NULL WHEN id % 10 = 0 THEN id * 100 ELSE id END AS skewed",
+                                        "concat(substr('QKMAZ', 1 + id % 5, 1), id) AS t",
+                                        "DATE'2020-01-01' + CAST(id % 900 AS int) AS d")
+    J.write_table(rows, conn, "split", createTableColumnTypes="t VARCHAR(40)")
+    for col in ('"skewed"', '"t"', '"d"'):
+        got = J.read_split(spark, conn, None, "split", col, 8, method="quantile")
+        counts = _counts(got)
+        assert got.rdd.getNumPartitions() == 8 and sum(counts) == 4000
+        assert max(counts) <= 2 * 500
+        assert got.select("id").distinct().count() == 4000
+    # equal strides would put nine rows of ten in one stream
+    assert max(_counts(J.read_split(spark, conn, None, "split", '"skewed"', 8))) > 3000
+    assert J.read_split(spark, conn, None, "split", '"t"', 8, method="quantile",
+                        query='SELECT "id", "t" FROM split WHERE "id" < 0').count() == 0
+    tricky = spark.createDataFrame([(i, n) for i, n in enumerate(names * 4)], "id int, n string")
+    J.write_table(tricky, conn, "tricky", createTableColumnTypes="n VARCHAR(40)")
+    assert J.read_split(spark, conn, None, "tricky", '"n"', 5, method="quantile").count() == 24
+    with pytest.raises(ValueError, match="hash"):
+        J.read_split(spark, conn, None, "split", '"t"', 8, method="hash")
+    other = J.Connection("oracle", "h", 1, "d")
+    assert J.split_predicates(spark, other, "t", "c", 2, "hash") == ["(MOD(ORA_HASH(c), 2) = 0) OR c IS NULL",
+                                                                    "MOD(ORA_HASH(c), 2) = 1"]
+
+
+def test_a_window_is_the_same_for_every_task_and_the_next_load_takes_the_rest(spark, tmp_root):
+    from lodestone.functions.types import HeaderColumn
+    from lodestone.plans.pipeline import Layout, LoadSpec, read_staging, run_load
+    conn, ntz = J.derby_connection("w" + uuid.uuid4().hex[:8]), {"preferTimestampNTZ": "true"}
+
+    def put(ids, mode="append"):
+        J.write_table(spark.createDataFrame([(i,) for i in ids], "k long")
+                      .selectExpr("k", "TIMESTAMP_NTZ'2020-01-01' + make_dt_interval(0, 0, 0, k) AS ts"), conn, "src", mode)
+    put(range(20), "overwrite")
+    header = [HeaderColumn("k", "NUMBER"), HeaderColumn("ts", "TIMESTAMP")]
+    spec, layout = LoadSpec("src", refresh="APPEND", incr_col="ts"), Layout(tmp_root)
+
+    def load(batch, between=()):
+        upper = J.upper_bound(spark, conn, "src", '"ts"', **ntz)
+        source = J.read_split(spark, conn, None, "src", '"k"', 4, **ntz)
+        put(between)  # the source goes on before the first task reads
+        window = J.read_window(source, "ts", ">", None, upper[0])
+        assert "ts" in window._jdf.queryExecution().executedPlan().toString().split("PushedFilters")[1]
+        r = run_load(spark, source, header, spec, layout, batch, upper=upper)
+        assert r.status == "S"
+        return r.source_rows, read_staging(spark, layout.stg(spec)).count()
+    assert load("1", range(20, 30)) == (20, 20)
+    assert load("2", range(30, 33)) == (10, 30)
+    assert load("3") == (3, 33)
+    assert sorted(r.k for r in read_staging(spark, layout.stg(spec)).collect()) == list(range(33))
+    # a task run again, after more rows, reads the same
+    upper = J.upper_bound(spark, conn, "src", '"ts"', **ntz)[0]
+    pull = J.read_window(J.read_split(spark, conn, None, "src", '"k"', 4, **ntz), "ts", ">",
+                         F.expr("TIMESTAMP_NTZ'2020-01-01 00:00:09'"), upper)
+    first = sorted(r.k for r in pull.collect())
+    put(range(33, 50))
+    assert sorted(r.k for r in pull.collect()) == first == list(range(10, 33))
+
+
+def test_headers_of_a_whole_schema(spark):
+    columns = spark.createDataFrame(
+        [("S", "T1", "B", "NUMBER", 22, 2, 2), ("S", "T1", "A", "VARCHAR2", 9, None, 1), ("S", "T2", "X", "DATE", 7, None, 1)],
+        "owner string, table_name string, column_name string, data_type string, data_length int, data_scale int, column_id int")
+    comments = spark.createDataFrame([("S", "T1", "A", "first"), ("S", "T2", "X", None), ("R", "T1", "B", "no")],
+                                     "owner string, table_name string, column_name string, comments string")
+    got = {r.table_name: [tuple(c) for c in r.header] for r in J.schema_headers(columns, comments).collect()}
+    assert got == {"T1": [("A", "VARCHAR2", "first", "9", None), ("B", "NUMBER", " ", "22", "2")],
+                   "T2": [("X", "DATE", " ", "7", None)]}
+    assert {r.table_name: len(r.header) for r in J.schema_headers(columns).collect()} == {"T1": 2, "T2": 1}
+
+
 def test_dictionary(spark, derby):
     schemas = {r[0] for r in J.catalog_schemas(spark, derby).collect()}
     assert "APP" in schemas

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.functions.types import HeaderColumn, header_from_schema
+from lodestone.operators.merge import merge_patch
 from lodestone.operators.sinks import raw_batches
 from lodestone.plans import derived as D
 from lodestone.plans.audit import audit_summary, read_audit
@@ -251,6 +252,73 @@ def test_scoped_merge_finds_rows_of_patches_without_a_period(spark, tmp_root):
                          + [(20, "y", None), (50, "n", None)])
 
 
+def _month_files(spark, path):
+    from lodestone.session import data_files
+    return set(data_files(spark, path))
+
+
+def test_merge_of_touched_files_keeps_all_others(spark, tmp_root):
+    from lodestone.plans.pipeline import merge_files, touched_files
+    rows = [(i, "a", T0, f"20140{i % 4 + 1}") for i in range(40)] + [(None, "n", T0, "201401")]
+    cols = "k long, v string, ts string, month string"
+    # two files a period: k below 20 and the others
+    base, table = spark.createDataFrame(rows, cols), f"{tmp_root}/files/t"
+    for half in (F.col("k") < 20, (F.col("k") >= 20) | F.col("k").isNull()):
+        base.filter(half).coalesce(1).write.mode("append").partitionBy("month").parquet(table)
+    before = _month_files(spark, table)
+    assert len(before) == 8
+    # 1 is patched in its period, 25 (201402) moves to 201404, 60 is new, a null key is inserted
+    incr = spark.createDataFrame([(1, "x", T1, None), (25, None, T1, "201404"), (60, "n", T1, "201401"),
+                                  (None, "z", T1, "201403")], cols)
+    schema = spark.read.parquet(table).schema
+    want = merge_patch(base, incr, ["k"]).collect()
+    assert len(touched_files(read_staging(spark, table, schema=base.schema), incr, ["k"])) == 2
+    assert merge_files(spark, table, f"{tmp_root}/files/new", incr, ["k"], None, part="month", schema=base.schema) == 2
+    after = _month_files(spark, table)
+    gone = before - after
+    assert len(gone) == 2 and all(f[0] == "month=201402/" for f in gone)
+    got = read_staging(spark, table, schema=base.schema).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == 43
+    assert spark.read.parquet(table).schema.fieldNames() == schema.fieldNames()
+    # nothing to change: no file is touched
+    none = incr.filter("false")
+    assert merge_files(spark, table, f"{tmp_root}/files/new", none, ["k"], None, part="month", schema=base.schema) == 0
+    assert _month_files(spark, table) == after
+
+
+@pytest.mark.parametrize("after", range(8))
+def test_a_merge_of_files_that_dies_is_ended_by_the_next_load(spark, tmp_root, after, monkeypatch):
+    """Dies after each rename or delete in turn; the retry ends with the new rows once."""
+    from lodestone.operators import sinks as S
+    layout = Layout(tmp_root)
+    spec = LoadSpec("t", refresh="INCR", keys=("k",), incr_col="ts", partition="month", merge_strategy="files")
+    run_load(spark, _rows(spark, [(i, "a", T0, f"20140{i % 3 + 1}") for i in range(9)]), KV,
+             LoadSpec("t", partition="month"), layout, "1")
+    done, dying = [], {}
+
+    def deadly(name):
+        plain = getattr(S, name)
+
+        def step(sp, *paths):
+            if dying and "_change" in paths[0] + paths[-1] or (dying and name == "delete_path" and "month=" in paths[0]):
+                if len(done) >= after:
+                    raise OSError("the driver died")
+                done.append(paths)
+            return plain(sp, *paths)
+        monkeypatch.setattr(S, name, step)
+    deadly("rename_path")
+    deadly("delete_path")
+    dying["now"] = True
+    more = [(3, "x", T1, "201402"), (70, "n", T1, "201401")]
+    run_load(spark, _rows(spark, more), KV, spec, layout, "2", raise_errors=False)
+    monkeypatch.undo()
+    r = run_load(spark, _rows(spark, more), KV, spec, layout, "2")
+    assert r.status == "S" and len(done) == after
+    got = sorted((r.k, r.v, str(r.month)) for r in read_staging(spark, layout.stg(spec)).collect())
+    assert got == sorted([(i, "x" if i == 3 else "a", "201402" if i == 3 else f"20140{i % 3 + 1}") for i in range(9)]
+                         + [(70, "n", "201401")])
+
+
 def test_stream_keeps_order_and_partitions(spark, tmp_root):
     from lodestone.operators.sinks import land_raw
     from lodestone.session import list_dirs
