@@ -24,14 +24,36 @@ def watermark_literal(target: DataFrame, col: str) -> tuple[Column, str] | None:
     process's: instants travel as microseconds, other types as text that Spark
     casts back."""
     kind = target.schema[col].dataType
-    top = F.max(col)
-    exact = F.unix_micros(top) if isinstance(kind, T.TimestampType) else top.cast("string")
-    row = target.agg(exact.alias("exact"), top.cast("string").alias("text")).first()
+    row = target.agg(*exact_top(F.max(col), kind)).first()
     if row["exact"] is None:
         return None
-    lit = F.timestamp_micros(F.lit(row["exact"])) if isinstance(kind, T.TimestampType) \
-        else F.lit(row["exact"]).cast(kind)
-    return lit, row["text"]
+    return mark_literal(row["exact"], kind), row["text"]
+
+
+def exact_top(top: Column, kind: T.DataType) -> tuple[Column, Column]:
+    """A greatest value as ``exact`` (text; microseconds of an instant) and ``text``."""
+    exact = F.unix_micros(top) if isinstance(kind, T.TimestampType) else top
+    return exact.cast("string").alias("exact"), top.cast("string").alias("text")
+
+
+def mark_literal(exact: str, kind: T.DataType) -> Column:
+    return F.timestamp_micros(F.lit(int(exact))) if isinstance(kind, T.TimestampType) else F.lit(exact).cast(kind)
+
+
+#: Types whose greatest value Parquet's footers hold exactly.
+FOOTER_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType)
+
+
+def footer_max(spark, path: str, schema: T.StructType, col: str) -> DataFrame:
+    """The greatest value of a column of a Parquet table from the files' footers:
+    the aggregate is pushed into the scan, which reads no column data. (Its
+    settings are those of a session of its own.)"""
+    if not isinstance(schema[col].dataType, FOOTER_TYPES):
+        raise TypeError(f"footers hold no exact greatest {schema[col].dataType.simpleString()}")
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.schema(schema).parquet(path).agg(F.max(col).alias(col))
 
 
 def count_rows(df: DataFrame) -> int:

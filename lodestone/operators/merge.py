@@ -5,8 +5,10 @@
     increment keeps the old value, new keys are inserted, untouched rows are
     kept, nothing is deleted, NULL keys never match (both rows survive).
 
-    That is ``base LEFT JOIN incr`` for the rows that stay and ``incr ANTI JOIN
-    base keys`` for those that are new. Spark chooses the join by its own
+    That is ``base LEFT JOIN incr`` for the rows that stay and, for those that are
+    new, ``incr ANTI JOIN`` the base keys: with "auto" those alone that the
+    increment meets, a semi-join of key columns, so that with a small increment the
+    base isn't shuffled and a hot base key collapses first. Spark chooses the join by its own
     statistics; where it shuffles, adaptive execution splits a hot key of
     either join (it cannot split a full outer join). Rows with a NULL key are
     set aside first, so they never gather in one task.
@@ -100,7 +102,10 @@ def merge_patch(base: DataFrame, incr: DataFrame, keys, strategy: str = "auto",
     matching = ~any_null(keys)
     stays = joined(base.filter(matching), incr.filter(matching), "left_outer") \
         .select(*[F.coalesce(F.col(f"r.{c}"), F.col(f"l.{c}")).alias(c) for c in cols])
-    new = joined(incr.filter(matching), base.filter(matching).select(*keys), "left_anti").select(*cols)
+    met = base.filter(matching).select(*keys)
+    if strategy == "auto":
+        met = joined(met, incr.filter(matching).select(*keys), "left_semi").distinct()
+    new = joined(incr.filter(matching), met, "left_anti").select(*cols)
     aside = flagged(base.filter(any_null(keys)), False).unionByName(flagged(incr.filter(any_null(keys)), True))
     return flagged(stays, False).unionByName(flagged(new, True)).unionByName(aside)
 

@@ -22,11 +22,13 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.session import (data_files, delete_path, list_dirs, make_dirs, path_exists, read_text,
-                               rename_path, write_text)
+                               rename_path, replace_text, write_text)
 from lodestone.sources.rawtext import read_raw_text, to_lines
 
 # Accepted format names (case-insensitive) and their meaning.
@@ -161,18 +163,21 @@ def land_raw(df: DataFrame, raw_path: str, batch_id: str, fmt: str = "text",
 
 
 def read_raw(spark: SparkSession, raw_path: str, names: list[str], fmt: str = "text",
-             batch_id: str | None = None, partition_col: str | None = None) -> DataFrame:
+             batch_id: str | None = None, partition_col: str | None = None,
+             fields_col: str | None = None) -> DataFrame:
     """All-string raw rows (optionally of one batch: a partition filter, so
-    only that batch's files are listed and read)."""
+    only that batch's files are listed and read). ``fields_col`` adds to rows of
+    text the number of fields that their line has."""
     fmt = resolve_format(fmt)
     parts = [BATCH_COL] + ([partition_col] if partition_col else [])
     if batch_id is not None and not data_files(spark, f"{raw_path}/{BATCH_COL}={batch_id}"):
         # an extract that returned no rows lands no files
         from pyspark.sql import types as T
         schema = T.StructType([T.StructField(c, T.StringType()) for c in names + parts])
-        return spark.createDataFrame([], schema)
+        none = spark.createDataFrame([], schema)
+        return none.withColumn(fields_col, F.lit(0)) if fields_col and fmt == "text" else none
     if fmt == "text":
-        df = read_raw_text(spark, raw_path, names, parts)
+        df = read_raw_text(spark, raw_path, names, parts, fields_col)
     else:
         df = spark.read.format(fmt).load(raw_path)
         df = df.select(*[F.col(c).cast("string").alias(c) for c in names],
@@ -252,10 +257,11 @@ def swap_in(spark: SparkSession, table_path: str, new_path: str, keep_previous:
 
 
 def replace_partitions(spark: SparkSession, table_path: str, new_path: str, column: str,
-                       values: list[str] | None = None) -> None:
+                       values: list[str] | None = None) -> list[str]:
     """Swap each partition folder of the complete ``new_path`` into the table;
     of ``values`` (all partitions that are being replaced), those without rows
-    in ``new_path`` go. Doing it again after a crash ends the same."""
+    in ``new_path`` go. Doing it again after a crash ends the same. Returns the
+    folders that were swapped in."""
     make_dirs(spark, table_path)
     fresh = [d for d in list_dirs(spark, new_path) if d.startswith(f"{column}=")]
     for d in {*fresh, *(f"{column}={v}" for v in values or [])}:
@@ -265,16 +271,18 @@ def replace_partitions(spark: SparkSession, table_path: str, new_path: str, colu
         else:
             delete_path(spark, f"{table_path}/{d}")
     delete_path(spark, new_path)
+    return fresh
 
 
 _CHANGE = "_change"
 
 
-def replace_files(spark: SparkSession, table_path: str, new_path: str, removed: list[str]) -> None:
+def replace_files(spark: SparkSession, table_path: str, new_path: str, removed: list[str]) -> list[str]:
     """Replace single files of a table: those at ``removed`` (below the table)
     give way to all files of the complete ``new_path``; others stay as they are.
     What is to be done is written down first, so that ``finish_change`` can end
-    it after a crash. (Renames and deletes of files; no data passes here.)"""
+    it after a crash. (Renames and deletes of files; no data passes here.)
+    Returns the folders that got or lost files."""
     change = f"{table_path}/{_CHANGE}"
     delete_path(spark, change)
     make_dirs(spark, change)
@@ -282,6 +290,7 @@ def replace_files(spark: SparkSession, table_path: str, new_path: str, removed:
     rename_path(spark, new_path, f"{change}/data")
     write_text(spark, f"{change}/plan", "\n".join([f"+{f}" for f in added] + [f"-{f}" for f in removed]))
     finish_change(spark, table_path)
+    return sorted({f.rpartition("/")[0] for f in [*added, *removed]})
 
 
 def finish_change(spark: SparkSession, table_path: str) -> bool:
@@ -290,7 +299,8 @@ def finish_change(spark: SparkSession, table_path: str) -> bool:
     change = f"{table_path}/{_CHANGE}"
     plan = read_text(spark, f"{change}/plan")
     if plan is None:
-        delete_path(spark, change)
+        if path_exists(spark, change):
+            delete_path(spark, change)
         return False
     steps = plan.splitlines()
     for f in (s[1:] for s in steps if s[0] == "+"):
@@ -310,17 +320,55 @@ def remove_batch_files(spark: SparkSession, path: str, batch_id: str) -> None:
 
 
 def append_batch(df: DataFrame, path: str, batch_id: str, fmt: str = "parquet",
-                 partition_col: str | None = None, compress: bool = True) -> None:
+                 partition_col: str | None = None, compress: bool = True) -> list[str]:
     """Append rows once per batch id: they are written aside and then renamed
     into the table under names that carry the id, after files of that id from
-    an earlier attempt are gone. (A rename for each file; no data passes here.)"""
+    an earlier attempt are gone. (A rename for each file; no data passes here.)
+    Returns the folders that got files."""
     spark, attempt = df.sparkSession, f"{path}/_append_{batch_id}"
     write_dataset(df, attempt, fmt, partition_by=[partition_col] if partition_col else None, compress=compress)
     remove_batch_files(spark, path, batch_id)
-    for folder, name in data_files(spark, attempt):
+    written = data_files(spark, attempt)
+    for folder, name in written:
         make_dirs(spark, f"{path}/{folder}")
         rename_path(spark, f"{attempt}/{folder}{name}", f"{path}/{folder}batch-{batch_id}-{name}")
     delete_path(spark, attempt)
+    return sorted({folder for folder, _ in written})
+
+
+# ------------------------------------------------------------------ versions
+
+POINTER = "_current"
+
+
+def versions(spark: SparkSession, table_path: str) -> list[int]:
+    return sorted(int(d[2:]) for d in list_dirs(spark, table_path) if d.startswith("_v") and d[2:].isdigit())
+
+
+def current_version(spark: SparkSession, table_path: str) -> str:
+    """The folder that holds the table's rows now. A reader that asks once stays
+    with this version, whatever is published meanwhile. A table without versions
+    is its own folder."""
+    found = read_text(spark, f"{table_path}/{POINTER}")
+    return f"{table_path}/{found}" if found else table_path
+
+
+def publish_version(spark: SparkSession, table_path: str, new_path: str, keep: int = 2) -> str:
+    """Make the complete ``new_path`` the table's next version. It becomes a
+    version folder, and then one small file that names it replaces the one that
+    names the old: the table never is away, and a crash leaves the old version or
+    the new one. The last ``keep`` versions stay for readers that are at work. (On
+    an object store, write ``new_path`` as the version folder: a folder's rename
+    is a copy there, that of the pointer is one small object.)"""
+    have = versions(spark, table_path)
+    name = f"_v{(have[-1] if have else 0) + 1:08d}"
+    make_dirs(spark, table_path)
+    if new_path != f"{table_path}/{name}":
+        rename_path(spark, new_path, f"{table_path}/{name}")
+    replace_text(spark, f"{table_path}/{POINTER}", name)
+    for old in versions(spark, table_path)[:-keep]:
+        delete_path(spark, f"{table_path}/_v{old:08d}")
+    return f"{table_path}/{name}"
 
 
 # ------------------------------------------------------------------ catalog
@@ -346,16 +394,48 @@ def create_external(spark: SparkSession, database: str, table: str, schema, path
     if partition_col:
         cols += f", `{partition_col}` string"
     part = f" PARTITIONED BY (`{partition_col}`)" if partition_col else ""
+    known = spark.catalog.tableExists(name)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {fmt}{part} "
               f"LOCATION '{path}'")
-    if partition_col and path_exists(spark, path):
+    if partition_col and not known and path_exists(spark, path):
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     return name
 
 
+def _quoted(value: str) -> str:
+    return str(value).replace("\\", "\\\\").replace("'", "\\'")
+
+
+def partition_values(folders) -> list[str]:
+    """Values of one partition column from folder names (``month=199601``)."""
+    found = {f.strip("/").partition("=")[2] for f in folders if "=" in f}
+    return sorted(unquote(v) for v in found)
+
+
+def create_latest_view(spark: SparkSession, database: str, table: str, keys: list[str], ts: str,
+                       base: str | None = None, incr: str | None = None) -> str:
+    """The persisted view ``<table>_view``: of base and increment (catalog tables,
+    ``<table>`` and ``<table>_incr`` unless named) the rows with the greatest
+    ``ts`` of their key, as ``latest_version`` gives them. The keys are join keys,
+    so a filter on them reaches every scan below."""
+    base, incr = base or f"{database}.{table}", incr or f"{database}.{table}_incr"
+    cols = ", ".join(f"`{c}`" for c in spark.table(base).columns)
+    both = f"SELECT {cols} FROM {base} UNION ALL SELECT {cols} FROM {incr}"
+    by = ", ".join(f"`{k}`" for k in keys)
+    on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+    name = f"{database}.{table}_view"
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT t.* FROM ({both}) t JOIN "
+              f"(SELECT {by}, MAX(`{ts}`) AS _top FROM ({both}) u GROUP BY {by}) s ON {on} AND t.`{ts}` = s._top")
+    return name
+
+
+def partition_spec(column: str, value: str) -> str:
+    return f"`{column}`='{_quoted(value)}'"
+
+
 def add_partitions(spark: SparkSession, table: str, column: str, values: list[str]) -> None:
     """Pre-create partitions (one statement for all of them)."""
     if not values:
         return
-    specs = " ".join(f"PARTITION (`{column}`='{v}')" for v in values)
+    specs = " ".join(f"PARTITION ({partition_spec(column, v)})" for v in values)
     spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")

@@ -27,6 +27,7 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("excluded_rows", T.LongType()),
     T.StructField("rejected_values", T.LongType()),
     T.StructField("malformed_lines", T.LongType()),
+    T.StructField("notes", T.StringType()),
 ])
 
 
@@ -40,7 +41,8 @@ def audit_frame(spark: SparkSession, spec, result, batch_id: str) -> DataFrame:
     row = (exec_id_of(batch_id), spec.extract_id, f"{spec.interface}.{spec.table}".upper(),
            result.source_rows, spec.refresh.upper(), result.target_rows, result.incr_col_val,
            result.started, result.ended, result.elapsed_s, result.fail_step, result.status,
-           result.excluded_rows, result.rejected_values, result.malformed_lines)
+           result.excluded_rows, result.rejected_values, result.malformed_lines,
+           result.notes)
     return spark.createDataFrame([row], AUDIT_SCHEMA)
 
 

@@ -7,6 +7,8 @@ driver. A selected row is turned into a load (``load_from_config``).
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,6 +50,13 @@ EXTRACT_SCHEMA = T.StructType([
     T.StructField("stg_file_format", _S), T.StructField("file_compress", _S),
     T.StructField("service_nm", _S), T.StructField("create_dt", T.DateType()),
     T.StructField("modify_dt", T.DateType()), T.StructField("comments", _S),
+    # beyond the fixed record: what a load of such a table needs to know
+    T.StructField("period_source", _S),     # date column that a period is derived from
+    T.StructField("keys_move", _S),         # Y: a key's period can change
+    T.StructField("dedupe_by", _S),         # order of increment rows of one key
+    T.StructField("first_load", _S),        # full: INCR on an empty target loads it
+    T.StructField("merge_strategy", _S),    # auto, shuffle, files
+    T.StructField("split_method", _S),      # stride, quantile, hash
 ])
 
 # Registration defaults (key=value, as a defaults file holds them).
@@ -211,7 +220,16 @@ def source_from_row(spark: SparkSession, row, query: str | None = None,
     wide = (r.get("parallel_extract") or "N").upper() == "Y"
     streams = int(r.get("extract_parallelism") or 1) if wide else 1
     return J.read_split(spark, conn, r["src_schema"], r["src_tab_nm"], r.get("parallel_splitby"),
-                        streams, query=sql, **options)
+                        streams, query=sql, method=(r.get("split_method") or "stride").lower(), **options)
+
+
+def upper_of_row(spark: SparkSession, row, source: DataFrame, incr_col: str, query: str | None = None,
+                 query_dir: str | None = None, **options):
+    """The end of the window of a configured INCR or APPEND pull, read now."""
+    conn = connection_from_row(row)
+    name = next(c for c in source.columns if c.lower() == incr_col.lower())
+    table = J.source_sql(conn, row["src_schema"], row["src_tab_nm"], query_of(row, query, query_dir, spark))
+    return J.upper_bound(spark, conn, table, conn.quoted(name), **options)
 
 
 def load_from_config(spark: SparkSession, sources: DataFrame, extracts: DataFrame, service: str, schema: str,
@@ -219,13 +237,21 @@ def load_from_config(spark: SparkSession, sources: DataFrame, extracts: DataFram
                      query_dir: str | None = None, header: list[HeaderColumn] | None = None,
                      options: dict | None = None, **run) -> LoadResult:
     """Runs one registered table end to end. Without ``header``, the header is
-    that of the pulled columns."""
+    that of the columns of the first pull, which is frozen: a column that changes
+    its type or goes stops a later load, a new one is noted in the audit and left
+    out until ``accept_header`` takes it. The end of an incremental pull's window
+    is read once, before the pull."""
     row = config_lookup(sources, extracts, service, schema, table).first()
     if row is None:
         raise LookupError(f"no configured extract {service}.{schema}.{table}")
-    source = source_from_row(spark, row, query, query_dir, **(options or {}))
-    return run_load(spark, source, header or header_from_schema(source.schema), spec_from_row(row), layout,
-                    batch_id, **run)
+    options = options or {}
+    source, spec = source_from_row(spark, row, query, query_dir, **options), spec_from_row(row)
+    if header is None:
+        sql = query_of(row, query, query_dir, spark)
+        spec.freeze_header, spec.header_key = True, f"{zlib.crc32(sql.encode()):08x}" if sql else ""
+    if spec.refresh in ("INCR", "APPEND") and spec.incr_col and run.get("start_at", 1) <= 1:
+        run.setdefault("upper", lambda: upper_of_row(spark, row, source, spec.incr_col, query, query_dir, **options))
+    return run_load(spark, source, header or header_from_schema(source.schema), spec, layout, batch_id, **run)
 
 
 def spec_from_row(row) -> LoadSpec:
@@ -251,6 +277,11 @@ def spec_from_row(row) -> LoadSpec:
         archive=(g("raw_archiving", "N").upper() == "Y"),
         extract_id=g("extract_id"),
         narrow_source=g("parallel_extract", "N").upper() != "Y",
+        period_source=g("period_source"),
+        keys_move=g("keys_move", "Y").upper() != "N",
+        dedupe_by=g("dedupe_by"),
+        first_load=g("first_load", "error").lower(),
+        merge_strategy=g("merge_strategy", "auto").lower(),
     )
 
 

@@ -32,7 +32,10 @@ the driver sees counts and the watermark.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
 import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -41,19 +44,24 @@ from pyspark.sql import types as T
 
 from lodestone.functions.periods import classify_period, expand_period, period_of
 from lodestone.functions.types import HeaderColumn, staging_schema
-from lodestone.operators.aggregates import (analyze_table, observed, observed_value,
-                                            watermark_literal)
+from lodestone.operators.aggregates import (FOOTER_TYPES, analyze_table, exact_top, footer_max, mark_literal,
+                                            observed, observed_value)
 from lodestone.operators.cleanse import cleanse_projection
 from lodestone.operators.merge import any_null, fold_increment, latest_version, merge_patch
-from lodestone.operators.sinks import (BATCH_COL, append_batch, create_external, finish_change,
-                                       land_batch, publish_batch, read_raw, recover,
+from lodestone.operators.sinks import (BATCH_COL, add_partitions, append_batch, create_external,
+                                       create_latest_view, current_version, finish_change, land_batch,
+                                       partition_spec, partition_values, publish_batch, publish_version,
+                                       read_raw, recover,
                                        remove_batch_files, replace_files, replace_partitions,
                                        resolve_format, swap_in, write_dataset)
-from lodestone.session import file_of_uri, path_exists
+from lodestone.session import data_files, file_of_uri, path_exists, read_text, write_text
+from lodestone.sources.header import freeze_header
 from lodestone.sources.rawtext import malformed_lines
 
 STAGES = {1: "extract", 2: "raw", 3: "raw_table", 4: "staging_table",
           5: "transform", 6: "merge"}
+#: The file beside a table that holds its high-water mark.
+MARK = "_mark"
 # Comparison operators accepted for the incremental column.
 INCR_OPS = (">", ">=", "=")
 
@@ -87,6 +95,10 @@ class LoadSpec:
     narrow_source: bool = False        # the source arrives in a few partitions
     register_catalog: bool = False
     statistics: bool = False           # catalog statistics after the load
+    latest_view: bool = False          # INCR: the catalog view <table>_view of the latest versions
+    versioned: bool = False            # versions with a pointer instead of renamed folders
+    freeze_header: bool = False        # the first header stays; drift stops a load
+    header_key: str = ""               # tells frozen headers of several queries on a table apart
     extract_id: int | None = None
 
 
@@ -107,6 +119,9 @@ class Layout:
     def new(self, s: LoadSpec) -> str:
         return f"{self.root}/stg/{s.interface}/{s.table}_new"
 
+    def header(self, s: LoadSpec) -> str:
+        return f"{self.root}/headers/{s.interface}/{s.table}{f'-{s.header_key}' if s.header_key else ''}"
+
     def audit(self) -> str:
         return f"{self.root}/audit/extract_audit"
 
@@ -124,6 +139,7 @@ class LoadResult:
     rejected_values: int = 0           # text that did not convert to its type
     malformed_lines: int = 0
     error: str | None = None
+    notes: str | None = None           # what the load met and went on with
     elapsed_s: int | None = None
     started: dt.datetime = field(default_factory=dt.datetime.now)
     ended: dt.datetime | None = None
@@ -141,7 +157,13 @@ def read_staging(spark: SparkSession, path: str, fmt: str = "PARQUET",
     """Staging rows; with the schema, also of a table without any, and with
     periods as the text they are."""
     r = spark.read.format(resolve_format(fmt))
-    return (r.schema(schema) if schema else r).load(path)
+    return (r.schema(schema) if schema else r).load(current_version(spark, path))
+
+
+def _files_digest(spark: SparkSession, path: str) -> str:
+    """A name for the data files that a table has now (file names carry random ids)."""
+    names = "\n".join(sorted(f"{d}{n}" for d, n in data_files(spark, path)))
+    return hashlib.sha256(names.encode()).hexdigest()
 
 
 class _Load:
@@ -150,6 +172,8 @@ class _Load:
     def __init__(self, spark, header, spec: LoadSpec, layout: Layout, batch_id: str, result: LoadResult):
         self.spark, self.header, self.spec, self.layout = spark, header, spec, layout
         self.batch_id, self.result, self.step = batch_id, result, 1
+        self.mark = self.top = None        # (exact, text) of the mark before, and of the rows loaded
+        self.touched: list[str] | None = []  # folders written; None for all
 
     def plan(self) -> None:
         s = self.spec
@@ -160,6 +184,13 @@ class _Load:
         self.kind, self.part = period.kind, period.column
         literal = self.part and not period.symbolic and self.refresh == "FULL"
         self.periods = expand_period(s.partition, s.strict_years) if literal else None
+        if s.versioned and (literal or self.refresh == "APPEND" or s.merge_strategy == "files"
+                            or (self.part and not s.keys_move)):
+            raise ValueError("a versioned table is replaced whole: by a FULL load without listed periods, a dedup or a merge")
+        if s.freeze_header:
+            self.header, added = freeze_header(self.spark, self.layout.header(s), self.header)
+            if added:
+                self.result.notes = f"the source has new columns: {', '.join(added)}"
         self.names = [c.name.strip() for c in self.header]
         self.raw_path, self.stg = self.layout.raw(s), self.layout.stg(s)
 
@@ -167,7 +198,7 @@ class _Load:
         return read_staging(self.spark, path, self.spec.stg_format, self.schema)
 
     # 1
-    def extract(self, source: DataFrame, upper: tuple[Column, str] | None = None) -> None:
+    def extract(self, source: DataFrame, upper: tuple[Column, str] | Callable | None = None) -> None:
         s, part = self.spec, self.part
         src = source.select(*self.names, *([part] if part in source.columns and part not in self.names else []))
         if self.refresh in ("INCR", "APPEND"):
@@ -177,14 +208,15 @@ class _Load:
             if path_exists(self.spark, self.stg):
                 # an earlier attempt of this batch must not move the mark
                 remove_batch_files(self.spark, self.stg, self.batch_id)
-                mark = watermark_literal(read_staging(self.spark, self.stg, s.stg_format), s.incr_col) \
-                    if self._has_rows() else None
+                mark = self.high_water() if self._has_rows() else None
             if mark is None and self.refresh == "INCR" and s.first_load != "full":
                 raise ValueError("target is empty: no high-water mark for INCR "
                                  "(run FULL first or pass first_load='full')")
             if mark is not None:
                 src = src.filter(_incr_filter(s.incr_col, s.incr_op, mark[0]))
                 self.result.incr_col_val = mark[1]
+            if callable(upper):
+                upper = upper()
             if upper is not None:
                 beyond = F.col(s.incr_col) > upper[0]
                 # a first load also takes rows without a value: no later one would
@@ -200,16 +232,55 @@ class _Load:
         self.result.source_rows = None if n is None else int(n)
 
     def _has_rows(self) -> bool:
-        from lodestone.session import data_files
-        return bool(data_files(self.spark, self.stg))
+        return bool(data_files(self.spark, current_version(self.spark, self.stg)))
+
+    def high_water(self) -> tuple[Column, str] | None:
+        """The target's greatest value of the incremental column: as the last load
+        left it, if the table still has that load's files; else from footers,
+        where they hold it exactly; else by reading the column."""
+        s, path = self.spec, current_version(self.spark, self.stg)
+        schema = staging_schema(self.header, self.part)
+        kind = schema[s.incr_col].dataType
+        saved = json.loads(read_text(self.spark, f"{self.stg}/{MARK}") or "{}")
+        if saved.get("column") == s.incr_col and saved.get("type") == kind.simpleString() \
+                and saved.get("files") == _files_digest(self.spark, path):
+            self.mark = saved["exact"], saved["text"]
+        elif isinstance(kind, FOOTER_TYPES) and resolve_format(s.stg_format) == "parquet":
+            row = footer_max(self.spark, path, schema, s.incr_col).select(*exact_top(F.col(s.incr_col), kind)).first()
+            self.mark = (row["exact"], row["text"]) if row["exact"] is not None else None
+        else:
+            row = read_staging(self.spark, path, s.stg_format, schema).agg(*exact_top(F.max(s.incr_col), kind)).first()
+            self.mark = (row["exact"], row["text"]) if row["exact"] is not None else None
+        return (mark_literal(self.mark[0], kind), self.mark[1]) if self.mark else None
+
+    def save_mark(self) -> None:
+        """Left beside the table for the next load. Not where the greatest value
+        that was loaded isn't that of the table: listed periods, or patches that
+        are folded in another order."""
+        s, found = self.spec, self.top or self.mark
+        if not s.incr_col or not found or self.periods or (s.dedupe_by or s.incr_col) != s.incr_col \
+                or self.refresh == "FULL" and not self.top:
+            return
+        kind = staging_schema(self.header, self.part)[s.incr_col].dataType
+        told = {"column": s.incr_col, "type": kind.simpleString(), "exact": found[0], "text": found[1],
+                "files": _files_digest(self.spark, current_version(self.spark, self.stg))}
+        write_text(self.spark, f"{self.stg}/{MARK}", json.dumps(told))
+
+    def replace(self, new_path: str, keep_previous: bool = True) -> None:
+        """The complete ``new_path`` becomes the table."""
+        self.touched = None
+        if self.spec.versioned:
+            publish_version(self.spark, self.stg, new_path)
+        else:
+            swap_in(self.spark, self.stg, new_path, keep_previous)
 
     # 3
-    def read_batch(self) -> DataFrame:
+    def read_batch(self, raw_only: bool) -> DataFrame:
         s, r = self.spec, self.result
-        raw = read_raw(self.spark, self.raw_path, self.names, s.raw_format, self.batch_id, self.part)
+        raw = read_raw(self.spark, self.raw_path, self.names, s.raw_format, self.batch_id, self.part, "_fields")
         if r.source_rows is None:
             r.source_rows = raw.count()
-        if resolve_format(s.raw_format) == "text":
+        if raw_only and resolve_format(s.raw_format) == "text":  # else counted by the transform
             lines = self.spark.read.schema("value string").text(f"{self.raw_path}/{BATCH_COL}={self.batch_id}")
             r.malformed_lines = int(malformed_lines(lines, len(self.names)).first()["malformed"])
         return raw
@@ -223,40 +294,75 @@ class _Load:
     def transform(self, raw: DataFrame) -> int:
         """Writes staging (the increment, for INCR); how many rows it wrote."""
         s, r, part = self.spec, self.result, self.part
+        lines = Observation(f"lines-{s.table}-{self.batch_id}") if "_fields" in raw.columns else None
+        if lines:
+            raw = raw.observe(lines, F.count_if(F.col("_fields") != len(self.names)).alias("malformed"))
         typed = cleanse_projection(raw, self.header, part, s.decimal_mode, rejected_col="_rejected")
         inside = F.col(part).isin(self.periods) if self.periods else F.lit(True)
         obs = Observation(f"staged-{s.table}-{self.batch_id}")
         typed = typed.observe(obs, F.count_if(F.coalesce(inside, F.lit(False))).alias("kept"),
                               F.count_if(~F.coalesce(inside, F.lit(False))).alias("excluded"),
-                              F.sum("_rejected").alias("rejected")).filter(inside).drop("_rejected")
+                              F.sum("_rejected").alias("rejected"), *self._observed_top(inside)) \
+            .filter(inside).drop("_rejected")
         by = [part] if part else None
         if self.refresh == "INCR":
             write_dataset(typed, self.layout.incr(s), s.stg_format, "overwrite", by, s.compress)
         elif self.refresh == "APPEND":
             remove_batch_files(self.spark, self.stg, self.batch_id)
             self.before = self.count(self.stg)
-            append_batch(typed, self.stg, self.batch_id, s.stg_format, part, s.compress)
+            self.touched = append_batch(typed, self.stg, self.batch_id, s.stg_format, part, s.compress)
         elif self.periods:
             attempt = f"{self.stg}/_attempt_{self.batch_id}"
             write_dataset(typed, attempt, s.stg_format, "overwrite", by, s.compress)
-            replace_partitions(self.spark, self.stg, attempt, part, self.periods)
+            self.touched = replace_partitions(self.spark, self.stg, attempt, part, self.periods)
         else:
             attempt = f"{self.stg}_attempt"
             write_dataset(typed, attempt, s.stg_format, "overwrite", by, s.compress)
-            swap_in(self.spark, self.stg, attempt, keep_previous=False)
+            self.replace(attempt, keep_previous=False)
         kept = observed_value(obs, "kept")
         if kept is None:  # an always-empty plan reports nothing
             return 0
         r.excluded_rows = int(observed_value(obs, "excluded") or 0)
         r.rejected_values = int(observed_value(obs, "rejected") or 0)
+        r.malformed_lines = int(observed_value(lines, "malformed") or 0) if lines else 0
+        if s.incr_col and observed_value(obs, "exact") is not None:
+            self.top = observed_value(obs, "exact"), observed_value(obs, "text")
         return int(kept)
 
+    def _observed_top(self, inside: Column) -> tuple[Column, ...]:
+        if not self.spec.incr_col:
+            return ()
+        return exact_top(F.max(F.when(inside, F.col(self.spec.incr_col))), self.schema[self.spec.incr_col].dataType)
+
     def count(self, path: str, where: Column | None = None) -> int:
         if not path_exists(self.spark, path):
             return 0
         rows = self.staged(path)
         return (rows.filter(where) if where is not None else rows).count()
 
+    def tell_catalog(self) -> None:
+        """Partitions and statistics of what this load wrote, not of the whole
+        table, where it wrote some partitions only."""
+        s, spark = self.spec, self.spark
+        name = f"{s.interface}.{s.table}"
+        if s.versioned:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{current_version(spark, self.stg)}'")
+        spark.catalog.refreshTable(name)
+        some = partition_values(self.touched) if self.part and self.touched is not None else None
+        if some is not None:
+            add_partitions(spark, name, self.part, some)
+        elif self.part:
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        if s.statistics and some is not None:
+            for value in some:
+                analyze_table(spark, name, partition_spec(self.part, value))
+        elif s.statistics:
+            analyze_table(spark, name)
+        if s.latest_view and self.refresh == "INCR":
+            create_external(spark, s.interface, f"{s.table}_incr", self.schema, self.layout.incr(s), s.stg_format,
+                            self.part, replace=True)
+            create_latest_view(spark, s.interface, s.table, list(s.keys), s.dedupe_by or s.incr_col)
+
     # 6
     def merge(self) -> int:
         """Merges the written increment; the number of rows the target must have."""
@@ -270,17 +376,20 @@ class _Load:
             folded = fold_increment(incr, list(s.keys), order)
             write_dataset(folded, self.layout.new(s), s.stg_format, "overwrite",
                           [self.part] if self.part else None, s.compress)
-            swap_in(self.spark, self.stg, self.layout.new(s))
-            return folded.count()
+            self.replace(self.layout.new(s))
+            return self.count(self.stg)
         before = self.count(self.stg)
         if s.merge_strategy == "files":
             self.result.inserted_rows = merge_files(
                 self.spark, self.stg, self.layout.new(s), incr, list(s.keys), order, s.stg_format, self.part,
-                self.schema, s.compress)
+                self.schema, s.compress, self.touched)
             return before + self.result.inserted_rows
         self.result.inserted_rows = merge_into(
             self.spark, self.stg, self.layout.new(s), incr, list(s.keys), order, s.stg_format, self.part,
-            self.schema, s.compress, s.merge_strategy, scoped=bool(self.part) and not s.keys_move)
+            self.schema, s.compress, s.merge_strategy, scoped=bool(self.part) and not s.keys_move,
+            touched=self.touched, versioned=s.versioned)
+        if not self.touched:
+            self.touched = None
         return before + self.result.inserted_rows
 
     def reconcile(self, staged: int | None) -> str | None:
@@ -294,7 +403,10 @@ class _Load:
             held = self.count(self.stg, F.col(self.part).isin(self.periods) if self.periods else None)
             if held != staged:
                 wrong.append(f"target holds {held} of {staged} staged rows")
-        r.target_rows = self.count(self.stg)
+            if not self.periods:
+                r.target_rows = held
+        if r.target_rows is None:
+            r.target_rows = self.count(self.stg)
         if self.refresh == "APPEND" and staged is not None and r.target_rows != self.before + staged:
             wrong.append(f"target {r.target_rows} is not {self.before} + {staged}")
         if self.refresh == "INCR" and r.target_rows != self.expected:
@@ -305,11 +417,12 @@ class _Load:
 def run_load(spark: SparkSession, source: DataFrame | None, header: list[HeaderColumn],
              spec: LoadSpec, layout: Layout, batch_id: str, start_at: int = 1,
              stop_after: str | None = None, raise_errors: bool = True,
-             audit: bool = True, upper: tuple[Column, str] | None = None) -> LoadResult:
+             audit: bool = True, upper: tuple[Column, str] | Callable | None = None) -> LoadResult:
     """Runs the stages from ``start_at`` on (``source`` is only read by the
     first); ``stop_after="raw"`` keeps the raw batch alone. ``upper`` (of
-    ``jdbc.upper_bound``) ends the window of an INCR or APPEND pull, so that rows
-    which the source gets during the pull wait for the next load."""
+    ``jdbc.upper_bound``, or a function that reads it) ends the window of an INCR
+    or APPEND pull, so that rows which the source gets during the pull wait for
+    the next load."""
     result = LoadResult("F", None, None, layout.stg(spec))
     load = _Load(spark, header, spec, layout, str(batch_id), result)
     t0 = time.time()
@@ -323,7 +436,7 @@ def run_load(spark: SparkSession, source: DataFrame | None, header: list[HeaderC
         if start_at <= 2:
             publish_batch(spark, load.raw_path, load.batch_id, spec.archive)
         load.step = 3
-        raw = load.read_batch()
+        raw = load.read_batch(stop_after == "raw")
         if stop_after == "raw":
             result.target_rows = result.source_rows
             result.error = f"{result.malformed_lines} malformed raw lines" if result.malformed_lines else None
@@ -342,12 +455,10 @@ def run_load(spark: SparkSession, source: DataFrame | None, header: list[HeaderC
                 load.step = 6
                 load.expected = load.merge()
             result.error = load.reconcile(staged)
+            if result.error is None:
+                load.save_mark()
             if spec.register_catalog:
-                name = f"{spec.interface}.{spec.table}"
-                if load.part:
-                    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-                if spec.statistics:
-                    analyze_table(spark, name)
+                load.tell_catalog()
         result.status = "F" if result.error else "S"
         result.fail_step = load.step if result.error else None
         if result.error:
@@ -368,7 +479,8 @@ def run_load(spark: SparkSession, source: DataFrame | None, header: list[HeaderC
 
 def merge_into(spark: SparkSession, table: str, new_path: str, incr: DataFrame, keys: list[str],
                order: str | None, fmt: str = "PARQUET", part: str | None = None, schema: T.StructType | None = None,
-               compress: bool = True, strategy: str = "auto", scoped: bool = False) -> int:
+               compress: bool = True, strategy: str = "auto", scoped: bool = False,
+               touched: list[str] | None = None, versioned: bool = False) -> int:
     """Patch-merges ``incr`` into the table at ``table``; the number of inserts.
 
     The whole table is written as a new version at ``new_path`` and swapped in.
@@ -376,16 +488,17 @@ def merge_into(spark: SparkSession, table: str, new_path: str, incr: DataFrame,
     that the increment touches are read, merged and replaced, and all others
     keep their files. (Their values are listed by the driver: one per period.)
     A patch without a period touches the one that its key has in the table.
-    ``order`` is the order of increment rows of one key; None if none repeats."""
+    ``order`` is the order of increment rows of one key; None if none repeats.
+    ``touched`` gets the folders of the partitions that were replaced."""
     base = read_staging(spark, table, fmt, schema)
     incr = incr.select(*base.columns)
     if scoped:
-        touched = {r[0] for r in incr.select(part).distinct().collect()}
-        if None in touched:  # patches that leave the period alone: their keys' periods
+        periods = {r[0] for r in incr.select(part).distinct().collect()}
+        if None in periods:  # patches that leave the period alone: their keys' periods
             kept = incr.filter(F.col(part).isNull()).select(*keys)
-            touched |= {r[0] for r in base.join(kept, keys, "left_semi").select(part).distinct().collect()}
-        base = base.filter(F.col(part).isin([p for p in touched if p is not None])
-                           | (F.col(part).isNull() if None in touched else F.lit(False)))
+            periods |= {r[0] for r in base.join(kept, keys, "left_semi").select(part).distinct().collect()}
+        base = base.filter(F.col(part).isin([p for p in periods if p is not None])
+                           | (F.col(part).isNull() if None in periods else F.lit(False)))
     obs = Observation("merge")
     merged = merge_patch(base, incr, keys, strategy, dedupe_by=order,
                          keep_duplicates=order is None, inserted_col="_new") \
@@ -393,7 +506,11 @@ def merge_into(spark: SparkSession, table: str, new_path: str, incr: DataFrame,
     write_dataset(merged, new_path, fmt, "overwrite", [part] if part else None, compress)
     inserted = int(observed_value(obs, "inserted") or 0)
     if scoped:
-        replace_partitions(spark, table, new_path, part)
+        folders = replace_partitions(spark, table, new_path, part)
+        if touched is not None:
+            touched += folders
+    elif versioned:
+        publish_version(spark, table, new_path)
     else:
         swap_in(spark, table, new_path)
     return inserted
@@ -422,7 +539,8 @@ def touched_files(base: DataFrame, incr: DataFrame, keys: list[str]) -> list[str
 
 def merge_files(spark: SparkSession, table: str, new_path: str, incr: DataFrame, keys: list[str],
                 order: str | None, fmt: str = "PARQUET", part: str | None = None,
-                schema: T.StructType | None = None, compress: bool = True) -> int:
+                schema: T.StructType | None = None, compress: bool = True,
+                touched: list[str] | None = None) -> int:
     """Patch-merges ``incr`` into the table at ``table`` by copy on write; the
     number of inserts.
 
@@ -442,7 +560,9 @@ def merge_files(spark: SparkSession, table: str, new_path: str, incr: DataFrame,
         .observe(obs, F.count_if("_new").alias("inserted")).drop("_new")
     write_dataset(merged, new_path, fmt, "overwrite", [part] if part else None, compress)
     root = file_of_uri(spark, table).rstrip("/")
-    replace_files(spark, table, new_path, [_below(p, root) for p in paths])
+    folders = replace_files(spark, table, new_path, [_below(p, root) for p in paths])
+    if touched is not None:
+        touched += folders
     return int(observed_value(obs, "inserted") or 0)
 
 
@@ -474,7 +594,10 @@ def dedup_swap(spark: SparkSession, spec: LoadSpec, layout: Layout,
     out, obs = observed(latest, f"dedup-{spec.table}")
     write_dataset(out, new_path, spec.stg_format, "overwrite", [period.column] if period.column else None,
                   spec.compress)
-    swap_in(spark, stg, new_path)
+    if spec.versioned:
+        publish_version(spark, stg, new_path)
+    else:
+        swap_in(spark, stg, new_path)
     n = observed_value(obs)
     return int(n) if n is not None else read_staging(spark, stg, spec.stg_format).count()
 

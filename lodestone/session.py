@@ -135,6 +135,21 @@ def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True
     rename_path(spark, beside, path)
 
 
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of metadata replaced in one step: readers find the old text
+    or the new one, never none."""
+    jvm = spark._jvm
+    beside = f"{path}.{uuid.uuid4().hex[:8]}.tmp"
+    write_text(spark, beside, text)
+    _, src = _fs(spark, beside)
+    _, dst = _fs(spark, path)
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(src.toUri(), spark._jsc.hadoopConfiguration()) \
+        if src.toUri().getScheme() else jvm.org.apache.hadoop.fs.FileContext.getFileContext(spark._jsc.hadoopConfiguration())
+    context.rename(src, dst, over)
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
@@ -164,4 +179,4 @@ def local_path(path: str) -> str:
 
 __all__ = ["get_session", "ensure_checkpoint_dir", "work_dir", "path_exists",
            "rename_path", "delete_path", "data_files", "make_dirs", "list_dirs", "local_path", "file_of_uri",
-           "write_text", "read_text"]
+           "write_text", "replace_text", "read_text"]

@@ -91,7 +91,7 @@ def malformed_lines(lines: DataFrame, width: int) -> DataFrame:
 
 
 def read_raw_text(spark: SparkSession, path: str, names: list[str],
-                  partition_cols: list[str] | None = None) -> DataFrame:
+                  partition_cols: list[str] | None = None, fields_col: str | None = None) -> DataFrame:
     """Scan raw text files under ``path`` into all-string columns.
 
     Partition directories (``batch_id=…``, ``month=…``) below ``path`` are
@@ -105,10 +105,6 @@ def read_raw_text(spark: SparkSession, path: str, names: list[str],
             [T.StructField(p, T.StringType()) for p in partition_cols]))
     lines = reader.text(path)
     extra = [c for c in lines.columns if c != "value"]
-    out = parse_lines(lines, names, keep=extra)
+    out = parse_lines(lines, names, keep=extra, fields_col=fields_col)
     return out.select(*[F.col(c).cast("string") if c in extra else F.col(c)
                         for c in out.columns])
-
-
-def raw_string_schema(names: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])

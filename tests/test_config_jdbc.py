@@ -239,3 +239,35 @@ def test_registered_table_loads_end_to_end(spark, derby, tmp_root):
     assert query_of(row, "SELECT 1") == "SELECT 1" and query_of(row) == "SELECT 2"
     row["query"] = None
     assert query_of(row, None, f"{tmp_root}/q", spark).strip() == "SELECT 3" and query_of(row) is None
+
+
+def test_registered_period_table_loads_twice(spark, tmp_root):
+    """A table registered with a derived period: a first load, then an increment whose window ends where it began."""
+    from lodestone.plans.config import load_from_config, register_source, register_tables
+    from lodestone.plans.pipeline import Layout, read_staging
+    from lodestone.sources.header import HeaderDrift  # noqa: F401
+    conn, ntz = J.derby_connection("p" + uuid.uuid4().hex[:8]), {"preferTimestampNTZ": "true"}
+
+    def put(rows, mode):
+        J.write_table(spark.createDataFrame(rows, "k long, d string, ts string, v double").selectExpr(
+            "k", "CAST(d AS timestamp_ntz) AS d", "CAST(ts AS timestamp_ntz) AS ts", "v"), conn, "sales", mode)
+    put([(i, f"2014-0{1 + i % 4}-05 00:00:00", "2020-01-01 00:00:00", 1.0) for i in range(40)], "overwrite")
+    sources = register_source(spark, f"{tmp_root}/sources", service_nm="Shop", source_db_typ="DERBY", db_name=conn.db)
+    extracts = register_tables(spark, f"{tmp_root}/extracts", J.catalog_tables(spark, conn, "APP"), "shop", "app",
+                               refresh_typ="INCR", incr_pk_col="k", incr_col_nm="ts", is_partition="Y",
+                               partition_col_nm="month", period_source="d", first_load="full", merge_strategy="files",
+                               parallel_extract="Y", extract_parallelism=3, parallel_splitby='"k"', split_method="quantile")
+    layout = Layout(f"{tmp_root}/loads")
+
+    def load(batch, **more):
+        return load_from_config(spark, sources, extracts, "shop", "APP", "sales", layout, batch, options=ntz, **more)
+    r = load("1")
+    assert (r.status, r.target_rows) == ("S", 40)
+    put([(3, "2014-04-05 00:00:00", "2020-01-02 00:00:00", 2.0), (99, "2015-01-01 00:00:00", "2020-01-02 00:00:00", 3.0)], "append")
+    r = load("2")
+    assert (r.status, r.source_rows, r.inserted_rows, r.target_rows) == ("S", 2, 1, 41)
+    got = {x.k: (x.v, str(x.month)) for x in read_staging(spark, r.staging_path).collect()}
+    assert got[3] == (2.0, "201404") and got[99] == (3.0, "201501") and len(got) == 41
+    # the source changes a type: the load stops
+    J.write_table(spark.createDataFrame([(1, "x")], "k long, ts string"), conn, "sales")
+    assert "HeaderDrift" in load("3", raise_errors=False).error

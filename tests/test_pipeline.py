@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -319,6 +321,138 @@ def test_a_merge_of_files_that_dies_is_ended_by_the_next_load(spark, tmp_root, a
                          + [(70, "n", "201401")])
 
 
+def test_the_mark_is_carried_and_verified(spark, tmp_root, monkeypatch):
+    """The next load knows the high-water mark without reading the column, unless the files are others."""
+    from lodestone.plans import pipeline as P
+    layout, spec = Layout(tmp_root), LoadSpec("t", refresh="APPEND", incr_col="ts")
+    run_load(spark, _rows(spark, [(1, "a", T0, ""), (2, "a", T1, "")]), KV, spec, layout, "1")
+    reads = []
+    real = P.read_staging
+    monkeypatch.setattr(P, "read_staging", lambda *a: reads.append(a) or real(*a))
+    load = P._Load(spark, KV, spec, layout, "2", P.LoadResult("F", None, None, ""))
+    load.plan()
+    assert load.high_water()[1] == T1 and not reads
+    r = run_load(spark, _rows(spark, [(2, "a", T1, ""), (3, "b", "2020-01-01 03:00:00", "")]), KV, spec, layout, "2")
+    assert (r.status, r.source_rows, r.incr_col_val) == ("S", 1, T1)
+    # files that no load wrote: the column is read
+    real(spark, layout.stg(spec)).limit(1).selectExpr("k", "v", "TIMESTAMP_NTZ'2021-01-01 00:00:00' AS ts") \
+        .write.mode("append").parquet(layout.stg(spec))
+    reads.clear()
+    assert load.high_water()[1] == "2021-01-01 00:00:00" and reads
+
+
+def test_footers_tell_the_mark(spark, tmp_root):
+    from lodestone.operators.aggregates import footer_max
+    spark.range(10_000).selectExpr("id", "DATE'2020-01-01' + CAST(id % 50 AS int) AS d", "'x' AS s") \
+        .repartition(4).write.parquet(f"{tmp_root}/f")
+    schema = spark.read.parquet(f"{tmp_root}/f").schema
+    for col, top in (("id", 9999), ("d", dt.date(2020, 2, 19))):
+        found = footer_max(spark, f"{tmp_root}/f", schema, col)
+        assert "PushedAggregation: [MAX(" in found._jdf.queryExecution().executedPlan().toString()
+        assert found.first()[0] == top
+    with pytest.raises(TypeError):
+        footer_max(spark, f"{tmp_root}/f", schema, "s")
+
+
+def test_a_frozen_header_stops_drift(spark, tmp_root):
+    from lodestone.sources.header import accept_header, freeze_header
+    layout, spec = Layout(tmp_root), LoadSpec("t", freeze_header=True)
+    rows = _rows(spark, [(1, "a", T0, "")])
+    assert run_load(spark, rows, KV, spec, layout, "1").status == "S"
+    # a new column is noted and left out, in any order of columns
+    more = [HeaderColumn("extra", "NUMBER"), *KV]
+    r = run_load(spark, rows.withColumn("extra", F.lit(1)), more, spec, layout, "2")
+    assert r.status == "S" and read_staging(spark, layout.stg(spec)).columns == [c.name for c in KV]
+    other = [HeaderColumn(c.name, "VARCHAR2" if c.name == "k" else c.sql_type, c.comment, c.length, c.scale) for c in KV]
+    for bad in (other, KV[1:]):
+        r = run_load(spark, rows, bad, spec, layout, "3", raise_errors=False)
+        assert (r.status, r.fail_step) == ("F", 1) and "HeaderDrift" in r.error
+    said = {(a.status, a.notes) for a in read_audit(spark, layout.audit()).collect()}
+    assert said == {("S", None), ("S", "the source has new columns: extra"), ("F", None)}
+    assert accept_header(spark, layout.header(spec), other) == 2
+    assert run_load(spark, rows, other, spec, layout, "4").status == "S"
+    odd = [HeaderColumn("a b", "NUMBER", 'said "x", y; z', "9", "2")]
+    assert freeze_header(spark, f"{tmp_root}/h", odd) == (odd, []) == freeze_header(spark, f"{tmp_root}/h", odd)
+
+
+def test_a_versioned_table_never_is_away(spark, tmp_root):
+    """A reader that polls during the swaps always finds one whole version."""
+    import threading
+
+    from lodestone.operators.sinks import current_version, publish_version, versions
+    table, seen, stop, wrong = f"{tmp_root}/v/t", set(), threading.Event(), []
+
+    def put(n):
+        spark.range(100).selectExpr("id", f"{n} AS n").write.parquet(f"{tmp_root}/v/new{n}")
+        publish_version(spark, table, f"{tmp_root}/v/new{n}")
+
+    def poll():
+        while not stop.is_set():
+            try:
+                rows = read_staging(spark, table).groupBy("n").count().collect()
+                seen.add(rows[0][0])
+                if len(rows) != 1 or rows[0][1] != 100:
+                    wrong.append(rows)
+            except Exception as e:
+                wrong.append(e)
+    put(0)
+    reader = threading.Thread(target=poll)
+    reader.start()
+    pinned = current_version(spark, table)
+    for n in range(1, 6):
+        put(n)
+        if n == 1:
+            assert spark.read.parquet(pinned).select("n").first()[0] == 0
+    stop.set()
+    reader.join()
+    assert not wrong and max(seen) >= 1 and versions(spark, table) == [5, 6]
+
+
+@pytest.mark.parametrize("at", ["rename_path", "replace_text", "delete_path"])
+def test_a_version_that_is_not_published_changes_nothing(spark, tmp_root, at, monkeypatch):
+    from lodestone.operators import sinks as S
+    layout = Layout(tmp_root)
+    spec = LoadSpec("t", versioned=True)
+    for batch in "12":
+        assert run_load(spark, _rows(spark, [(int(batch), "a", T0, "")]), KV, spec, layout, batch).status == "S"
+    real = getattr(S, at)
+    monkeypatch.setattr(S, at, lambda sp, *p: (_ for _ in ()).throw(OSError("died")) if "/stg/" in p[0] else real(sp, *p))
+    run_load(spark, _rows(spark, [(3, "a", T0, "")]), KV, spec, layout, "3", raise_errors=False)
+    monkeypatch.undo()
+    assert read_staging(spark, layout.stg(spec)).select("k").collect()[0][0] == (3 if at == "delete_path" else 2)
+    assert run_load(spark, _rows(spark, [(4, "a", T0, "")]), KV, spec, layout, "4").status == "S"
+    assert [r.k for r in read_staging(spark, layout.stg(spec)).collect()] == [4]
+    incr = LoadSpec("t", refresh="INCR", keys=("k",), incr_col="ts", versioned=True)
+    r = run_load(spark, _rows(spark, [(4, "b", T1, ""), (5, "n", T1, "")]), KV, incr, layout, "5")
+    assert (r.status, r.target_rows) == ("S", 2)
+    with pytest.raises(LoadError, match="versioned"):
+        run_load(spark, _rows(spark, []), KV, LoadSpec("t", refresh="APPEND", incr_col="ts", versioned=True), layout, "6")
+
+
+def test_catalog_gets_what_the_load_touched_and_a_view(spark, tmp_root, monkeypatch):
+    layout, db = Layout(tmp_root), f"cat{tmp_root.rsplit('/', 1)[-1].replace('-', '')[-8:]}"
+    full = LoadSpec("t", db, partition="month", register_catalog=True, statistics=True)
+    run_load(spark, _rows(spark, [(i, "a", T0, f"20140{i % 9 + 1}") for i in range(27)]), KV, full, layout, "1")
+    spec = LoadSpec("t", db, "INCR", keys=("k",), incr_col="ts", partition="month", merge_strategy="files",
+                    register_catalog=True, statistics=True, latest_view=True)
+    said, plain = [], type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, q, *a, **b: said.append(q) or plain(self, q, *a, **b))
+    r = run_load(spark, _rows(spark, [(1, "x", T1, "201402"), (70, "n", T1, "201512")]), KV, spec, layout, "2")
+    monkeypatch.undo()
+    assert r.status == "S"
+    assert not any("RECOVER" in q and f"{db}.t " in q for q in said)
+    assert sorted(q.split("(")[1].split(")")[0] for q in said if q.startswith("ANALYZE")) \
+        == ["`month`='201402'", "`month`='201512'"]
+    assert spark.table(f"{db}.t").count() == 28 and spark.sql(f"SHOW PARTITIONS {db}.t").count() == 10
+    from lodestone.operators.merge import latest_version
+    want = latest_version(spark.table(f"{db}.t"), spark.table(f"{db}.t_incr"), ["k"], "ts")
+    view = spark.table(f"{db}.t_view")
+    assert sorted(map(str, view.collect())) == sorted(map(str, want.collect())) and view.count() == 30
+    plan = spark.sql(f"SELECT * FROM {db}.t_view WHERE k = 1")._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 4 and all("EqualTo(k,1" in line for line in scans)
+
+
 def test_stream_keeps_order_and_partitions(spark, tmp_root):
     from lodestone.operators.sinks import land_raw
     from lodestone.session import list_dirs
