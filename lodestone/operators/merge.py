@@ -86,6 +86,7 @@ def merge_patch(base: DataFrame, incr: DataFrame, keys, strategy: str = "auto",
     if strategy not in ("auto", "shuffle"):
         raise ValueError(f"unknown merge strategy {strategy!r}")
     incr = incr.select(*cols)
+    asked = incr.filter(~any_null(keys)).select(*keys)
     if dedupe_by:
         incr = fold_increment(incr, keys, dedupe_by)
     elif not keep_duplicates and repeated_keys(incr, keys):
@@ -104,7 +105,7 @@ def merge_patch(base: DataFrame, incr: DataFrame, keys, strategy: str = "auto",
         .select(*[F.coalesce(F.col(f"r.{c}"), F.col(f"l.{c}")).alias(c) for c in cols])
     met = base.filter(matching).select(*keys)
     if strategy == "auto":
-        met = joined(met, incr.filter(matching).select(*keys), "left_semi").distinct()
+        met = joined(met, asked, "left_semi").distinct()
     new = joined(incr.filter(matching), met, "left_anti").select(*cols)
     aside = flagged(base.filter(any_null(keys)), False).unionByName(flagged(incr.filter(any_null(keys)), True))
     return flagged(stays, False).unionByName(flagged(new, True)).unionByName(aside)
