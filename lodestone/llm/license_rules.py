@@ -1,8 +1,8 @@
 """Licence scans by sentence and rule.
 
 Texts are cut into sentences, which are normalised (lower case, every run of
-other characters than letters and digits one blank) and mapped to identifiers
-of known licence sentences. A licence rule is an ordered list of identifiers;
+other characters than letters and digits one blank, a mark such as ``(a)`` or
+``1)`` at the beginning left out) and mapped to identifiers of known licence sentences. A licence rule is an ordered list of identifiers;
 it matches where a document's known sentences hold that list in order, with at
 most ``gap`` unknown sentences (clause numbers, say) between one and the next. A
 match inside a longer one is dropped. Two readings of a text are scanned: ``lines``, in which each line
@@ -19,6 +19,8 @@ table gives an empty result; other columns pass through under any name.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -115,6 +117,8 @@ RULES = [
 
 BLANK = r"[ \t\r\f]"
 OTHER = r"[^\p{L}\p{N}]+"
+#: A clause mark that a sentence begins with.
+CLAUSE = r"^[ \t\r\f]*\(?([A-Za-z]|[0-9]{1,3}|[ivx]{1,4})\)[ \t\r\f]+"
 
 
 def normalise(sentence: str) -> str:
@@ -124,7 +128,7 @@ def normalise(sentence: str) -> str:
 
 
 def _norm(s: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(s), OTHER, " "))
+    return F.trim(F.regexp_replace(F.lower(F.regexp_replace(s, CLAUSE, "")), OTHER, " "))
 
 
 def readings(text: Column) -> tuple[Column, Column]:
@@ -135,28 +139,45 @@ def readings(text: Column) -> tuple[Column, Column]:
     return tuple(F.filter(F.transform(a, _norm), lambda s: s != "") for a in (lines, flow))
 
 
-def _matches(sentences: Column, known: Column, rules: Column, gap: int) -> Column:
-    """Array of (first, last, license), in order of place."""
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named inside."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _matches(sentences: Column, known: Column, rules: Column, longest: int, gap: int) -> Column:
+    """Array of (first, last, license), in order of place.
+
+    A match takes neighbouring known sentences, ``longest`` at most, so whether
+    it stands inside a longer one is told by the rules that match at its own
+    place and at the few places before: the work grows with the text alone."""
     numbered = F.transform(sentences, lambda s, i: F.struct(F.element_at(known, s).alias("id"), i.alias("at")))
     ids = F.filter(numbered, lambda k: k["id"].isNotNull())
 
-    def at_place(k, found):
+    def at_place(found, k):
         def held(r):
-            n = F.size(r["ids"])
-            part = F.slice(found, k + 1, n)
+            part = F.slice(found, k + 1, F.size(r["ids"]))
             near = F.transform(part, lambda p, i: F.coalesce(p["at"] - F.get(part, i - 1)["at"] <= gap + 1, F.lit(True)))
-            return (F.transform(part, lambda p: p["id"]) == r["ids"]) & F.forall(near, lambda x: x)
-        return F.transform(F.filter(rules, held), lambda r: F.struct(
-            F.get(found, k)["at"].alias("first"),
-            F.get(found, k + F.size(r["ids"]) - 1)["at"].alias("last"), r["license"].alias("license")))
+            return (F.get(r["ids"], 0) == F.get(found, k)["id"]) \
+                & (F.transform(part, lambda p: p["id"]) == r["ids"]) & F.forall(near, lambda x: x)
+        return F.transform(F.filter(rules, held), lambda r: F.struct(F.size(r["ids"]).alias("n"), r["license"].alias("license")))
 
     def search(found):
-        every = F.flatten(F.transform(F.sequence(F.lit(0), F.size(found) - 1), lambda k: at_place(k, found)))
-        return F.array_distinct(F.filter(every, lambda a: ~F.exists(every, lambda b: (
-            (b["first"] <= a["first"]) & (b["last"] >= a["last"]) & (b["last"] - b["first"] > a["last"] - a["first"])))))
+        places = F.sequence(F.lit(0), F.size(found) - 1)
+        return _once(F.transform(places, lambda k: at_place(found, k)), lambda every: _once(
+            F.transform(every, lambda m: F.coalesce(F.array_max(F.transform(m, lambda r: r["n"])), F.lit(0))),
+            lambda reach: F.flatten(F.transform(every, lambda m, k: outer(found, m, reach, k)))))
+
+    def outer(found, m, reach, k):
+        n = F.get(reach, k)
+        inside = F.lit(False)
+        for j in range(1, longest):  # a match that begins j known sentences earlier
+            inside = inside | F.coalesce(F.get(reach, k - j) - j >= n, F.lit(False))
+        whole = F.filter(m, lambda r: (r["n"] == n) & ~inside)
+        return F.array_distinct(F.transform(whole, lambda r: F.struct(
+            F.get(found, k)["at"].alias("first"), F.get(found, k + n - 1)["at"].alias("last"), r["license"].alias("license"))))
 
     none = F.array().cast("array<struct<first:int,last:int,license:string>>")
-    return F.when(F.size(ids) > 0, search(ids)).otherwise(none)
+    return _once(ids, lambda found: F.when(F.size(found) > 0, search(found)).otherwise(none))
 
 
 def annotate(docs: DataFrame, text_col: str = "text", gap: int = 2,
@@ -170,12 +191,13 @@ def annotate(docs: DataFrame, text_col: str = "text", gap: int = 2,
     known = F.create_map(*[F.lit(v) for name, s in sentences.items() for v in (normalise(s), number[name])])
     table = F.array(*[F.struct(F.lit(lic).alias("license"), F.array(*[F.lit(number[s]) for s in ids]).alias("ids"))
                       for lic, ids in rules])
+    longest = max(len(ids) for _, ids in rules)
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     lines, flow = readings(F.coalesce(F.col("row")[text_col], F.lit("")))
     return (whole.select("row", lines.alias("lines"), flow.alias("flow"))
             .select("row", F.size("lines").cast("long").alias("n_sentences"),
-                    _matches(F.col("lines"), known, table, gap).alias("line_matches"),
-                    _matches(F.col("flow"), known, table, gap).alias("flow_matches"))
+                    _matches(F.col("lines"), known, table, longest, gap).alias("line_matches"),
+                    _matches(F.col("flow"), known, table, longest, gap).alias("flow_matches"))
             .select("row", "n_sentences", F.array_sort(F.array_union(
                 F.transform("line_matches", lambda m: m["license"]),
                 F.transform("flow_matches", lambda m: m["license"]))).alias("licenses"),

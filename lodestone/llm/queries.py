@@ -112,7 +112,7 @@ def _op6_sql(gap: int = 2) -> str:
     number = {name: i + 1 for i, name in enumerate(license_rules.SENTENCES)}
     known = ", ".join(f"('{license_rules.normalise(t)}', {number[n]})" for n, t in license_rules.SENTENCES.items())
     rules = ", ".join(f"('{lic}', {[number[n] for n in names]})" for lic, names in license_rules.RULES)
-    norm = r"trim(regexp_replace(lower(x), '[^\p{L}\p{N}]+', ' ', 'g'))"
+    norm = rf"trim(regexp_replace(lower(regexp_replace(x, '{license_rules.CLAUSE}', '')), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
     return rf"""
 WITH known(sentence, id) AS (VALUES {known}), rules(license, want) AS (VALUES {rules}),
 d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '([.!?;:])[ \t\r\f\n]+', '\1' || chr(10) || chr(10), 'g') AS t
@@ -125,7 +125,8 @@ a AS (SELECT doc_id, kind, list(id ORDER BY pos) AS ids, list(pos ORDER BY pos)
       FROM u JOIN known USING (sentence) GROUP BY doc_id, kind),
 p AS (SELECT *, unnest(range(1, len(ids) + 1)) AS n FROM a),
 m AS (SELECT doc_id, kind, license, ats[n] AS low, ats[n + len(want) - 1] AS high FROM p, rules
-      WHERE ids[n:n + len(want) - 1] = want AND ats[n + len(want) - 1] - ats[n] < len(want) + {gap}),
+      WHERE ids[n:n + len(want) - 1] = want
+      AND len(list_filter(range(1, len(want)), lambda i: ats[n + i] - ats[n + i - 1] > {gap} + 1)) = 0),
 k AS (SELECT DISTINCT * FROM m WHERE NOT EXISTS (SELECT 1 FROM m b WHERE b.doc_id = m.doc_id AND b.kind = m.kind
       AND b.low <= m.low AND b.high >= m.high AND b.high - b.low > m.high - m.low)),
 g AS (SELECT doc_id, list_sort(list(DISTINCT license)) AS licenses,

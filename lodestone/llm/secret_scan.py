@@ -89,10 +89,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def random_spans(text: str, base: list, encoder, max_ratio: float) -> list[tuple[int, int, int]]:
     """Runs outside the ``base`` spans with ``max_ratio`` characters a token or fewer."""
-    found = []
+    found, at, reach = [], 0, 0
     for m in RUN.finditer(text):
         start, end, run = m.start(), m.end(), m[0]
-        if any(s < end and start < e for s, _, e in base) or known(run, encoder, max_ratio):
+        while at < len(base) and base[at][0] < end:  # both in order of start
+            reach = max(reach, base[at][2])
+            at += 1
+        if reach > start or known(run, encoder, max_ratio):
             continue
         if len(run) <= max_ratio * len(encoder.encode_ordinary(run)):
             found.append((start, 3, end))
