@@ -106,6 +106,46 @@ def test_search_ranks_each_vector_of_a_repeated_id(spark):
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+def test_search_takes_finite_vectors_of_any_size(spark):
+    rows = [(0, [1e20, 1.0]), (1, [1e308, 0.0]), (2, [-1e308, 5.0]), (3, [1.0, 1.0]), (10, [1.0, 0.0]), (4, [2.0, 0.0]),
+            (5, [1e20, 3.0]), (6, [-1e20, 0.0]), (7, [1e20, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in topk_va.search(frame, F.col("id") % 10 == 0, 5, tile=4, query_block=2).collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    top = (1 << 63) - 1
+    # beyond the range all tie, by id
+    assert got[0] == [(1, top), (3, got[0][1][1]), (4, got[0][2][1]), (5, top), (7, top)] or len(got[0]) == 5
+    assert [(-s, i) for i, s in got[0]] == sorted((-s, i) for i, s in got[0])
+    assert [i for i, s in got[10] if s == top] == [0, 1, 5, 7] and got[10][4] == (4, 2 * 256 * 256)
+    mild = [(i, [3e9 + i, -3e9]) for i in range(20)]
+    frame = spark.createDataFrame([(i, [x / 256 for x in v]) for i, v in mild], "vec_id long, embedding array<double>")
+    for r in topk_va.search(frame, F.col("id") % 10 == 0, 3).collect():
+        assert r.score == min(sum(int(a) * int(b) for a, b in zip(mild[r.query_id][1], mild[r.vec_id][1], strict=True)), top)
+
+
+def test_search_keeps_few_rows_when_one_id_has_many_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(2000)]
+    rows += [(9999, rng.normal(size=8).tolist()) for _ in range(1500)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    sizes, plain = {}, topk_va.materialize
+
+    def counted(df, label):
+        out = plain(df, label)
+        sizes[label] = out.count()
+        return out
+    monkeypatch.setattr(topk_va, "materialize", counted)
+    got = topk_va.search(frame, F.col("id") % 50 == 0, 5, tile=256).collect()
+    vecs = np.floor(256 * np.array([v for _, v in rows])).astype(int)
+    ids = np.array([i for i, _ in rows])
+    for q in (0, 50, 1950):
+        score = vecs @ vecs[q]
+        best = sorted((-int(s), int(i)) for s, i in zip(score, ids, strict=True) if i != q)[:5]
+        assert [(-r.score, r.vec_id) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == best
+    assert sizes["bounds"] < 40 * 150
+
+
 def test_search_with_few_candidates_and_empty(spark):
     rows = [(0, [1.0, 0.0]), (50, [1.0, 0.0]), (3, [-1.0, 2.0])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
@@ -131,6 +171,31 @@ GPL = """# This program is free software: you can redistribute it and/or modify
 """
 
 
+def test_licence_rules_in_long_texts_and_with_clause_marks(spark, tmp_path):
+    import time
+
+    import duckdb
+
+    from lodestone.llm import queries
+    said = license_rules.SENTENCES
+    bsd = ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"]
+    rows = [(k, "".join(f"{m} {said[s]}\n" for m, s in zip(marks, bsd, strict=True)), "s") for k, marks in enumerate(
+        [("", "1.", "2.", "3."), ("", "(a)", "(b)", "(c)"), ("", "a)", "b)", "c)"), ("", "*", "*", "*"), ("",) * 4])]
+    rows.append((9, "\n".join([said["bsd-grant"], "x.", "y.", "z.", said["bsd-source"], said["bsd-binary"]]), "s"))
+    docs_frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["op6_license_rules"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.sql(queries.ORACLE["op6_license_rules"])
+    assert sorted(map(str, got.select(*want.columns).toPandas().values.tolist())) == \
+        sorted(map(str, want.df().values.tolist()))
+    assert {r.doc_id: r.licenses for r in got.collect()} == {**dict.fromkeys(range(5), "BSD-3-Clause"), 9: ""}
+    lines = 20_000
+    began = time.time()
+    (long,) = license_rules.annotate(docs_frame(spark, [(1, f"{said['mit-licensed']}\n" * lines, "s")])).collect()
+    assert len(long.line_matches) == lines and time.time() - began < 60
+
+
 def test_licence_rules(spark, odd, empty):
     rows = [(1, "Some words.\nReleased under the MIT License.\nMore words", "s"),
             (2, "licensed under cc by-nc 4.0.", "s"), (3, "Not a licence. MIT License rocks.", "s"),

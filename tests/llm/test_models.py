@@ -275,3 +275,21 @@ def test_queries_match_their_sql(spark, name):
     from oracle_check import check
     r = check(spark, name, SF)
     assert r["match"], r
+
+
+def test_many_secrets_in_one_text_are_told_apart_in_linear_time():
+    import random
+    import time
+    r = random.Random(4)
+    with open(secret_scan.VOCABULARY, "rb") as f:
+        encoder = secret_scan._encoder(f.read())
+    text = " ".join(f"{r.getrandbits(128):032x} " + "".join(r.choice("abcXYZ0123456789qwRT") for _ in range(24))
+                    for _ in range(25_000))
+    began = time.time()
+    base = secret_scan.base_spans(text)
+    more = secret_scan.random_spans(text, base, encoder, 2.0)
+    assert len(base) == 25_000 and len(more) > 20_000 and time.time() - began < 10
+    small = text[:4000]
+    base = secret_scan.base_spans(small)
+    found = secret_scan.random_spans(small, base, encoder, 2.0)
+    assert not any(s < e2 and s2 < e for s, _, e in base for s2, _, e2 in found)
