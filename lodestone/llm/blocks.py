@@ -59,20 +59,27 @@ def unpack_names(data: bytes) -> np.ndarray:
     return np.cumsum(from_planes(data, np.uint64), dtype=np.uint64)
 
 
-def cuts(names: np.ndarray, buckets: int) -> np.ndarray:
-    """Where sorted names are cut into ``buckets`` equal ranges of values."""
-    edge = np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
-    return np.concatenate([[0], np.searchsorted(names, edge), [len(names)]])
+def bucket_of(names: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each name: ``names * buckets >> 64``, equal ranges of values."""
+    n, low = np.uint64(buckets), np.uint64(32)
+    return ((names >> low) * n + ((names & np.uint64(0xFFFFFFFF)) * n >> low)) >> low
+
+
+def partitions(spark, pieces: int) -> int:
+    """How many partitions ``pieces`` blocks or buckets are dealt to: more than
+    they are, so that few meet in one task, whatever the session's setting."""
+    return min(20_000, max(2 * pieces, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def requests(kind: int, block: int, names: np.ndarray, counts: np.ndarray, buckets: int) -> Iterator[tuple]:
     """Rows of REQUEST for sorted distinct ``names``; ``counts`` is (names x
-    columns) of 32-bit numbers."""
-    at = cuts(names, buckets)
-    for b in range(buckets):
-        if at[b] < at[b + 1]:
-            part = slice(at[b], at[b + 1])
-            yield kind, b, block, pack_names(names[part]), planes(counts[part].ravel())
+    columns) of 32-bit numbers. Only buckets that get names are looped over."""
+    of = bucket_of(names, buckets)
+    at = np.flatnonzero(np.diff(of)) + 1
+    for low, high in zip([0, *at], [*at, len(names)], strict=True):
+        if low < high:
+            part = slice(low, high)
+            yield kind, int(of[low]), block, pack_names(names[part]), planes(counts[part].ravel())
 
 
 def answers(rows: list[tuple], columns: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:

@@ -193,7 +193,7 @@ def _asked(encoded: DataFrame, word_buckets: int, pair_buckets: int) -> DataFram
     return encoded.select("block", "folds", "sizes", "vocabulary", "words").mapInArrow(run, B.REQUEST)
 
 
-def _totals(asked: DataFrame) -> DataFrame:
+def _totals(asked: DataFrame, parts: int) -> DataFrame:
     """ANSWER rows, and for each bucket of words a row of block -1 with the
     sums over words (START is none) and the numbers of distinct words: of the
     counted documents, and of all training documents."""
@@ -210,10 +210,10 @@ def _totals(asked: DataFrame) -> DataFrame:
             out.append((kind, rows["bucket"][0].as_py(), -1, sums.tobytes()))
         return B.table(out, B.ANSWER_ARROW)
 
-    return asked.groupBy("kind", "bucket").applyInArrow(add, B.ANSWER)
+    return asked.repartition(parts, "kind", "bucket").groupBy("kind", "bucket").applyInArrow(add, B.ANSWER)
 
 
-def _histogram(deleted: DataFrame, told: DataFrame, n: float, v: float) -> DataFrame:
+def _histogram(deleted: DataFrame, told: DataFrame, n: float, v: float, parts: int) -> DataFrame:
     """(bucket, r2, r1, n): deleted tokens by context bucket and rounded log2
     ratios of the pair's and the word's estimate to the uniform one."""
     def run(table: pa.Table, rows: pa.Table) -> pa.Table:
@@ -229,7 +229,7 @@ def _histogram(deleted: DataFrame, told: DataFrame, n: float, v: float) -> DataF
         schema = pa.schema([("bucket", pa.int64()), ("r2", pa.int64()), ("r1", pa.int64()), ("n", pa.int64())])
         return B.table(found, schema)
 
-    return (deleted.groupBy("block").cogroup(told.groupBy("block"))
+    return (deleted.repartition(parts, "block").groupBy("block").cogroup(told.repartition(parts, "block").groupBy("block"))
             .applyInArrow(run, "bucket long, r2 long, r1 long, n long")
             .groupBy("bucket", "r2", "r1").agg(F.sum("n").alias("n")))
 
@@ -280,15 +280,17 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
                        F.col(text_col).cast("string").alias("text"))
     id_type = rows.schema["doc_id"].dataType
     encoded = materialize(encode(rows, block_bytes), "lm-blocks")
-    size = encoded.agg(F.sum("n_tokens")).first()[0] or 0
+    size, n_blocks = encoded.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.count_distinct("block")).first()
     pair_buckets = int(size // bucket_names) + 1
-    told = materialize(_totals(_asked(encoded, max(1, pair_buckets // 4), pair_buckets)), "lm-counts")
+    parts = B.partitions(docs.sparkSession, n_blocks)
+    told = materialize(_totals(_asked(encoded, max(1, pair_buckets // 4), pair_buckets),
+                               B.partitions(docs.sparkSession, pair_buckets)), "lm-counts")
     sums = [np.frombuffer(r.totals, np.uint64) for r in
             told.filter((F.col("block") == -1) & (F.col("kind") == WORDS)).select("totals").toLocalIterator()]
     n_less, n, v_less, v = (int(x) for x in np.sum(sums, axis=0)) if sums else (0, 0, 0, 0)
     told = told.filter(F.col("block") >= 0)
     deleted = encoded.filter(F.col("part") == 1).select("block", "folds", "sizes", "vocabulary", "words")
-    cells = _histogram(deleted, told, max(1, n_less), v_less).collect()  # bounded by its rounding
+    cells = _histogram(deleted, told, max(1, n_less), v_less, parts).collect()  # bounded by its rounding
     key = np.array([(r.bucket, r.r2, r.r1) for r in cells], np.int64).reshape(-1, 3)
     order = np.lexsort(key.T)
     weights = learn_weights(key[order], np.array([r.n for r in cells], np.int64)[order])
@@ -312,6 +314,6 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
                                  "score": mine}))
         return pa.concat_tables(out)
 
-    return (encoded.groupBy("block").cogroup(told.groupBy("block"))
+    return (encoded.repartition(parts, "block").groupBy("block").cogroup(told.repartition(parts, "block").groupBy("block"))
             .applyInArrow(run, f"doc_id {id_type.simpleString()}, held_out boolean, n_tokens long, n_known long, "
                                "train_tokens long, base_score double, score double"))

@@ -266,11 +266,13 @@ def remove_repeats(docs: DataFrame, least: int = 200, id_col: str = "doc_id", te
             return B.table(out, B.REQUEST_ARROW)
         return rows
 
-    by_block = dealt.groupBy("block")
+    spark = docs.sparkSession
+    by_block_parts, bucket_parts = B.partitions(spark, n_blocks), B.partitions(spark, max(n_blocks, many))
+    by_block = dealt.repartition(by_block_parts, "block").groupBy("block")
     first = ask(0)
-    told = _count(by_block.applyInArrow(lambda t: first(t, []), B.REQUEST))
+    told = _count(by_block.applyInArrow(lambda t: first(t, []), B.REQUEST), bucket_parts)
     for step in range(1, len(rounds) + 2):
-        told = _count(_meet(by_block, told, ask(step), B.REQUEST))
+        told = _count(_meet(by_block, told, ask(step), B.REQUEST, by_block_parts), bucket_parts)
 
     def finish(table: pa.Table, told_rows: list[dict]) -> pa.Table:
         texts = _texts(table)
@@ -304,11 +306,11 @@ def remove_repeats(docs: DataFrame, least: int = 200, id_col: str = "doc_id", te
 
     result = _meet(by_block, told, finish,
                    f"doc_id {id_type.simpleString()}, n_bytes long, n_removed long, n_spans long, "
-                   "kept_sha256 string, spans string, kept binary")
+                   "kept_sha256 string, spans string, kept binary", by_block_parts)
     return result if keep_bytes else result.drop("kept")
 
 
-def _count(asked: DataFrame) -> DataFrame:
+def _count(asked: DataFrame, parts: int) -> DataFrame:
     """Totals of the names, and for stretches whether the block is the one to go on."""
     def add(rows: pa.Table) -> pa.Table:
         kind = rows["kind"][0].as_py()
@@ -329,11 +331,11 @@ def _count(asked: DataFrame) -> DataFrame:
                         schema=B.ANSWER_ARROW)
 
     return asked.withColumn("part", F.when(F.col("kind") == B.STATE, F.col("block")).otherwise(F.col("bucket"))) \
-        .groupBy("kind", "part").applyInArrow(lambda t: add(t.drop_columns(["part"])), B.ANSWER)
+        .repartition(parts, "kind", "part").groupBy("kind", "part").applyInArrow(lambda t: add(t.drop_columns(["part"])), B.ANSWER)
 
 
-def _meet(by_block, told: DataFrame, each: Callable, schema: str) -> DataFrame:
+def _meet(by_block, told: DataFrame, each: Callable, schema: str, parts: int) -> DataFrame:
     """Runs ``each`` on the documents and the answers of every block."""
     def both(table: pa.Table, rows: pa.Table) -> pa.Table:
         return each(table, rows.to_pylist())
-    return by_block.cogroup(told.groupBy("block")).applyInArrow(both, schema)
+    return by_block.cogroup(told.repartition(parts, "block").groupBy("block")).applyInArrow(both, schema)
