@@ -52,6 +52,55 @@ def test_quality_on_held_out_documents(spark):
     assert held_out_result(spark, quality_rank, "quality", 0.3, cut=0.3) >= 0.95
 
 
+def brute_features(text):
+    """The measurements, and the buckets counted one word and one string at a time."""
+    raw = (text or "").encode("utf-8", "surrogatepass").lower()
+    n, mask = quality_rank.BUCKETS, (1 << 64) - 1
+    names = [sum(b * pow(quality_rank.BYTE_FACTOR, k, 1 << 64) for k, b in enumerate(w)) & mask for w in raw.split()]
+    names += [(a * quality_rank.PAIR_FACTOR + b) & mask for a, b in zip(names, names[1:])]
+    said = Counter((h * quality_rank.SPREAD & mask) * n >> 64 for h in names)
+    grams = [int.from_bytes(raw[i:i + 4], "little") for i in range(len(raw) - 3)]
+    spelt = Counter((g * quality_rank.SPREAD_32 & 0xFFFFFFFF) * n >> 32 for g in grams)
+    shares = [[math.sqrt(c[i] / max(1, sum(c.values()))) for i in range(n)] for c in (said, spelt)]
+    return np.array(quality_rank.measure(text) + shares[0] + shares[1])
+
+
+def test_quality_features_match_brute_force(monkeypatch):
+    texts = [t for _, t, _ in odd_rows()][:12] + [None, "", "a", "abc", "One two, One TWO \n three", "é" * 50 + " x"]
+    want = [brute_features(t and t[:3000]) for t in texts]
+    for stretch in (1 << 20, 7):  # long texts and words in many pieces
+        monkeypatch.setattr(quality_rank, "STRETCH", stretch)
+        got = [quality_rank.features(t and t[:3000]) for t in texts]
+        np.testing.assert_allclose(got, want, rtol=1e-12)
+
+
+def test_quality_weights_minimise_the_pairwise_loss():
+    rng = np.random.default_rng(3)
+    z = rng.normal(size=(60, 8))
+    good, bad = rng.integers(0, 30, 400), rng.integers(30, 60, 400)
+    z[:30, 0] += 1
+    got = quality_rank.pair_weights(z, good, bad, 1e-2, close=1e-9)
+    diff, w = z[good] - z[bad], np.zeros(8)
+    for _ in range(50):  # plain Newton on the differences themselves
+        p = 1 / (1 + np.exp(diff @ w))
+        slope = -(diff * p[:, None]).mean(0) + 1e-2 * w
+        w -= np.linalg.solve((diff * (p * (1 - p))[:, None]).T @ diff / len(diff) + 1e-2 * np.eye(8), slope)
+    np.testing.assert_allclose(got, w, atol=1e-6)
+
+
+def test_quality_scores_match_brute_force(spark):
+    rows = [(i, f"the {'calm' if i % 2 else 'cheap'} river number{i} runs on", i % 2) for i in range(1, 60)]
+    docs = docs_frame(spark, [(i, t, "a") for i, t, _ in rows])
+    marks = spark.createDataFrame([(i, k) for i, _, k in rows], "doc_id long, quality int")
+    model = quality_rank.train(docs, marks, cut=0.3)
+    got = {r.row.doc_id: r.score for r in quality_rank.annotate(docs, model).collect()}
+    for i, text, label in rows:
+        line = model.slope * sum((x - m) / s * w for x, m, s, w in
+                                 zip(brute_features(text), model.mean, model.scale, model.weights)) + model.offset
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-line)))
+        assert (got[i] >= 0.3) == (label == 1)  # only a word tells them apart, held-out documents too
+
+
 def test_toxicity_on_held_out_documents(spark):
     assert held_out_result(spark, toxicity_crf, "toxic", 0.5) >= 0.9
 
@@ -241,7 +290,7 @@ def test_pipeline_matches_brute_force(spark, odd, labels, tmp_root):
         kept = [r.asDict() for r in docs_next.collect()]
         if name == "quality":
             model = quality_rank.train(docs, spark.read.parquet(f"{tmp_root}/labels.parquet"), cut=P.QUALITY_CUT)
-            good = [r for r in rows if model.predict(np.array([quality_rank.measure(r["text"])]))[0] >= P.QUALITY_CUT]
+            good = [r for r in rows if model.score([r["text"]])[0] >= P.QUALITY_CUT]
             assert Counter(str(r) for r in kept) == Counter(str(r) for r in good)
         elif name == "simhash":
             place = sorted(range(len(rows)), key=lambda i: (rows[i]["doc_id"] is None, rows[i]["doc_id"] or 0))
