@@ -488,6 +488,9 @@ def merge_into(spark: SparkSession, table: str, new_path: str, incr: DataFrame,
     that the increment touches are read, merged and replaced, and all others
     keep their files. (Their values are listed by the driver: one per period.)
     A patch without a period touches the one that its key has in the table.
+    If some key is inserted, the keys of the other partitions are read, within
+    the increment's key range, and one that has moved after all ends the merge
+    with the table as it was.
     ``order`` is the order of increment rows of one key; None if none repeats.
     ``touched`` gets the folders of the partitions that were replaced."""
     base = read_staging(spark, table, fmt, schema)
@@ -497,8 +500,8 @@ def merge_into(spark: SparkSession, table: str, new_path: str, incr: DataFrame,
         if None in periods:  # patches that leave the period alone: their keys' periods
             kept = incr.filter(F.col(part).isNull()).select(*keys)
             periods |= {r[0] for r in base.join(kept, keys, "left_semi").select(part).distinct().collect()}
-        base = base.filter(F.col(part).isin([p for p in periods if p is not None])
-                           | (F.col(part).isNull() if None in periods else F.lit(False)))
+        inside = F.coalesce(F.col(part).isin([p for p in periods if p is not None]), F.lit(None in periods))
+        base, others = base.filter(inside), base.filter(~inside)
     obs = Observation("merge")
     merged = merge_patch(base, incr, keys, strategy, dedupe_by=order,
                          keep_duplicates=order is None, inserted_col="_new") \
@@ -506,6 +509,8 @@ def merge_into(spark: SparkSession, table: str, new_path: str, incr: DataFrame,
     write_dataset(merged, new_path, fmt, "overwrite", [part] if part else None, compress)
     inserted = int(observed_value(obs, "inserted") or 0)
     if scoped:
+        if inserted and not holding(others, incr, keys).isEmpty():
+            raise ValueError(f"keys {keys} of the increment lie in other periods of the table: set keys_move")
         folders = replace_partitions(spark, table, new_path, part)
         if touched is not None:
             touched += folders
@@ -520,21 +525,24 @@ def merge_into(spark: SparkSession, table: str, new_path: str, incr: DataFrame,
 _RANGED = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.StringType, T.DecimalType)
 
 
+def holding(rows: DataFrame, incr: DataFrame, keys: list[str]) -> DataFrame:
+    """The ``rows`` (a read of files) that have a key of ``incr``, read within the
+    first key's range, which Parquet's statistics use to skip row groups."""
+    wanted = incr.filter(~any_null(keys)).select(*keys)
+    first, kind = F.col(keys[0]), rows.schema[keys[0]].dataType
+    if isinstance(kind, _RANGED):
+        low, high = wanted.agg(F.min(first), F.max(first)).first()
+        rows = rows.filter(first.between(F.lit(low).cast(kind), F.lit(high).cast(kind))
+                           if low is not None else F.lit(False))
+    return rows.join(wanted, keys, "left_semi")
+
+
 def touched_files(base: DataFrame, incr: DataFrame, keys: list[str]) -> list[str]:
     """URIs of the files of ``base`` (a read of files) that hold a key of
-    ``incr``. Only key columns are read, within the first key's range, which
-    Parquet's statistics use to skip row groups. The list is at most that of the
+    ``incr``. Only key columns are read. The list is at most that of the
     table's files, which the driver holds for any scan of it."""
-    wanted = incr.filter(~any_null(keys)).select(*keys)
     held = base.select(*keys, F.col("_metadata.file_path").alias("_file"))
-    first = F.col(keys[0])
-    if isinstance(base.schema[keys[0]].dataType, _RANGED):
-        low, high = wanted.agg(F.min(first), F.max(first)).first()
-        if low is None:
-            return []
-        kind = base.schema[keys[0]].dataType
-        held = held.filter(first.between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
-    return sorted(r[0] for r in held.join(wanted, keys, "left_semi").select("_file").distinct().collect())
+    return sorted(r[0] for r in holding(held, incr, keys).select("_file").distinct().collect())
 
 
 def merge_files(spark: SparkSession, table: str, new_path: str, incr: DataFrame, keys: list[str],

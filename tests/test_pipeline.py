@@ -470,6 +470,66 @@ def test_stream_keeps_order_and_partitions(spark, tmp_root):
     assert got[(2, "201402")] == "second" and got[(3, "201402")] == "third" and got[(1, "201401")] in ("", "second")
 
 
+@pytest.mark.parametrize("how", [{"strategy": "files"}, {"keys_move": False}])
+def test_stream_rewrites_only_what_a_batch_touches(spark, tmp_root, how):
+    from lodestone.operators.sinks import data_files, land_raw
+    from lodestone.plans.audit import read_audit
+    from lodestone.streaming.increments import merge_batches
+    header, cols = [*KV, HeaderColumn("month", "CHAR")], "k int, v string, ts string, month string"
+
+    def run():
+        q = merge_batches(spark, f"{tmp_root}/raw", header, f"{tmp_root}/t", "k", "ts", checkpoint=f"{tmp_root}/ckpt",
+                          partition_col="month", audit=f"{tmp_root}/audit", **how)
+        q.awaitTermination()
+        return set(data_files(spark, f"{tmp_root}/t"))
+
+    months = [f"2014{m:02d}" for m in range(1, 7)]
+    first = [(i, "old", T0, months[i % 6]) for i in range(30)]
+    land_raw(spark.createDataFrame(first, cols), f"{tmp_root}/raw", "1", archive=True)
+    before = run()
+    land_raw(spark.createDataFrame([(7, "new", T1, months[1]), (100, "new", "x", months[2])], cols),
+             f"{tmp_root}/raw", "2", archive=True)
+    after = run()
+    kept = {f for f in before if "month=201402" not in f[0] and "month=201403" not in f[0]}
+    assert kept <= after and not any("month=201402" in d for d, _ in before & after)
+    rows = {r.k: r.v for r in read_staging(spark, f"{tmp_root}/t").collect()}
+    assert rows == {i: "old" for i in range(30)} | {7: "new", 100: "new"}
+    told = [(r.status, r.source_row, r.tgt_rows, r.rejected_values, r.malformed_lines)
+            for r in read_audit(spark, f"{tmp_root}/audit").orderBy("exec_strt_ts").collect()]
+    assert told == [("S", 30, 30, 0, 0), ("S", 2, 31, 1, 0)]
+
+
+def test_stream_stops_at_malformed_lines(spark, tmp_root):
+    from lodestone.plans.audit import read_audit
+    from lodestone.streaming.increments import merge_batches
+    spark.createDataFrame([("1|a|" + T0,), ("2|b",), ("3|c|" + T0 + "|more",)], "value string") \
+        .write.text(f"{tmp_root}/raw/batch_id=1")
+
+    def run():
+        merge_batches(spark, f"{tmp_root}/raw", KV, f"{tmp_root}/t", "k", "ts", checkpoint=f"{tmp_root}/ckpt",
+                      audit=f"{tmp_root}/audit").awaitTermination()
+
+    for _ in range(2):  # nor does a restart pass over them
+        with pytest.raises(Exception, match="2 malformed raw lines of 3"):
+            run()
+    from lodestone.session import path_exists
+    assert not path_exists(spark, f"{tmp_root}/t")
+    assert [(r.status, r.fail_step, r.source_row, r.malformed_lines)
+            for r in read_audit(spark, f"{tmp_root}/audit").collect()] == [("F", 5, 3, 2)] * 2
+
+
+def test_a_key_that_moves_after_all_ends_a_scoped_merge(spark, tmp_root):
+    spec = LoadSpec("t", refresh="INCR", keys=("k",), incr_col="ts", partition="month", keys_move=False,
+                    first_load="full")
+    layout = Layout(tmp_root)
+    assert run_load(spark, _rows(spark, [(1, "a", T0, "201401"), (2, "b", T0, "201402"), (9, "c", T0, None)]),
+                    KV, spec, layout, "1").status == "S"
+    before = read_staging(spark, layout.stg(spec)).collect()
+    with pytest.raises(LoadError, match="keys_move"):
+        run_load(spark, _rows(spark, [(1, "moved", T1, "201402"), (5, "new", T1, "201403")]), KV, spec, layout, "2")
+    assert sorted(map(str, read_staging(spark, layout.stg(spec)).collect())) == sorted(map(str, before))
+
+
 def test_catalog_statistics_after_a_load(spark, tmp_root):
     db = "stats_" + tmp_root.rsplit("-", 1)[-1]
     spec = LoadSpec("t", db, partition="month", register_catalog=True, statistics=True)
