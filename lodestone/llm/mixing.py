@@ -10,6 +10,9 @@ document, and the blocks' residuals meet in the next level of a reduction tree,
 down to one block per source. There the last document is rounded to the nearer
 whole copy, so a source misses its target by at most half of one document; the
 last block is folded with several seeds, and the run that misses least is kept.
+That choice favours roundings that hit the target: documents (or residuals) of
+the last block, which is the only one of a small source, keep their expectation
+only nearly; all others keep it exactly.
 
 DataFrame functions only: a block is folded by ``aggregate`` over a sorted array.
 Blocks are chosen by a hash, so a source that holds most rows is many blocks.
