@@ -25,7 +25,9 @@
     timestamp of their key; ties keep every tied row, NULL keys and NULL
     timestamps drop out. ``method="join"`` is a partial/final aggregate plus a
     join (skew-tolerant: map-side combine, AQE skew-join splitting);
-    ``method="window"`` is one shuffle and a window.
+    ``method="window"`` is one shuffle and a rank of one: each task keeps only its
+    own latest rows of a key before the shuffle (a window group limit), so of a
+    hot key only the rows that tie for the latest of some task travel.
 """
 
 from __future__ import annotations
@@ -125,11 +127,9 @@ def latest_version(base: DataFrame, incr: DataFrame | None, keys,
     keys = _keys(keys)
     u = base if incr is None else union_base_incr(base, incr)
     if method == "window":
-        w = Window.partitionBy(*keys)
-        not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        return (u.withColumn("_max_ts", F.max(ts).over(w))
-                .filter(not_null & (F.col(ts) == F.col("_max_ts")))
-                .drop("_max_ts"))
+        newest = Window.partitionBy(*keys).orderBy(F.desc(ts))
+        return (u.filter(~any_null([*keys, ts])).withColumn("_nth", F.rank().over(newest))
+                .filter(F.col("_nth") == 1).drop("_nth"))
     if method != "join":
         raise ValueError(f"unknown method {method!r}")
     s = max_ts_per_key(u.select(*keys, ts), keys, ts)

@@ -22,6 +22,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,6 +68,16 @@ def avro_available(spark: SparkSession) -> bool:
         return False
 
 
+def avro_schema(names: list[str], record: str = "raw") -> str:
+    """The Avro schema of raw rows as JSON: nullable strings with a NULL default,
+    so that batches landed before a column was added read as NULL there."""
+    bad = [c for c in names if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", c)]
+    if bad:
+        raise FormatError(f"columns {bad} cannot be Avro field names")
+    fields = [{"name": c, "type": ["null", "string"], "default": None} for c in names]
+    return json.dumps({"type": "record", "name": record, "fields": fields})
+
+
 def compression_for(fmt: str, compress: bool = True) -> str:
     return COMPRESSION[fmt] if compress else "none"
 
@@ -179,7 +191,8 @@ def read_raw(spark: SparkSession, raw_path: str, names: list[str], fmt: str = "t
     if fmt == "text":
         df = read_raw_text(spark, raw_path, names, parts, fields_col)
     else:
-        df = spark.read.format(fmt).load(raw_path)
+        told = {"avroSchema": avro_schema(names)} if fmt == "avro" else {}
+        df = spark.read.format(fmt).options(**told).load(raw_path)
         df = df.select(*[F.col(c).cast("string").alias(c) for c in names],
                        *[c for c in df.columns if c not in names])
     if batch_id is not None:

@@ -85,3 +85,12 @@ def test_latest_version_aggregates_partially(spark):
     lv = latest_version(D.base(spark, SF), D.delta(spark, SF), ["o_orderkey"])
     p = plan(lv)
     assert p.count("HashAggregate") >= 2
+
+
+def test_latest_version_window_drops_old_rows_before_the_shuffle(spark):
+    rows = spark.range(0, 4000, 1, 4).selectExpr("IF(id % 4 = 0, id, -1) AS k", "id % 500 AS extract_ts", "id AS v")
+    lv = latest_version(rows, None, ["k"], method="window")
+    before = plan(lv).split("Exchange")[1]
+    assert "WindowGroupLimit" in before and "Partial" in before
+    assert lv.exceptAll(latest_version(rows, None, ["k"])).count() == 0
+    assert lv.count() == latest_version(rows, None, ["k"]).count()

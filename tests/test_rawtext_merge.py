@@ -1,9 +1,11 @@
+import json
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from lodestone.operators.merge import latest_version, merge_patch
-from lodestone.operators.sinks import FormatError, resolve_format, write_dataset
+from lodestone.operators.sinks import FormatError, avro_schema, resolve_format, write_dataset
 from lodestone.sources.rawtext import read_raw_text
 
 TRICKY = ["a|b", "\\", "\\\\", "end\\", "", None, "two\nlines", "cr\r", "\\n literal",
@@ -119,3 +121,11 @@ def test_latest_version_ties_and_nulls(spark):
     for method in ("join", "window"):
         got = sorted(tuple(r) for r in latest_version(df, None, ["k"], method=method).collect())
         assert got == [(1, "a", 1), (1, "b", 1), (3, "f", 2)]
+
+
+def test_avro_schema_of_raw_rows():
+    told = json.loads(avro_schema(["k", "v_1"], "orders"))
+    assert told["name"] == "orders" and [f["name"] for f in told["fields"]] == ["k", "v_1"]
+    assert all(f["type"] == ["null", "string"] and f["default"] is None for f in told["fields"])
+    with pytest.raises(FormatError):
+        avro_schema(["a b"])
