@@ -3,10 +3,18 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.session import delete_path
+
+#: The lists of written tables of the ``discarding`` blocks that are open.
+_OPEN: ContextVar[tuple[list, ...]] = ContextVar("open", default=())
+
 #: ASCII letters, for the lower-casing that leaves every other character alone.
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -34,7 +42,31 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(spark)}/llm-{label}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    for tables in _OPEN.get():
+        tables.append((spark, path))
+    table = spark.read.schema(schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` returned and that no later plan reads."""
+    for table in tables:
+        delete_path(table.sparkSession, table.written_to)
+
+
+@contextmanager
+def discarding() -> Iterator[None]:
+    """Deletes on leaving every table that ``materialize`` wrote inside. Results
+    are lazy and read such tables, so write the result inside, too."""
+    mine: list[tuple[SparkSession, str]] = []
+    token = _OPEN.set((*_OPEN.get(), mine))
+    try:
+        yield
+    finally:
+        _OPEN.reset(token)
+        for spark, path in mine:
+            delete_path(spark, path)
 
 
 def id_bucket(doc_id: Column, buckets: int) -> Column:

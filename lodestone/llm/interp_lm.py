@@ -44,7 +44,7 @@ END = np.uint64(0xE0D0E0D0E0D0E0D1)
 START = np.uint64(0x57A2757A2757A271)
 BUCKETS = 48
 #: Steps of the rounded log2 ratios in the histogram.
-STEPS = 8
+STEPS = 4
 FLOOR = -1
 
 
@@ -290,10 +290,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
     n_less, n, v_less, v = (int(x) for x in np.sum(sums, axis=0)) if sums else (0, 0, 0, 0)
     told = told.filter(F.col("block") >= 0)
     deleted = encoded.filter(F.col("part") == 1).select("block", "folds", "sizes", "vocabulary", "words")
-    cells = _histogram(deleted, told, max(1, n_less), v_less, parts).collect()  # bounded by its rounding
-    key = np.array([(r.bucket, r.r2, r.r1) for r in cells], np.int64).reshape(-1, 3)
+    # columns, not rows: four numbers a cell, and the rounding bounds the cells
+    cells = _histogram(deleted, told, max(1, n_less), v_less, parts).toArrow()
+    key = np.stack([cells[c].to_numpy() for c in ("bucket", "r2", "r1")], 1).astype(np.int64).reshape(-1, 3)
     order = np.lexsort(key.T)
-    weights = learn_weights(key[order], np.array([r.n for r in cells], np.int64)[order])
+    weights = learn_weights(key[order], cells["n"].to_numpy()[order])
 
     def run(table: pa.Table, answers_: pa.Table) -> pa.Table:
         out, answers = [], answers_.to_pylist()

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import materialize
+from lodestone.llm.common import discard, materialize
 
 HASH_CHUNK = 1 << 16
 
@@ -106,38 +106,46 @@ def tile_forest(left: np.ndarray, right: np.ndarray | None, radius: int) -> tupl
 
 
 def _tiles(nodes: DataFrame, tile_rows: int) -> tuple[DataFrame, list]:
-    """Tiles (hi, lo, sub, fps) and the number of nodes in each (hi, lo) cell
-    (at most 33 x 33 cells)."""
+    """Tiles (tile, fps) and the cells as rows (hi, lo, n, first, subs): a cell
+    of n nodes has the tiles ``first`` to ``first + subs - 1`` (at most 33 x 33
+    cells, so they fit the driver)."""
     low = F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))
     celled = nodes.select("fp", F.bit_count(F.shiftrightunsigned("fp", 32)).alias("hi"),
                           F.bit_count(low).alias("lo"))
-    sizes = celled.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n"))
-    cells = sizes.collect()
-    subs = sizes.select(F.col("hi").alias("c_hi"), F.col("lo").alias("c_lo"),
-                        F.ceil(F.col("n") / F.lit(tile_rows)).cast("int").alias("subs"))
-    tiles = (celled.join(F.broadcast(subs), (F.col("hi") == F.col("c_hi"))
-                         & (F.col("lo") == F.col("c_lo")))
-             .withColumn("sub", F.pmod(F.xxhash64("fp"), F.col("subs")).cast("int"))
-             .groupBy("hi", "lo", "sub").agg(F.collect_list("fp").alias("fps")))
+    cells, first = [], 0
+    for r in celled.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n")).orderBy("hi", "lo").collect():
+        subs = -(-r.n // tile_rows)
+        cells.append((r.hi, r.lo, r.n, first, subs))
+        first += subs
+    known = nodes.sparkSession.createDataFrame(
+        cells, "c_hi int, c_lo int, c_n long, first long, subs long")
+    tiles = (celled.join(F.broadcast(known), (F.col("hi") == F.col("c_hi")) & (F.col("lo") == F.col("c_lo")))
+             .select((F.col("first") + F.pmod(F.xxhash64("fp"), F.col("subs"))).alias("tile"), "fp")
+             .groupBy("tile").agg(F.collect_list("fp").alias("fps")))
     return tiles, cells
 
 
-def _tile_pairs(tiles: DataFrame, radius: int) -> DataFrame:
-    """Each unordered pair of tiles that can hold a link, once."""
+def _tile_pairs(tiles: DataFrame, cells: list, radius: int) -> DataFrame:
+    """Each unordered pair of tiles that can hold a link, once. Pairs are told by
+    the numbers of the tiles; their fingerprints are joined by those numbers, so
+    a key is one tile, never a cell."""
+    spark = tiles.sparkSession
+    size = {(hi, lo): (first, subs) for hi, lo, _, first, subs in cells}
     near = [(h, l) for h in range(radius + 1) for l in range(-radius, radius + 1)
             if h + abs(l) <= radius and (h > 0 or l >= 0)]
-    steps = F.array(*[F.struct(F.lit(h).alias("h"), F.lit(l).alias("l")) for h, l in near])
-    a = (tiles.withColumn("step", F.explode(steps))
-         .select((F.col("hi") + F.col("step.h")).alias("a_hi"),
-                 (F.col("lo") + F.col("step.l")).alias("a_lo"),
-                 ((F.col("step.h") == 0) & (F.col("step.l") == 0)).alias("own_cell"),
-                 F.col("sub").alias("a_sub"), F.col("fps").alias("a_fps")))
-    b = tiles.select(F.col("hi").alias("b_hi"), F.col("lo").alias("b_lo"),
-                     F.col("sub").alias("b_sub"), F.col("fps").alias("b_fps"))
-    return a.join(b, (F.col("a_hi") == F.col("b_hi")) & (F.col("a_lo") == F.col("b_lo"))
-                  & (~F.col("own_cell") | (F.col("a_sub") <= F.col("b_sub")))) \
-        .select((F.col("own_cell") & (F.col("a_sub") == F.col("b_sub"))).alias("same"),
-                "a_fps", "b_fps")
+    ranges = [(*mine, *size[hi + h, lo + l]) for (hi, lo), mine in size.items() for h, l in near
+              if (hi + h, lo + l) in size]
+    span = spark.createDataFrame(ranges, "a_first long, a_subs long, b_first long, b_subs long")
+    numbers = (span.withColumn("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("a_subs") - 1)))
+               .select((F.col("a_first") + F.col("a")).alias("a"), "b_first", "b_subs")
+               .repartition("a")
+               .select("a", F.explode(F.sequence(F.col("b_first"), F.col("b_first") + F.col("b_subs") - 1)).alias("b"))
+               .filter(F.col("a") <= F.col("b")))
+    left = tiles.select(F.col("tile").alias("a_tile"), F.col("fps").alias("a_fps"))
+    right = tiles.select(F.col("tile").alias("b_tile"), F.col("fps").alias("b_fps"))
+    return (numbers.join(right, F.col("b") == F.col("b_tile"))
+            .join(left, F.col("a") == F.col("a_tile"))
+            .select((F.col("a") == F.col("b")).alias("same"), "a_fps", "b_fps"))
 
 
 def links(nodes: DataFrame, radius: int = 4, tile_rows: int = 4096,
@@ -145,11 +153,11 @@ def links(nodes: DataFrame, radius: int = 4, tile_rows: int = 4096,
     """(u, v), v < u: edges whose components are those of all pairs of ``fp``
     in ``nodes`` (distinct) that differ in ``radius`` bits or fewer."""
     tiles, cells = _tiles(nodes, tile_rows)
-    count = {(r.hi, r.lo): r.n for r in cells}
+    count = {(hi, lo): n for hi, lo, n, _, _ in cells}
     work = sum(n * m for (h, l), n in count.items() for (x, y), m in count.items()
                if abs(h - x) + abs(l - y) <= radius) / 2
     tasks = int(max(8, min(100_000, work / task_pairs + 1)))
-    pairs = _tile_pairs(tiles, radius).repartition(tasks)
+    pairs = _tile_pairs(tiles, cells, radius).repartition(tasks)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
@@ -186,7 +194,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                                            F.struct(F.col("u").alias("v"), "m"))).alias("e"))
                  .select(F.col("e.v").alias("u"), F.col("e.m").alias("v"))
                  .filter(F.col("u") != F.col("v")).distinct())
-        edges = materialize(small, "edges")
+        edges, old = materialize(small, "edges"), edges
+        discard(old)
         after = state(edges)
         if after == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import materialize
+from lodestone.llm.common import discard, materialize
 
 
 #: Components of scaled vectors are cut to this size.
@@ -197,6 +197,7 @@ def search(frame: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vecto
              .withColumn("turn", F.row_number().over(Window.partitionBy("qkey").orderBy(F.desc("high"), "class")))
              .select("qkey", "wanted", "class", "high", "turn"))
     open_ = materialize(open_, "candidates")
+    discard(va, kept)
 
     # exact vectors, highest bound first, until the k-th result is certain
     exact, read = None, 0
@@ -222,6 +223,7 @@ def search(frame: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vecto
         read, many = read + many, many * 4
     if exact is None:
         exact = found
+    discard(classes, distinct_q, open_)
     best = exact.select("qkey", "wanted", "class", "score", F.explode("ids").alias("vec_id")).distinct()
     best = _smallest(best, ["qkey"], [F.desc("score"), "vec_id"], most).filter(F.col("nth") <= wanted).drop("nth")
     ranked = (asked.select(F.col("id").alias("query_id"), F.col("qkey").alias("a_key"))
