@@ -90,8 +90,60 @@ SENTENCES = {
     "cc-by-nc": "Licensed under CC BY-NC 4.0.",
     "cc-by-nc-sa": "Licensed under CC BY-NC-SA 4.0.",
     "cc-zero": "Licensed under CC0 1.0.",
+    "zlib-asis": "This software is provided 'as-is', without any express or implied warranty.",
+    "zlib-liability": "In no event will the authors be held liable for any damages arising from the use of this "
+                      "software.",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial "
+                  "applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "zlib-origin": "The origin of this software must not be misrepresented;",
+    "zlib-marked": "Altered source versions must be plainly marked as such, and must not be misrepresented as being "
+                   "the original software.",
+    "zlib-notice": "This notice may not be removed or altered from any source distribution.",
+    "bsl-notice": "Distributed under the Boost Software License, Version 1.0.",
+    "bsl-title": "Boost Software License - Version 1.0 - August 17th, 2003",
+    "bsl-grant": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the "
+                 "software and accompanying documentation covered by this license (the \"Software\") to use, "
+                 "reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works "
+                 "of the Software, and to permit third-parties to whom the Software is furnished to do so, all "
+                 "subject to the following:",
+    "gnu-library": "This library is free software;",
+    "lgpl-redistribute": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+                         "License as published by the Free Software Foundation;",
+    "lgpl21-later": "either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl3-terms": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+                   "as published by the Free Software Foundation, either version 3 of the License, or (at your "
+                   "option) any later version.",
+    "epl2-terms": "This program and the accompanying materials are made available under the terms of the Eclipse "
+                  "Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "epl2-made": "This program and the accompanying materials are made available under the terms of the Eclipse "
+                 "Public License v.",
+    "epl2-at": "2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "epl1-terms": "This program and the accompanying materials are made available under the terms of the Eclipse "
+                  "Public License v1.0 which accompanies this distribution, and is available at "
+                  "http://www.eclipse.org/legal/epl-v10.html",
+    "apache-title": "Apache License",
+    "apache-version": "Version 2.0, January 2004",
+    "apache-terms": "TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
+    "mpl2-title": "Mozilla Public License Version 2.0",
+    "gpl-title": "GNU GENERAL PUBLIC LICENSE",
+    "lgpl-title": "GNU LESSER GENERAL PUBLIC LICENSE",
+    "agpl-title": "GNU AFFERO GENERAL PUBLIC LICENSE",
+    "version-2": "Version 2, June 1991",
+    "version-21": "Version 2.1, February 1999",
+    "version-3": "Version 3, 29 June 2007",
+    "version-3-affero": "Version 3, 19 November 2007",
+    "spdx": "SPDX-License-Identifier:",
 }
 
+#: Licences that a line ``SPDX-License-Identifier: <name>`` can name (fixed values).
+SPDX = [
+    "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0",
+    "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-NC-SA-4.0", "CC-BY-SA-4.0", "CC0-1.0", "EPL-1.0", "EPL-2.0",
+    "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1-only",
+    "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MPL-2.0", "Unlicense", "Zlib",
+]
+SENTENCES |= {f"spdx {name}": name for name in SPDX}
+
 #: Licence rules: identifier of the licence, and its sentences in order (fixed values).
 RULES = [
     ("MIT", ["mit-released"]), ("MIT", ["mit-licensed"]), ("MIT", ["mit-terms"]),
@@ -113,7 +165,20 @@ RULES = [
     ("Unlicense", ["unlicense"]),
     ("CC-BY-4.0", ["cc-by"]), ("CC-BY-SA-4.0", ["cc-by-sa"]), ("CC-BY-NC-4.0", ["cc-by-nc"]),
     ("CC-BY-NC-SA-4.0", ["cc-by-nc-sa"]), ("CC0-1.0", ["cc-zero"]),
+    ("Zlib", ["zlib-asis", "zlib-liability", "zlib-grant", "zlib-origin"]), ("Zlib", ["zlib-marked", "zlib-notice"]),
+    ("BSL-1.0", ["bsl-notice"]), ("BSL-1.0", ["bsl-title"]), ("BSL-1.0", ["bsl-grant"]),
+    ("BSL-1.0", ["bsl-title", "bsl-grant"]),
+    ("LGPL-2.1-or-later", ["gnu-library", "lgpl-redistribute", "lgpl21-later"]),
+    ("LGPL-3.0-or-later", ["gnu-free", "lgpl3-terms"]), ("LGPL-3.0-or-later", ["gnu-library", "lgpl3-terms"]),
+    ("EPL-1.0", ["epl1-terms"]), ("EPL-2.0", ["epl2-terms"]), ("EPL-2.0", ["epl2-made", "epl2-at"]),
+    ("Apache-2.0", ["apache-title", "apache-version"]),
+    ("Apache-2.0", ["apache-title", "apache-version", "apache-terms"]),
+    ("MPL-2.0", ["mpl2-title"]),
+    ("GPL-2.0-only", ["gpl-title", "version-2"]), ("GPL-3.0-only", ["gpl-title", "version-3"]),
+    ("LGPL-2.1-only", ["lgpl-title", "version-21"]), ("LGPL-3.0-only", ["lgpl-title", "version-3"]),
+    ("AGPL-3.0-only", ["agpl-title", "version-3-affero"]),
 ]
+RULES += [(name, ["spdx", f"spdx {name}"]) for name in SPDX]
 
 BLANK = r"[ \t\r\f]"
 OTHER = r"[^\p{L}\p{N}]+"

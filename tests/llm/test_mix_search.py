@@ -241,3 +241,53 @@ def test_numbered_bsd_texts(spark):
     assert {k: list(r.licenses) for k, r in got.items()} == {
         1: ["BSD-2-Clause"], 2: ["BSD-3-Clause"], 3: ["BSD-3-Clause"], 4: []}
     assert [tuple(m) for m in got[2].flow_matches] == [(0, 6, "BSD-3-Clause")]
+
+
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not
+   claim that you wrote the original software. If you use this software
+   in a product, an acknowledgment in the product documentation would be
+   appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be
+   misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution.
+"""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+"""
+
+
+def test_licences_by_title_notice_and_identifier(spark, tmp_path):
+    import duckdb
+
+    from lodestone.llm import queries
+    cases = {1: (ZLIB, "Zlib"), 2: (LGPL, "LGPL-2.1-or-later"),
+             3: ("// SPDX-License-Identifier: LGPL-3.0-only\nint x;", "LGPL-3.0-only"),
+             4: ("# SPDX-License-Identifier: MIT\n", "MIT"), 5: ("The MIT people.\nMIT\n", ""),
+             6: ("GNU LESSER GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n\nCopyright", "LGPL-3.0-only"),
+             7: ("   Apache License\n  Version 2.0, January 2004\n http://www.apache.org/licenses/\n\n TERMS AND "
+                 "CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n", "Apache-2.0"),
+             8: ("Distributed under the Boost Software License, Version 1.0.", "BSL-1.0"),
+             9: ("SPDX-License-Identifier: MIT OR Apache-2.0", "")}
+    docs_frame(spark, [(k, t, "s") for k, (t, _) in cases.items()]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.QUERIES["op6_license_rules"](spark, str(tmp_path))
+    assert {r.doc_id: r.licenses for r in got.collect()} == {k: want for k, (_, want) in cases.items()}
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    told = con.sql(queries.ORACLE["op6_license_rules"])
+    assert sorted(tuple(r) for r in got.select(*told.columns).collect()) == sorted(told.fetchall())
+
+
+def test_known_sentences_are_distinct_and_rules_name_them():
+    told = [license_rules.normalise(s) for s in license_rules.SENTENCES.values()]
+    assert len(told) == len(set(told))
+    assert {s for _, ids in license_rules.RULES for s in ids} == set(license_rules.SENTENCES)
