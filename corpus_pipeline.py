@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import decontaminate, mixing, quality_rank, secret_scan, simhash
-from lodestone.llm.common import materialize, read_table, shared_folder
+from lodestone.llm.common import discarding, materialize, read_table, shared_folder
 
 MASK = "[SECRET]"
 QUALITY_CUT = 0.3
@@ -81,6 +81,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
     for at, (name, stage) in enumerate(STAGES):
         path = f"{root}/{at}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with discarding():
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
