@@ -44,7 +44,7 @@ END = np.uint64(0xE0D0E0D0E0D0E0D1)
 START = np.uint64(0x57A2757A2757A271)
 BUCKETS = 48
 #: Steps of the rounded log2 ratios in the histogram.
-STEPS = 4
+STEPS = 8
 FLOOR = -1
 
 
