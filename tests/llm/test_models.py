@@ -101,6 +101,42 @@ def test_quality_scores_match_brute_force(spark):
         assert (got[i] >= 0.3) == (label == 1)  # only a word tells them apart, held-out documents too
 
 
+def test_quality_learns_from_every_pair_of_labelled_documents(spark):
+    r = random.Random(5)
+    words = {1: "calm river stone meadow evening".split(), 0: "cheap OFFER!! $$$ click meadow".split()}
+    rows = [(i, " ".join(r.choices(words[int(i % 3 > 0) if r.random() < 0.9 else int(i % 3 == 0)], k=6)) + f" n{i}", int(i % 3 > 0))
+            for i in range(150)]
+    marks = spark.createDataFrame([(i, k) for i, _, k in rows], "doc_id long, quality int")
+    model = quality_rank.train(docs_frame(spark, [(i, t, "a") for i, t, _ in rows]), marks, cut=0.3, close=1e-6)
+    own = [(t, k) for i, t, k in rows if zlib.crc32(str(i).encode()) % 5]
+    x = np.array([brute_features(t) for t, _ in own])
+    label = np.array([k for _, k in own])
+    looks = len(quality_rank.FEATURES)
+    scale = np.append(np.maximum(x[:, :looks].std(0), 1e-3), np.ones(x.shape[1] - looks))
+    np.testing.assert_allclose(model.mean, x.mean(0), atol=1e-3)
+    np.testing.assert_allclose(model.scale, scale, atol=1e-3)
+    z = (x - x.mean(0)) / scale
+    good, bad = (a.ravel() for a in np.meshgrid(np.flatnonzero(label == 1), np.flatnonzero(label == 0)))
+    w = quality_rank.pair_weights(z, good, bad, 1e-3, close=1e-9)
+    np.testing.assert_allclose(model.raw(x), z @ w, atol=0.02)
+    best = max(np.mean((z @ w > cut) == label) for cut in z @ w)
+    assert np.mean((model.predict(x) >= 0.3) == label) >= best - 1e-9
+
+
+def test_quality_learns_from_rows_beyond_any_number(spark):
+    late = 4000  # only the bad documents after so many, in the order of the ids' hashes, differ from the good ones
+    ids = spark.range(6500).filter("crc32(cast(cast(id as string) as binary)) % 5 <> 0 and id % 20 > 0")
+    place = [r.id for r in ids.orderBy(F.xxhash64("id"), "id").collect()]
+    assert len(place) > late + 500
+    rows = [(i, "plain talk about calm things" if n < late else "plain talk about zorgax things", 0) for n, i in enumerate(place)]
+    rows += [(i, "plain talk about calm things", 1) for i in range(10_000, 10_400)]
+    docs = docs_frame(spark, [(i, t, "a") for i, t, _ in rows])
+    marks = spark.createDataFrame([(i, k) for i, _, k in rows], "doc_id long, quality int")
+    model = quality_rank.train(docs, marks)
+    said, unsaid = model.raw(np.array([quality_rank.features(f"plain talk about {w} things") for w in ("zorgax", "calm")]))
+    assert said < unsaid - 0.5
+
+
 def test_toxicity_on_held_out_documents(spark):
     assert held_out_result(spark, toxicity_crf, "toxic", 0.5) >= 0.9
 
