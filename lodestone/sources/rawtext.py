@@ -2,9 +2,12 @@
 
 Writing escapes ``\\``, ``|``, line feed and carriage return inside values so
 that one record is always one line and the file splits cleanly across tasks.
-Reading tokenises each line with one regular expression that understands the
-escapes (Spark's CSV reader does not round-trip this dialect), then undoes
-the escapes. Lines without any backslash take a plain ``split`` fast path.
+Reading cuts each line at the delimiters that are not escaped (Spark's CSV reader
+does not round-trip this dialect), then undoes the escapes. Lines without any
+backslash take a plain ``split``. Lines that hold only the four escapes that
+writing makes are cut and decoded by plain replacements: a line never holds a line
+feed or carriage return itself, so these two mark escapes meanwhile. Any other line
+is tokenised by regular expressions that understand the escapes.
 
 Both directions are pure column expressions: text files are read and written
 in parallel by Spark, one task per file split.
@@ -58,13 +61,48 @@ def to_lines(df: DataFrame, columns: list[str] | None = None) -> Column:
     return F.concat_ws(DELIMITER, *parts)
 
 
+def usual_escapes(c: Column) -> Column:
+    """Whether every backslash belongs to one of the four escapes that ``escape_value``
+    makes, in one line."""
+    rest = c
+    for pair in ("\\\\", "\\|", "\\n", "\\r"):
+        rest = F.replace(rest, F.lit(pair), F.lit("\n"))
+    return ~(rest.contains("\\") | c.contains("\n") | c.contains("\r"))
+
+
+def mark_escapes(line: Column) -> Column:
+    """A line of the usual escapes with an escaped backslash as backslash and line
+    feed, and an escaped delimiter as carriage return: every delimiter left separates."""
+    return F.replace(F.replace(line, F.lit("\\\\"), F.lit("\\\n")), F.lit("\\|"), F.lit("\r"))
+
+
+def unmark_escapes(c: Column) -> Column:
+    """The value of a field that ``mark_escapes`` marked: a carriage return is a
+    delimiter before ``\\r`` becomes one, and a line feed after a backslash always
+    stands for the backslash, since no other escape is left in front of it."""
+    v = F.replace(F.replace(c, F.lit("\r"), F.lit("|")), F.lit("\\r"), F.lit("\r"))
+    v = F.replace(v, F.lit("\\n"), F.lit("\n"))
+    return F.replace(v, F.lit("\\\n"), F.lit("\\"))
+
+
 def split_line(line: Column) -> Column:
+    """The fields of a line, still with their escapes."""
     slow = F.regexp_extract_all(F.concat(line, F.lit(DELIMITER)),
                                 F.lit(FIELD_PATTERN), 1)
     fast = F.split(line, r"\|", -1)
     return F.when(line.contains("\\"), slow).otherwise(fast)
 
 
+def marked_line(line: Column) -> Column:
+    """Whether ``line_fields`` marks this line's escapes."""
+    return line.contains("\\") & usual_escapes(line)
+
+
+def line_fields(line: Column) -> Column:
+    """The fields of a line, their escapes marked or as they are."""
+    return F.when(marked_line(line), F.split(mark_escapes(line), r"\|", -1)).otherwise(split_line(line))
+
+
 def parse_lines(lines: DataFrame, names: list[str], keep: list[str] | None = None,
                 fields_col: str | None = None) -> DataFrame:
     """Turn a DataFrame with a ``value`` text column into string columns.
@@ -73,10 +111,12 @@ def parse_lines(lines: DataFrame, names: list[str], keep: list[str] | None = Non
     directory layout) to carry through unchanged. ``fields_col`` adds the
     number of fields each line has: a line is malformed unless that is the
     number of names (missing fields read as NULL, surplus ones are lost)."""
-    staged = lines.select(split_line(F.col("value")).alias("_f"), *(keep or []))
+    staged = lines.select(line_fields(F.col("value")).alias("_f"), marked_line(F.col("value")).alias("_marked"),
+                          *(keep or []))
     cols = []
     for i, n in enumerate(names):
-        v = unescape_value(F.get(F.col("_f"), i))
+        f = F.get(F.col("_f"), i)
+        v = F.when(F.col("_marked"), unmark_escapes(f)).otherwise(unescape_value(f))
         cols.append(F.when(v == F.lit(NULL_TEXT), F.lit(None).cast("string"))
                     .otherwise(v).alias(n))
     count = [F.size("_f").alias(fields_col)] if fields_col else []
@@ -86,7 +126,7 @@ def parse_lines(lines: DataFrame, names: list[str], keep: list[str] | None = Non
 def malformed_lines(lines: DataFrame, width: int) -> DataFrame:
     """One row: how many lines of ``lines`` (value) don't have ``width`` fields,
     and how many there are."""
-    n = F.size(split_line(F.col("value")))
+    n = F.size(line_fields(F.col("value")))
     return lines.agg(F.count_if(n != width).alias("malformed"), F.count(F.lit(1)).alias("lines"))
 
 

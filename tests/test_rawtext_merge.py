@@ -129,3 +129,36 @@ def test_avro_schema_of_raw_rows():
     assert all(f["type"] == ["null", "string"] and f["default"] is None for f in told["fields"])
     with pytest.raises(FormatError):
         avro_schema(["a b"])
+
+
+def test_plain_decoding_matches_the_regular_expressions(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from lodestone.sources.rawtext import escape_value, parse_lines, split_line, unescape_value
+    r = random.Random(4)
+    texts = ["".join(r.choices("\\|nrx", k=r.randrange(9))) for _ in range(3000)]
+    texts += ["".join(r.choices(["\\\\", "\\|", "\\n", "\\r", "|", "n", "é", " "], k=r.randrange(12))) for _ in range(3000)]
+    texts += ["a\nb\\|c|d\\n", "a\\\\\r|b", "\\", "a|b\\", "\\ |x"]
+    lines = spark.createDataFrame([(t,) for t in texts], "value string")
+    v = F.col("value")
+    slow = F.transform(split_line(v), unescape_value)
+    names = ["a", "b", "c", "d", "e", "f", "g", "h", "i", "j", "k"]
+    got = parse_lines(lines, names, keep=["value"], fields_col="n")
+    odd = got.filter((F.col("n") != F.size(split_line(v)))
+                     | ~F.array(*names).eqNullSafe(F.array(*[F.nullif(F.get(slow, i), F.lit("")) for i in range(len(names))])))
+    assert got.count() == len(texts) and odd.collect() == []
+    two = parse_lines(lines.select(F.concat(escape_value(v), F.lit("|"), escape_value(v)).alias("value"), v.alias("was")),
+                      ["a", "b"], keep=["was"], fields_col="n")
+    assert two.filter("nullif(was, '') IS DISTINCT FROM a OR a IS DISTINCT FROM b OR n <> 2").collect() == []
+
+
+def test_lines_of_usual_escapes_need_no_regular_expression(spark):
+    from pyspark.sql import functions as F
+
+    from lodestone.sources.rawtext import mark_escapes, unmark_escapes, usual_escapes
+    line = spark.createDataFrame([("a\\\\n\\|b\\n\\r|c\\\\",), ("a\\x",)], "value string")
+    got = line.select(usual_escapes(F.col("value")), F.transform(F.split(mark_escapes(F.col("value")), r"\|", -1), unmark_escapes))
+    assert [tuple(r) for r in got.collect()][0] == (True, ["a\\n|b\n\r", "c\\"])
+    assert got.collect()[1][0] is False
