@@ -107,7 +107,10 @@ def merge_patch(base: DataFrame, incr: DataFrame, keys, strategy: str = "auto",
         .select(*[F.coalesce(F.col(f"r.{c}"), F.col(f"l.{c}")).alias(c) for c in cols])
     met = base.filter(matching).select(*keys)
     if strategy == "auto":
-        met = joined(met, asked, "left_semi").distinct()
+        # dealt to a set number of tasks, where Spark doesn't broadcast it: adaptive execution would
+        # gather so many base keys, which compress well, in one task that their sort takes gigabytes
+        parts = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        met = joined(met, asked.repartition(parts, *keys), "left_semi").distinct()
     new = joined(incr.filter(matching), met, "left_anti").select(*cols)
     aside = flagged(base.filter(any_null(keys)), False).unionByName(flagged(incr.filter(any_null(keys)), True))
     return flagged(stays, False).unionByName(flagged(new, True)).unionByName(aside)

@@ -69,6 +69,22 @@ def test_hot_key_of_a_merge_is_split(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_keys_of_a_large_merge_meet_in_a_set_number_of_tasks(spark):
+    """Adaptive execution doesn't gather the base keys, which compress well, in a few tasks."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+           if spark.conf.get(k, None) is not None}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        m = merge_patch(D.base(spark, SF), D.delta(spark, SF), ["o_orderkey"])
+        m.collect()
+        final = m._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        semi = final[final.index("LeftSemi"):final.index("LeftSemi") + final[final.index("LeftSemi"):].index("Filter")]
+        assert "REPARTITION_BY_NUM" in final and "coalesced" not in semi
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_auto_merge_respects_the_threshold(spark):
     b, d = D.base(spark, SF), D.delta(spark, SF)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
