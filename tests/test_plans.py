@@ -85,6 +85,29 @@ def test_keys_of_a_large_merge_meet_in_a_set_number_of_tasks(spark):
             spark.conf.set(k, v)
 
 
+def test_keys_of_a_merge_with_null_keys_meet_in_a_set_number_of_tasks(spark):
+    """Null keys don't meet at all; the other base keys aren't gathered in a few tasks."""
+    from lodestone.plans.queries import q_merge_null_keys
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.shuffle.partitions", "7")
+        m = q_merge_null_keys(spark, SF)
+        rows = m.collect()
+        final = m._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        semi = final[final.index("LeftSemi"):]
+        semi = semi[:semi.index("Filter")]
+        assert "coalesced" not in semi and "o_orderkey#" in semi and ", 7)" in semi
+        base = {r.o_orderkey for r in D.table(spark, SF, "orders").collect()}
+        keys = [r.o_orderkey for r in rows]
+        assert {k for k in base if k % 97} <= set(keys) and len(keys) - keys.count(None) == len(set(keys) - {None})
+        assert keys.count(None) == sum(k % 97 == 0 for k in base) + sum(
+            r.o_orderkey % 70 == 0 for r in D.delta(spark, SF).collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_auto_merge_respects_the_threshold(spark):
     b, d = D.base(spark, SF), D.delta(spark, SF)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
