@@ -408,6 +408,32 @@ def test_a_versioned_table_never_is_away(spark, tmp_root):
     assert not wrong and max(seen) >= 1 and versions(spark, table) == [5, 6]
 
 
+def test_a_replaced_text_never_is_away(spark, tmp_root):
+    """Readers beside 50 replacements find one of the texts each time; the first
+    replaces a file that has a checksum file."""
+    import threading
+
+    from lodestone.session import read_text, replace_text, write_text
+    path, stop, found = f"{tmp_root}/name", threading.Event(), []
+
+    def poll():
+        while not stop.is_set():
+            try:
+                found.append(read_text(spark, path))
+            except Exception as e:
+                found.append(e)
+    write_text(spark, path, "text 0")
+    readers = [threading.Thread(target=poll) for _ in range(3)]
+    for r in readers:
+        r.start()
+    for n in range(1, 51):
+        replace_text(spark, path, f"text {n}")
+    stop.set()
+    for r in readers:
+        r.join()
+    assert read_text(spark, path) == "text 50" and set(found) <= {f"text {n}" for n in range(51)}
+
+
 @pytest.mark.parametrize("at", ["rename_path", "replace_text", "delete_path"])
 def test_a_version_that_is_not_published_changes_nothing(spark, tmp_root, at, monkeypatch):
     from lodestone.operators import sinks as S
