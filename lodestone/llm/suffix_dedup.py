@@ -133,10 +133,11 @@ class Block:
         self.seen = [np.zeros(len(c.first), np.uint64) for c in self.chunks]
 
     def prefixes(self, length: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Anchors that are alive and have ``length`` bytes, and their ranks."""
+        """Anchors that are alive and have ``length`` bytes, and their ranks, mixed
+        again: the name of an anchor is the least of many, and buckets are equal ranges."""
         live = [np.flatnonzero((last >= c.first) & (c.anchor + length <= c.end))
                 for c, last in zip(self.chunks, self.alive, strict=True)]
-        return live, [c.rank(c.anchor[i], length) for c, i in zip(self.chunks, live, strict=True)]
+        return live, [B.mix(c.rank(c.anchor[i], length)) for c, i in zip(self.chunks, live, strict=True)]
 
     def drop_unique(self, length: int, total: np.ndarray) -> None:
         """``total``: how often each distinct rank of this round stands anywhere."""

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from lodestone.llm import decontaminate, simhash, suffix_dedup
+from lodestone.llm import blocks, decontaminate, simhash, suffix_dedup
 from llm_cases import PROSE, docs_frame, no_python, odd_rows
 
 
@@ -70,6 +70,16 @@ def test_repeats_on_odd_and_empty_tables(spark, odd, empty):
         suffix_dedup.remove_repeats(odd, least=130)
 
 
+def test_ranks_of_every_round_spread_over_the_buckets():
+    r = random.Random(5)
+    text = "".join(r.choice("abcdefgh ") for _ in range(300_000)).encode()
+    block = suffix_dedup.Block([text[i:i + 3000] for i in range(0, len(text), 3000)], 200)
+    for length in (25, 50, 100):
+        names = np.concatenate(block.prefixes(length)[1])
+        filled = np.bincount(blocks.bucket_of(names, 16).astype(int), minlength=16)
+        assert len(names) > 3000 and filled.max() < 1.5 * len(names) / 16
+
+
 def brute_fingerprint(text, n=4):
     words = (text or "").encode().lower().split()
     if not words:
